@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .schema import GEO_RANGE
 
 BRAND_PREFIX = "brand-"
 AS_OF = dt.date(2024, 1, 15)
@@ -24,126 +23,96 @@ IP_COUNTRY = "NATION_2"
 # Fixed values of the views.
 _PRODUCTS = 199
 _REFERRERS = 50
-_RANGE_BLOCK = 1 << 20
 _RANGE_BLOCKS = 4096
 _LOG_START = 1704067200  # 2024-01-01T00:00:00Z
 _LOG_SECOND_MICROS = 720_000_000  # 30 days told in an hour
-_DOMAINS = ["fr", "de", "es", "co.uk", "com", "it", "cl", "com.au"]
-_WEBKIT = "AppleWebKit/537.36 (KHTML, like Gecko)"
-_MAC_WEBKIT = "AppleWebKit/605.1.15 (KHTML, like Gecko)"
-_AGENTS = [
-    f"Mozilla/5.0 (Windows NT 10.0; Win64; x64) {_WEBKIT} Chrome/91.0.4472.124 Safari/537.36",
-    f"Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) {_MAC_WEBKIT} "
-    "Version/14.1.1 Mobile/15E148 Safari/604.1",
-    "Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko",
-    f"Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) {_MAC_WEBKIT} "
-    "Version/14.1 Safari/605.1.15",
-    "Mozilla/5.0 (X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0",
-    f"Mozilla/5.0 (Windows NT 10.0; Win64; x64) {_WEBKIT} Chrome/91.0.4472.124 "
-    "Safari/537.36 Edg/91.0.864.59",
-    f"Mozilla/5.0 (Linux; Android 11; SM-G991B) {_WEBKIT} Chrome/91.0.4472.120 "
-    "Mobile Safari/537.36",
-    "invalid-user-agent",
-]
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _micros() -> Column:
-    """Microseconds of a zone-less time since the epoch, whatever the session's zone."""
-    since = F.col("ts") - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    days = F.extract(F.lit("DAY"), since).cast("bigint")
-    hours = F.extract(F.lit("HOUR"), since).cast("bigint")
-    minutes = F.extract(F.lit("MINUTE"), since).cast("bigint")
-    micros = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("bigint")
-    return ((days * 24 + hours) * 60 + minutes) * 60_000_000 + micros
 
+# The columns the views use; a stated schema saves a job that would read it from the files.
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "part": "p_partkey bigint, p_name string",
+    "pages": "page_id bigint, url string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+# Microseconds since the epoch of a zone-less time, whatever the session's zone.
+_MICROS = """
+  (unix_date(CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(ts) * 60) * 1000000L
+  + CAST(extract(SECOND FROM ts) * 1000000 AS BIGINT)
+"""
 
-def _choose(position: Column, choices: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(choice) for choice in choices]), position.cast("int") + 1)
+# Event fields from a row of events with p_name and url joined.
+_EVENT_FIELDS = {
+    "id": "concat('evt-', event_id)",
+    "collection": """
+      CASE event_type
+        WHEN 'view' THEN 'view_product_detail'
+        WHEN 'click' THEN if(event_id % 2 = 0, 'select_product_option', 'select_product_option_quality')
+        WHEN 'purchase' THEN concat('product_detail_recommendation_',
+          element_at(array('visible', 'noticed', 'clicked'), CAST(event_id % 3 + 1 AS INT)))
+        WHEN 'signup' THEN 'checkout' END""",
+    "time_stamp": "micros DIV 1000000",
+    "product_id": """
+      CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 77 = 0 THEN 'n/a'
+        ELSE CAST(event_id * 31 % 199 + 1 AS STRING) END""",
+    "viewing_product_id": """
+      CASE WHEN event_type = 'purchase' AND event_id % 4 <> 0
+        THEN CAST(event_id * 17 % 199 + 1 AS STRING) END""",
+    "store_id": "CASE WHEN event_id % 97 <> 0 THEN CAST(user_id % 12 AS STRING) END",
+    "ip": """
+      CASE WHEN event_id % 101 = 0 THEN '0.0.0.0' WHEN event_id % 103 = 0 THEN 'unknown'
+        WHEN event_id % 107 = 0 THEN '' WHEN event_id % 109 = 0 THEN '999.1.2.3'
+        ELSE concat_ws('.', 1 + user_id * 37 % 223, user_id * 91 % 256, event_id % 256, 7) END""",
+    "user_agent": """
+      CASE WHEN event_id % 89 = 0 THEN NULL ELSE concat(
+        CASE WHEN user_id % 8 < 7 THEN 'Mozilla/5.0 (' ELSE '' END,
+        CASE user_id % 8
+          WHEN 0 THEN 'Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36'
+          WHEN 1 THEN 'iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1.1 Mobile/15E148 Safari/604.1'
+          WHEN 2 THEN 'Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko'
+          WHEN 3 THEN 'Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1 Safari/605.1.15'
+          WHEN 4 THEN 'X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0'
+          WHEN 5 THEN 'Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59'
+          WHEN 6 THEN 'Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.120 Mobile Safari/537.36'
+          ELSE 'invalid-user-agent' END) END""",
+    "referrer_url": "CASE WHEN event_id % 10 <> 0 THEN url END",
+    "current_url": """
+      concat('https://www.shop.',
+        element_at(array('fr', 'de', 'es', 'co.uk', 'com', 'it', 'cl', 'com.au'),
+          CAST(user_id % 8 + 1 AS INT)),
+        CASE event_id % 5
+          WHEN 0 THEN concat('/brand-', slug, '-sku', p_partkey, '.html?alloy=white-375')
+          WHEN 1 THEN concat('/', slug, '.html')
+          WHEN 2 THEN concat('/', slug)
+          WHEN 3 THEN concat('/', slug, '/')
+          ELSE concat('/ring-18k?stone2=diamond-', event_id % 7) END)""",
+}
 
 
-def _text(number: Column) -> Column:
-    return number.cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in parsed shape, one in twenty delivered twice."""
-    n, user = F.col("event_id"), F.col("user_id")
-    # The keys below take no other values, so these sides stay within 199 and 50 rows.
-    products = table(spark, sf_dir, "part").where(F.col("p_partkey").between(1, _PRODUCTS))
-    referrers = table(spark, sf_dir, "pages").where(F.col("page_id").between(0, _REFERRERS - 1))
-    copies = F.when(n % 20 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    events = (
-        table(spark, sf_dir, "events")
-        .withColumn("_micros", _micros())
-        .withColumn("_copy", F.explode(copies))
-        .withColumn("p_partkey", n * 31 % _PRODUCTS + 1)
-        .withColumn("page_id", n % _REFERRERS)
-        .join(F.broadcast(products.select("p_partkey", "p_name")), "p_partkey")
-        .join(F.broadcast(referrers.select("page_id", "url")), "page_id", "left")
-    )
-    kind = F.col("event_type")
-    collection = (
-        F.when(kind == "view", "view_product_detail")
-        .when((kind == "click") & (n % 2 == 0), "select_product_option")
-        .when(kind == "click", "select_product_option_quality")
-        .when((kind == "purchase") & (n % 3 == 0), "product_detail_recommendation_visible")
-        .when((kind == "purchase") & (n % 3 == 1), "product_detail_recommendation_noticed")
-        .when(kind == "purchase", "product_detail_recommendation_clicked")
-        .when(kind == "signup", "checkout")
-    )
-    dotted = F.concat_ws(
-        ".",
-        _text(user * 37 % 223 + 1),
-        _text(user * 91 % 256),
-        _text(n % 256),
-        F.lit("7"),
-    )
-    ip = (
-        F.when(n % 101 == 0, "0.0.0.0")
-        .when(n % 103 == 0, "unknown")
-        .when(n % 107 == 0, "")
-        .when(n % 109 == 0, "999.1.2.3")
-        .otherwise(dotted)
-    )
-    slug = F.replace(F.lower("p_name"), F.lit(" "), F.lit("-"))
-    page = (
-        F.when(
-            n % 5 == 0,
-            F.concat(
-                F.lit(f"/{BRAND_PREFIX}"),
-                slug,
-                F.lit("-sku"),
-                _text(F.col("p_partkey")),
-                F.lit(".html?alloy=white-375"),
-            ),
-        )
-        .when(n % 5 == 1, F.concat(F.lit("/"), slug, F.lit(".html")))
-        .when(n % 5 == 2, F.concat(F.lit("/"), slug))
-        .when(n % 5 == 3, F.concat(F.lit("/"), slug, F.lit("/")))
-        .otherwise(F.concat(F.lit("/ring-18k?stone2=diamond-"), _text(n % 7)))
+    # The keys derived below take no other values, so these sides hold 199 and 50 rows at most.
+    products = table(spark, sf_dir, "part").where(f"p_partkey BETWEEN 1 AND {_PRODUCTS}")
+    referrers = table(spark, sf_dir, "pages").where(f"page_id BETWEEN 0 AND {_REFERRERS - 1}")
+    slugs = products.selectExpr("p_partkey", "replace(lower(p_name), ' ', '-') AS slug")
+    delivered = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        f"{_MICROS} AS micros",
+        f"event_id * 31 % {_PRODUCTS} + 1 AS p_partkey",
+        f"event_id % {_REFERRERS} AS page_id",
+        "explode(if(event_id % 20 = 0, array(1, 2), array(1))) AS delivery",
     )
-    return events.select(
-        F.concat(F.lit("evt-"), _text(n)).alias("id"),
-        collection.alias("collection"),
-        F.floor(F.col("_micros") / 1_000_000).alias("time_stamp"),
-        F.when(n % 50 == 0, None)
-        .when(n % 77 == 0, "n/a")
-        .otherwise(_text(n * 31 % _PRODUCTS + 1))
-        .alias("product_id"),
-        F.when((kind == "purchase") & (n % 4 != 0), _text(n * 17 % _PRODUCTS + 1)).alias(
-            "viewing_product_id"
-        ),
-        F.when(n % 97 != 0, _text(user % 12)).alias("store_id"),
-        ip.alias("ip"),
-        F.when(n % 89 != 0, _choose(user % 8, _AGENTS)).alias("user_agent"),
-        F.when(n % 10 != 0, F.col("url")).alias("referrer_url"),
-        F.concat(F.lit("https://www.shop."), _choose(user % 8, _DOMAINS), page).alias(
-            "current_url"
-        ),
+    return (
+        delivered.join(F.broadcast(slugs), "p_partkey")
+        .join(F.broadcast(referrers), "page_id", "left")
+        .selectExpr(*[f"{field} AS {name}" for name, field in _EVENT_FIELDS.items()])
     )
 
 
@@ -155,23 +124,17 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges without overlap, with gaps within and between blocks."""
-    block = F.col("block")
-    nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    return (
-        spark.range(_RANGE_BLOCKS, numPartitions=1)
-        .withColumnRenamed("id", "block")
-        .where(block % 16 != 0)
-        .join(F.broadcast(places), F.col("n_nationkey") == block % 25)
-        .select(
-            (block * _RANGE_BLOCK + block % 7 * 1000).alias("ip_from"),
-            ((block + 1) * _RANGE_BLOCK - 1).alias("ip_to"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            F.concat(F.lit("city_"), _text(block % 101)).alias("city"),
-        )
-        .select(*GEO_RANGE.fieldNames())
+    nation = table(spark, sf_dir, "nation").join(
+        F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    blocks = spark.range(_RANGE_BLOCKS, numPartitions=1).where("id % 16 <> 0")
+    return blocks.join(F.broadcast(nation), F.col("n_nationkey") == F.col("id") % 25).selectExpr(
+        "id * 1048576 + (id % 7) * 1000 AS ip_from",
+        "(id + 1) * 1048576 - 1 AS ip_to",
+        "n_name AS country",
+        "r_name AS region",
+        "concat('city_', id % 101) AS city",
     )
 
 
@@ -197,8 +160,8 @@ def _numbered(events: DataFrame, group: list[str], name: str) -> DataFrame:
     )
 
 
-def _log_second() -> Column:
-    return _LOG_START + F.floor((_micros() - _LOG_START * 1_000_000) / _LOG_SECOND_MICROS)
+# Time of a log entry, in epoch seconds.
+_LOG_SECOND = f"{_LOG_START} + floor(({_MICROS} - {_LOG_START}000000) / {_LOG_SECOND_MICROS})"
 
 
 def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +173,7 @@ def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
     )
     return _numbered(events, ["topic", "partition"], "offset").select(
-        "topic", "partition", "offset", F.timestamp_seconds(_log_second()).alias("timestamp")
+        "topic", "partition", "offset", F.expr(f"timestamp_seconds({_LOG_SECOND})").alias("timestamp")
     )
 
 
@@ -242,34 +205,29 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = F.array(
         *[F.struct(F.lit(name).alias("metric"), v.alias("value")) for name, v in values.items()]
     )
-    area = F.when(F.col("event_id") % 2 == 0, "heap").otherwise("nonheap")
     return numbered.select(
         F.col("event_id").alias("sample_id"),
         F.lit("worker").alias("job"),
-        _text(F.col("_instance")).alias("instance"),
-        F.create_map(F.lit("area"), area).alias("labels"),
-        F.timestamp_seconds(_log_second()).alias("timestamp"),
+        F.col("_instance").cast("string").alias("instance"),
+        F.expr("map('area', if(event_id % 2 = 0, 'heap', 'nonheap'))").alias("labels"),
+        F.expr(f"timestamp_seconds({_LOG_SECOND})").alias("timestamp"),
         F.inline(metrics),
     )
 
 
 def canary_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    return events.select(
-        F.concat(F.lit("m-"), _text(F.col("event_id"))).alias("message_id"),
-        F.floor(_micros() / 1_000_000).alias("sent_sec"),
+    events = table(spark, sf_dir, "events").where("event_type = 'signup'")
+    return events.selectExpr(
+        "concat('m-', event_id) AS message_id", f"({_MICROS}) DIV 1000000 AS sent_sec"
     )
 
 
 def canary_received(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One in thirteen lost, some late, some that are no heartbeats."""
-    n = F.col("event_id")
     events = table(spark, sf_dir, "events").where(
-        F.col("event_type").isin("signup", "error") & (n % 13 != 0)
+        "event_type IN ('signup', 'error') AND event_id % 13 <> 0"
     )
-    sort = F.when(F.col("event_type") == "signup", "m-").otherwise("x-")
-    return events.select(
-        F.concat(sort, _text(n)).alias("message_id"),
-        (F.floor(_micros() / 1_000_000) + n % 15).alias("recv_sec"),
+    return events.selectExpr(
+        "concat(if(event_type = 'signup', 'm-', 'x-'), event_id) AS message_id",
+        f"({_MICROS}) DIV 1000000 + event_id % 15 AS recv_sec",
     )
-

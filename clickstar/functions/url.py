@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 UNKNOWN = "Unknown"
 
 # The product part of a path, up to a SKU, an extension or the end of the address.
-# (?d) lets $ stop at \n only.
 _PRODUCT_PART = r"([^/?]+?)(?:-sku|\.html|$)"
 
+# (?d) lets $ stop at \n only. The first match of the part begins where a stretch between / and ?
+# begins, if anywhere in it; to look there only spares a try at each character.
+_AT_STRETCH_START = r"(?d)(?<![^/?])"
+
 # Runs of letters that have a case, and runs of everything else.
 _CASED_OR_OTHER = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
@@ -20,15 +23,17 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 def title_case(text: Column) -> Column:
-    """Capital after every character without case, so 18k gives 18K."""
+    """Capital after every character without case, so 18k gives 18K. Plain words, the usual case,
+    need no cutting into runs."""
     runs = F.regexp_extract_all(text, F.lit(_CASED_OR_OTHER), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    by_run = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(by_run)
 
 
 def product_name(url: Column, brand_prefix: str = "") -> Column:
     """Product name from a page address, without the shop's brand prefix."""
     prefix = f"(?:{re.escape(brand_prefix)})?" if brand_prefix else ""
-    part = F.regexp_extract(url, f"(?d){prefix}{_PRODUCT_PART}", 1)
+    part = F.regexp_extract(url, f"{_AT_STRETCH_START}{prefix}{_PRODUCT_PART}", 1)
     named = title_case(F.replace(part, F.lit("-"), F.lit(" ")))
     return F.when(F.length(part) > 0, named).otherwise(UNKNOWN)
 

@@ -38,7 +38,8 @@ def lookup_join(
     through `split_join`.
     """
     if measured_bytes(right) <= max_broadcast_bytes:
-        return left.join(F.broadcast(right), key, "left")
+        fields = [name for name in right.columns if name != key]
+        return left.join(F.broadcast(right), key, "left").select(*left.columns, *fields)
     return split_join(left, right, key, hot_rows)
 
 
@@ -47,7 +48,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_
 
     Keys on more than `hot_rows` left rows are looked up by broadcast; there can be at most
     rows / hot_rows of them. Their rows, and those without a key, then take part in the shuffled
-    join under a null key spread by row content, so they match nothing and fill no partition.
+    join without a key, so they match nothing, and are spread over the tasks by row content. (The
+    slot of cold rows depends on the key, as the optimizer would drop a constant from the join.)
     """
     fields = [name for name in right.columns if name != key]
     hot_keys = (
@@ -66,14 +68,14 @@ def split_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_
         *left.columns,
         "_hot",
         F.when(~settled, F.col(key)).alias("_key"),
-        F.when(settled, F.xxhash64(*left.columns)).otherwise(F.lit(0)).alias("_spread"),
+        F.when(settled, F.xxhash64(*left.columns)).otherwise(F.xxhash64(key)).alias("_slot"),
     )
     cold = right.select(
         F.col(key).alias("_key"),
-        F.lit(0).cast("bigint").alias("_spread"),
+        F.xxhash64(key).alias("_slot"),
         F.struct(*fields).alias("_cold"),
     )
-    return keyed.join(cold, ["_key", "_spread"], "left").select(
+    return keyed.join(cold, ["_key", "_slot"], "left").select(
         *left.columns,
         *[F.coalesce(f"_hot.{name}", f"_cold.{name}").alias(name) for name in fields],
     )

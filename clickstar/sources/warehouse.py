@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,16 +104,27 @@ def absent_rows(
 
 
 def insert_if_absent(
-    rows: DataFrame, warehouse: str, table: str, epoch: int, max_rows: int | None = None
+    rows: DataFrame,
+    warehouse: str,
+    table: str,
+    epoch: int,
+    max_rows: int | None = None,
+    within: Column | None = None,
 ) -> None:
     """Add rows with new keys; a key once written keeps its first row.
 
     Only epochs before this one count as written, so an epoch run again writes the same rows.
-    `rows` has at most one row per key; rows without a key are left out.
+    `rows` has at most one row per key; rows without a key are left out. `within` limits the
+    stored rows that are looked through, for tables whose keys cannot lie outside it.
     """
-    key = key_of(table)
-    earlier = read_table(rows.sparkSession, warehouse, table).where(F.col(EPOCH) < epoch)
+    spark, key = rows.sparkSession, key_of(table)
     keyed = rows.where(F.col(key).isNotNull())
+    if not path_exists(spark, f"{warehouse}/{table}"):
+        write_epoch(keyed, warehouse, table, epoch)
+        return
+    earlier = read_table(spark, warehouse, table).where(F.col(EPOCH) < epoch)
+    if within is not None:
+        earlier = earlier.where(within)
     fresh = absent_rows(keyed, earlier, key, max_rows).persist()
     try:
         # Most batches bring a dimension nothing new; no folder is written for those.

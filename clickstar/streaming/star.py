@@ -3,37 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.geo import GeoTable
 from ..plans.enrich import enrich
 from ..plans.star import star_tables
-from ..schema import FACT
+from ..schema import DIMENSIONS, FACT
 from ..sources.messages import accepted_events, parse_messages
-from ..sources.warehouse import EPOCH, insert_if_absent, path_exists, read_table
+from ..sources.warehouse import EPOCH, FACT_DATE, insert_if_absent, path_exists, read_table
 from .dedup import dedup_events
 
-# The reference interval between batches.
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 
 
 def write_star(
-    batch: DataFrame, epoch: int, warehouse: str, geo: GeoTable, brand_prefix: str = ""
+    batch: DataFrame,
+    epoch: int,
+    warehouse: str,
+    geo: GeoTable,
+    brand_prefix: str = "",
+    ids_keep_their_date: bool = False,
 ) -> None:
     """One batch of accepted events into all eight tables, dimensions before the fact.
 
-    The enriched batch is read from the source once and kept while the tables are written. An
-    error is not caught here: Spark then runs the same epoch again, which writes the same rows.
+    The enriched batch is read from the source once and kept while the tables are written. The
+    dimensions' jobs are small and run side by side. An error is not caught here: Spark then runs
+    the same epoch again, which writes the same rows.
     """
     enriched = enrich(batch, geo).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        events = enriched.count()
-        for table, rows in star_tables(enriched, brand_prefix).items():
-            insert_if_absent(rows, warehouse, table, epoch, max_rows=events)
+        batch_is = enriched.agg(
+            F.count("*").alias("events"),
+            F.min("event_date").alias("first"),
+            F.max("event_date").alias("last"),
+        ).first()
+        if batch_is["events"] == 0:
+            return
+        tables = star_tables(enriched, brand_prefix)
+
+        @inheritable_thread_target(batch.sparkSession)
+        def write(table: str, within: Column | None = None) -> None:
+            insert_if_absent(
+                tables[table], warehouse, table, epoch, batch_is["events"], within
+            )
+
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(write, DIMENSIONS))
+        dates = F.col(FACT_DATE).between(F.lit(batch_is["first"]), F.lit(batch_is["last"]))
+        write(FACT, dates | F.col(FACT_DATE).isNull() if ids_keep_their_date else None)
     finally:
         enriched.unpersist()
 
@@ -46,12 +68,15 @@ def start_star_stream(
     brand_prefix: str = "",
     trigger: Mapping[str, object] = EVERY_30_SECONDS,
     dedup_delay: str | None = None,
+    ids_keep_their_date: bool = False,
 ) -> StreamingQuery:
     """Start writing a message stream to a warehouse.
 
     No watermark by default, so no late event is lost: a redelivered one is found in the fact
-    itself. With `dedup_delay` repeats within that event time are dropped ahead of the write.
-    Epochs restart at 0 with a new checkpoint, which must not meet the epochs of an old one.
+    itself, among all its keys. A source that sends an id again only with its own time can say
+    so: with `ids_keep_their_date` a batch reads the keys of its own dates alone, whatever the
+    history behind them. With `dedup_delay` repeats within that event time are dropped ahead of
+    the write. Epochs restart at 0 with a new checkpoint, which must not meet those of an old one.
     """
     spark = messages.sparkSession
     if not path_exists(spark, f"{checkpoint}/metadata"):
@@ -63,7 +88,9 @@ def start_star_stream(
         events = dedup_events(events, dedup_delay)
     return (
         events.writeStream.foreachBatch(
-            lambda batch, epoch: write_star(batch, epoch, warehouse, geo, brand_prefix)
+            lambda batch, epoch: write_star(
+                batch, epoch, warehouse, geo, brand_prefix, ids_keep_their_date
+            )
         )
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
