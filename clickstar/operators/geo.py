@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.net import locatable_ip
-from .lookup import HOT_ROWS, measured_bytes, split_join
+from .lookup import COUNT, HOT_ROWS, join_counted, key_counts, measured_bytes
 
 UNKNOWN = "Unknown"
 MAX_BROADCAST_BYTES = 512 * 1024 * 1024
@@ -84,46 +84,48 @@ def _locate_by_shuffle(addressed: DataFrame, ranges: DataFrame, hot_rows: int) -
     many events share an address, so every window group is small. Results go back to the events
     by address, with hot addresses split off.
     """
-    addresses = addressed.where(F.col("_ip").isNotNull()).select("_ip").distinct()
-    cut = _by_bucket(ranges)
-    starts = cut.select(
+    addresses = key_counts(addressed, "_ip")
+    starts = _by_bucket(ranges).select(
         "_bucket",
         F.greatest("ip_from", F.shiftleft("_bucket", _BUCKET_BITS)).alias("_at"),
-        F.lit(0).alias("_order"),
+        F.lit(None).cast("bigint").alias(COUNT),
         F.struct("ip_to", *_PLACE).alias("_range"),
     )
     probes = addresses.select(
         _bucket("_ip").alias("_bucket"),
         F.col("_ip").alias("_at"),
-        F.lit(1).alias("_order"),
+        COUNT,
         F.lit(None).cast(starts.schema["_range"].dataType).alias("_range"),
     )
+    # A range start has no count and so comes before an event at its very address.
     so_far = (
-        W.partitionBy("_bucket").orderBy("_at", "_order").rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy("_bucket")
+        .orderBy("_at", F.asc_nulls_first(COUNT))
+        .rowsBetween(W.unboundedPreceding, 0)
     )
+    within = F.col("_at") <= F.col("_range.ip_to")
     places = (
         starts.unionByName(probes)
         .withColumn("_range", F.last("_range", ignorenulls=True).over(so_far))
-        .where((F.col("_order") == 1) & (F.col("_at") <= F.col("_range.ip_to")))
-        .select(F.col("_at").alias("_ip"), *[f"_range.{place}" for place in _PLACE])
+        .where(F.col(COUNT).isNotNull())
+        .select(
+            F.col("_at").alias("_ip"),
+            COUNT,
+            *[F.when(within, F.col(f"_range.{place}")).alias(place) for place in _PLACE],
+        )
     )
-    return split_join(addressed, places, "_ip", hot_rows)
+    return join_counted(addressed, places, "_ip", hot_rows)
 
 
 def views_per_range(events: DataFrame, geo: GeoTable, ip: str = "ip") -> DataFrame:
     """Each range with the number of events from it; addresses are counted before the join."""
-    counted = (
-        events.select(locatable_ip(F.col(ip)).alias("_ip"))
-        .where(F.col("_ip").isNotNull())
-        .groupBy("_ip")
-        .agg(F.count("*").alias("_n"))
-    )
+    counted = key_counts(events.select(locatable_ip(F.col(ip)).alias("_ip")), "_ip")
     cut = _by_bucket(geo.ranges).select("_bucket", "ip_from", "ip_to")
     here = (_bucket(counted["_ip"]) == cut["_bucket"]) & counted["_ip"].between(
         cut["ip_from"], cut["ip_to"]
     )
     side = F.broadcast(cut) if geo.small else cut
-    per_range = counted.join(side, here).groupBy("ip_from").agg(F.sum("_n").alias("views"))
+    per_range = counted.join(side, here).groupBy("ip_from").agg(F.sum(COUNT).alias("views"))
     return geo.ranges.join(per_range, "ip_from", "left").withColumn(
         "views", F.coalesce("views", F.lit(0))
     )
