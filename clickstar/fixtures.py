@@ -94,13 +94,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(events: DataFrame) -> DataFrame:
+    """A table of one row group is one task's work; give it to all cores. Tables that come in at
+    least as many splits as there are cores, as large ones do, stay as they are."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id")
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in parsed shape, one in twenty delivered twice."""
     # The keys derived below take no other values, so these sides hold 199 and 50 rows at most.
     products = table(spark, sf_dir, "part").where(f"p_partkey BETWEEN 1 AND {_PRODUCTS}")
     referrers = table(spark, sf_dir, "pages").where(f"page_id BETWEEN 0 AND {_REFERRERS - 1}")
     slugs = products.selectExpr("p_partkey", "replace(lower(p_name), ' ', '-') AS slug")
-    delivered = table(spark, sf_dir, "events").selectExpr(
+    delivered = _spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "user_id",
         "event_type",

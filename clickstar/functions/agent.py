@@ -1,12 +1,13 @@
 """Browser and operating system families from the user-agent text.
 
-Each rule is a family and the LIKE patterns that name it; the first rule that matches wins.
-Catalyst turns a ``%text%`` pattern into a byte search inside generated code, so no regular
-expression runs except for the few two-part patterns, and those only if reached.
+Each rule is a family and the texts that name it; the first rule that matches wins. A text is
+found by a byte search inside generated code. A pair of texts must follow one another, and only
+for those a regular expression runs, if no rule before has matched.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -14,41 +15,48 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Rule = tuple[str, Sequence[str]]
+Rule = tuple[str, Sequence[str | tuple[str, str]]]
 
 UNKNOWN = "Unknown"
 
 # Browser families.
 BROWSER_RULES: list[Rule] = [
-    ("Edge", ["%Edg/%", "%Edge/%", "%EdgA/%", "%EdgiOS/%"]),
-    ("IE", ["%Trident/%", "%MSIE %"]),
-    ("Opera", ["%OPR/%", "%Opera/%"]),
-    ("Samsung Internet", ["%SamsungBrowser/%"]),
-    ("Firefox iOS", ["%FxiOS/%"]),
-    ("Firefox", ["%Firefox/%"]),
-    ("Chrome Mobile iOS", ["%CriOS/%"]),
-    ("Chrome Mobile", ["%Chrome/%Mobile%"]),
-    ("Chrome", ["%Chrome/%"]),
-    ("Mobile Safari", ["%iPhone%Safari/%", "%iPad%Safari/%", "%iPod%Safari/%"]),
-    ("Safari", ["%Safari/%"]),
+    ("Edge", ["Edg/", "Edge/", "EdgA/", "EdgiOS/"]),
+    ("IE", ["Trident/", "MSIE "]),
+    ("Opera", ["OPR/", "Opera/"]),
+    ("Samsung Internet", ["SamsungBrowser/"]),
+    ("Firefox iOS", ["FxiOS/"]),
+    ("Firefox", ["Firefox/"]),
+    ("Chrome Mobile iOS", ["CriOS/"]),
+    ("Chrome Mobile", [("Chrome/", "Mobile")]),
+    ("Chrome", ["Chrome/"]),
+    ("Mobile Safari", [("iPhone", "Safari/"), ("iPad", "Safari/"), ("iPod", "Safari/")]),
+    ("Safari", ["Safari/"]),
 ]
 
 # Operating system families.
 OS_RULES: list[Rule] = [
-    ("Windows", ["%Windows%"]),
-    ("iOS", ["%iPhone%", "%iPad%", "%iPod%"]),
-    ("Android", ["%Android%"]),
-    ("Chrome OS", ["%CrOS%"]),
-    ("Mac OS X", ["%Mac OS X%"]),
-    ("Linux", ["%Linux%"]),
+    ("Windows", ["Windows"]),
+    ("iOS", ["iPhone", "iPad", "iPod"]),
+    ("Android", ["Android"]),
+    ("Chrome OS", ["CrOS"]),
+    ("Mac OS X", ["Mac OS X"]),
+    ("Linux", ["Linux"]),
 ]
 
 
+def _names(text: Column, sign: str | tuple[str, str]) -> Column:
+    if isinstance(sign, str):
+        return text.contains(sign)
+    first, then = map(re.escape, sign)
+    return text.rlike(f"(?s){first}.*{then}")
+
+
 def first_match(text: Column, rules: Sequence[Rule], default: str = UNKNOWN) -> Column:
-    """Label of the first rule with a matching pattern; the default for null and no match."""
+    """Label of the first rule with a matching text; the default for null and no match."""
     chain = F
-    for label, patterns in rules:
-        hit = reduce(or_, [text.like(pattern) for pattern in patterns])
+    for label, signs in rules:
+        hit = reduce(or_, [_names(text, sign) for sign in signs])
         chain = chain.when(hit, F.lit(label))
     return chain.otherwise(F.lit(default))
 

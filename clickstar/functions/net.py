@@ -16,7 +16,8 @@ def ip_to_long(ip: Column) -> Column:
     """Dotted IPv4 text to its number; null for anything else."""
 
     def octet(position: int) -> Column:
-        return F.split_part(ip, F.lit("."), F.lit(position)).try_cast("bigint")
+        upto = F.substring_index(ip, ".", position)
+        return F.substring_index(upto, ".", -1).try_cast("bigint")
 
     number = ((octet(1) * 256 + octet(2)) * 256 + octet(3)) * 256 + octet(4)
     return F.when(ip.rlike(_IPV4), number)

@@ -16,26 +16,35 @@ _PRODUCT_PART = r"([^/?]+?)(?:-sku|\.html|$)"
 # begins, if anywhere in it; to look there only spares a try at each character.
 _AT_STRETCH_START = r"(?d)(?<![^/?])"
 
-# Runs of letters that have a case, and runs of everything else.
-_CASED_OR_OTHER = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+# Letters that have a case.
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+_SCHEME_AND_USER = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?"
+_HOST = _SCHEME_AND_USER + r"([^/?#:]+)"
+_COUNTRY = _SCHEME_AND_USER + r"[^/?#:]*\.([A-Za-z]{2})(?=[:/?#]|\z)"
 
 
-def title_case(text: Column) -> Column:
-    """Capital after every character without case, so 18k gives 18K. Plain words, the usual case,
-    need no cutting into runs."""
-    runs = F.regexp_extract_all(text, F.lit(_CASED_OR_OTHER), F.lit(1))
-    by_run = F.array_join(F.transform(runs, F.initcap), "")
-    return F.when(text.rlike("^[A-Za-z ]*$"), F.initcap(text)).otherwise(by_run)
+def _or_null(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
+
+def _title_case(words: Column) -> Column:
+    """Capital after every character without case, so 18k gives 18K.
+
+    initcap goes by spaces, so for its time one follows each such character, marked by a slash,
+    which the words of an address cannot hold. Every step reads its input once: a branch for
+    plain words would have them extracted anew on each mention.
+    """
+    parted = F.regexp_replace(words, f"([^{_CASED} ])(?=[{_CASED}])", "$1/ ")
+    return F.replace(F.initcap(parted), F.lit("/ "), F.lit(""))
 
 
 def product_name(url: Column, brand_prefix: str = "") -> Column:
     """Product name from a page address, without the shop's brand prefix."""
     prefix = f"(?:{re.escape(brand_prefix)})?" if brand_prefix else ""
     part = F.regexp_extract(url, f"{_AT_STRETCH_START}{prefix}{_PRODUCT_PART}", 1)
-    named = title_case(F.replace(part, F.lit("-"), F.lit(" ")))
-    return F.when(F.length(part) > 0, named).otherwise(UNKNOWN)
+    words = F.replace(part, F.lit("-"), F.lit(" "))
+    return F.coalesce(_or_null(_title_case(words)), F.lit(UNKNOWN))
 
 
 def url_host(url: Column) -> Column:
@@ -44,8 +53,7 @@ def url_host(url: Column) -> Column:
     A pattern, not parse_url: that follows a strict grammar and loses the many real addresses
     with characters such as | or { in the query.
     """
-    host = F.lower(F.regexp_extract(url, _HOST, 1))
-    return F.when(F.length(host) > 0, host)
+    return _or_null(F.lower(F.regexp_extract(url, _HOST, 1)))
 
 
 def domain_label(url: Column) -> Column:
@@ -56,5 +64,4 @@ def domain_label(url: Column) -> Column:
 def domain_country(url: Column) -> Column:
     """Country code of the domain. Two-letter top-level domains are the countries' own;
     others, like com, name no country and give null."""
-    label = domain_label(url)
-    return F.when(label.rlike("^[a-z]{2}$"), label)
+    return _or_null(F.lower(F.regexp_extract(url, _COUNTRY, 1)))
