@@ -67,9 +67,8 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _views(*columns: str) -> Query:
     """Deduplicated events with the columns a report needs, and no others."""
-    with_place = "location_id" in columns
-    source = _enriched_with_place if with_place else _enriched
-    return lambda spark, sf_dir: star.unique_views(source(spark, sf_dir), columns)
+    until = fx.AS_OF if "event_date" in columns else None
+    return lambda spark, sf_dir: star.unique_views(_enriched(spark, sf_dir), columns, until)
 
 
 def _stored_star(spark: SparkSession, sf_dir: str) -> str:
@@ -241,7 +240,7 @@ def _geo_ranges(spark, sf_dir):
     path = scratch_path(spark, "ranges")
     fx.geo_ranges(spark, sf_dir).write.option("header", True).csv(path)
     ranges = read_geo_ranges(spark, path, "csv", {"header": "true"})
-    return views_per_range(_accepted(spark, sf_dir), geo_table(ranges))
+    return views_per_range(_accepted(spark, sf_dir), ranges)
 
 
 def _split_recommendation(spark, sf_dir):
@@ -318,13 +317,13 @@ def _audit_star(spark, sf_dir):
 
 def _top_ip_countries(spark, sf_dir):
     enriched = _enriched_with_place(spark, sf_dir)
-    views = star.unique_views(enriched, ["event_date", "location_id"])
+    views = star.unique_views(enriched, ["event_date", "location_id"], fx.AS_OF)
     return kpi.top_ip_countries(views, star.dim_location(enriched), fx.AS_OF)
 
 
 def _top_referrers(spark, sf_dir):
     enriched = _enriched(spark, sf_dir)
-    views = star.unique_views(enriched, ["event_date", "referrer_url_id"])
+    views = star.unique_views(enriched, ["event_date", "referrer_url_id"], fx.AS_OF)
     return kpi.top_referrers(views, star.dim_referrer_url(enriched), fx.AS_OF)
 
 
@@ -337,7 +336,8 @@ def _stores_by_country(spark, sf_dir):
 def _hourly_devices(report) -> Query:
     def run(spark, sf_dir):
         enriched = _enriched(spark, sf_dir)
-        views = star.unique_views(enriched, ["event_date", "time_id", "browser_id", "os_id"])
+        columns = ["event_date", "time_id", "browser_id", "os_id"]
+        views = star.unique_views(enriched, columns, fx.AS_OF)
         return report(views, star.dim_browser(enriched), star.dim_os(enriched), fx.AS_OF)
 
     return run

@@ -78,20 +78,27 @@ def _locate_by_broadcast(addressed: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def _locate_by_shuffle(addressed: DataFrame, ranges: DataFrame, hot_rows: int) -> DataFrame:
-    """Distinct addresses meet the last range start before them within their bucket.
+    """Each distinct address is looked up once, and its place goes back to the events by a join
+    with hot addresses split off."""
+    ranged = _range_of(key_counts(addressed, "_ip"), ranges)
+    places = ranged.select("_ip", COUNT, *[f"_range.{place}" for place in _PLACE])
+    return join_counted(addressed, places, "_ip", hot_rows)
+
+
+def _range_of(counted: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Distinct addresses, with their counts, and the range each lies in, or null.
 
-    After the distinct a bucket holds at most 65,536 addresses and as many range starts, however
-    many events share an address, so every window group is small. Results go back to the events
-    by address, with hot addresses split off.
+    The last range start at or before an address within its bucket is the only one that can hold
+    it. A bucket has at most 65,536 addresses and as many starts, however many events share an
+    address, so every window group is small.
     """
-    addresses = key_counts(addressed, "_ip")
     starts = _by_bucket(ranges).select(
         "_bucket",
         F.greatest("ip_from", F.shiftleft("_bucket", _BUCKET_BITS)).alias("_at"),
         F.lit(None).cast("bigint").alias(COUNT),
-        F.struct("ip_to", *_PLACE).alias("_range"),
+        F.struct("ip_from", "ip_to", *_PLACE).alias("_range"),
     )
-    probes = addresses.select(
+    probes = counted.select(
         _bucket("_ip").alias("_bucket"),
         F.col("_ip").alias("_at"),
         COUNT,
@@ -103,29 +110,27 @@ def _locate_by_shuffle(addressed: DataFrame, ranges: DataFrame, hot_rows: int) -
         .orderBy("_at", F.asc_nulls_first(COUNT))
         .rowsBetween(W.unboundedPreceding, 0)
     )
-    within = F.col("_at") <= F.col("_range.ip_to")
-    places = (
+    return (
         starts.unionByName(probes)
         .withColumn("_range", F.last("_range", ignorenulls=True).over(so_far))
         .where(F.col(COUNT).isNotNull())
         .select(
             F.col("_at").alias("_ip"),
             COUNT,
-            *[F.when(within, F.col(f"_range.{place}")).alias(place) for place in _PLACE],
+            F.when(F.col("_at") <= F.col("_range.ip_to"), F.col("_range")).alias("_range"),
         )
     )
-    return join_counted(addressed, places, "_ip", hot_rows)
 
 
-def views_per_range(events: DataFrame, geo: GeoTable, ip: str = "ip") -> DataFrame:
-    """Each range with the number of events from it; addresses are counted before the join."""
-    counted = key_counts(events.select(locatable_ip(F.col(ip)).alias("_ip")), "_ip")
-    cut = _by_bucket(geo.ranges).select("_bucket", "ip_from", "ip_to")
-    here = (_bucket(counted["_ip"]) == cut["_bucket"]) & counted["_ip"].between(
-        cut["ip_from"], cut["ip_to"]
+def views_per_range(events: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
+    """Each range with the number of events from it; addresses are counted before the lookup."""
+    addresses = events.select(locatable_ip(F.col(ip)).alias("_ip"))
+    per_range = (
+        _range_of(key_counts(addresses, "_ip"), ranges)
+        .where(F.col("_range").isNotNull())
+        .groupBy("_range.ip_from")
+        .agg(F.sum(COUNT).alias("views"))
     )
-    side = F.broadcast(cut) if geo.small else cut
-    per_range = counted.join(side, here).groupBy("ip_from").agg(F.sum(COUNT).alias("views"))
-    return geo.ranges.join(per_range, "ip_from", "left").withColumn(
+    return ranges.join(per_range, "ip_from", "left").withColumn(
         "views", F.coalesce("views", F.lit(0))
     )

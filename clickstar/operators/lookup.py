@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 5_000_000
 COUNT = "_n"
 

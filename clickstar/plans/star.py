@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,11 +85,17 @@ _FACT_COLUMNS = {
 }
 
 
-def unique_views(enriched: DataFrame, columns: Sequence[str]) -> DataFrame:
+def unique_views(
+    enriched: DataFrame, columns: Sequence[str], until: dt.date | None = None
+) -> DataFrame:
     """One row per event id, the earliest, with the given fact columns.
 
-    Redelivered events carry one id. Only the columns asked for cross the shuffle.
+    Redelivered events carry one id. Only the columns asked for cross the shuffle. With `until`,
+    only events up to that date: the earliest of an id is among them or is not wanted, so later
+    ones need not be shuffled, while those of earlier days must be.
     """
+    if until is not None:
+        enriched = enriched.where(F.col("event_date") <= F.lit(until))
     keyed = enriched.select(
         "event_id",
         "time_stamp",

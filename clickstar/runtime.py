@@ -4,16 +4,36 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOT: str | None = None
 
 
-def session(app_name: str = "clickstar", **conf: str) -> SparkSession:
-    """A session with UTC as its zone; everything else stays with the cluster's defaults."""
-    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in conf.items():
+# What a cluster's defaults leave to the job. Stream state is kept on executors' disks and not in
+# their heaps, and what changed is checkpointed, not all of it. Recording the Python line of every
+# column expression costs more than building the plan.
+_DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def session(
+    app_name: str = "clickstar",
+    master: str | None = None,
+    conf: Mapping[str, str] | None = None,
+) -> SparkSession:
+    """A session for these jobs. Partitions and memory stay with the cluster, and with AQE."""
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
+    for key, value in {**_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -28,7 +48,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="clickstar-")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..schema import ALLOWED_COLLECTIONS, EVENT
+from ..schema import ALLOWED_COLLECTIONS, CANARY_MESSAGE, EVENT
 
 
 def kafka_options(
@@ -84,7 +84,7 @@ def intake_counts(
     value = F.col("value").cast("string")
     event = F.col("event")
     fate = (
-        F.when(F.col("object").isNull(), "malformed")
+        F.when(event["collection"].isNull() & F.col("json").isNull(), "malformed")
         .when(event["collection"].isNull(), "no_collection")
         .when(~event["collection"].isin(list(collections)), "not_allowed")
         .when(event["id"].isNull(), "no_id")
@@ -93,7 +93,7 @@ def intake_counts(
     return (
         messages.select(
             F.from_json(value, EVENT).alias("event"),
-            F.try_parse_json(value).alias("object"),
+            F.get_json_object(value, "$").alias("json"),
         )
         .select(fate.alias("fate"))
         .groupBy("fate")
@@ -101,9 +101,20 @@ def intake_counts(
     )
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Rows to JSON messages; null fields are left out."""
-    return events.select(F.to_json(F.struct(*events.columns)).alias("value"))
+def canary_messages(messages: DataFrame) -> DataFrame:
+    """The heartbeats among the messages of a topic."""
+    sent = messages.select(
+        F.from_json(
+            F.col("value").cast("string"),
+            "message_id string, message string, timestamp string, type string",
+        ).alias("canary")
+    ).select("canary.*")
+    return sent.where(F.col("type") == "canary").select(
+        "message_id",
+        "message",
+        F.col("timestamp").try_cast(CANARY_MESSAGE["timestamp"].dataType).alias("timestamp"),
+        "type",
+    )
 
 
 def relay(
@@ -115,10 +126,10 @@ def relay(
 ) -> DataStreamWriter:
     """Writer that passes messages on, each read as JSON and written anew.
 
-    A variant keeps every field whatever its schema; what is no JSON is not passed on.
+    Every field is kept, known or not; what is no JSON is not passed on.
     """
     anew = messages.select(
-        F.to_json(F.try_parse_json(F.col("value").cast("string"))).alias("value")
+        F.get_json_object(F.col("value").cast("string"), "$").alias("value")
     ).where(F.col("value").isNotNull())
     writer = (
         anew.writeStream.format(sink_format)

@@ -12,14 +12,14 @@ import re
 import sys
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickstar import fixtures as fx
 from clickstar.operators.geo import geo_table, locate
 from clickstar.plans import kpi, star
 from clickstar.plans.enrich import enrich
-from clickstar.runtime import scratch_path
+from clickstar.runtime import scratch_path, session
 from clickstar.schema import FACT
 from clickstar.sources.messages import accepted_events
 from clickstar.sources.warehouse import read_warehouse
@@ -117,13 +117,14 @@ def by_nested_loop(events: DataFrame, ranges: DataFrame) -> DataFrame:
 
 def main() -> None:
     copies = int(sys.argv[1]) if len(sys.argv) > 1 else 1
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .config("spark.sql.shuffle.partitions", str(4 * int(CPUS)))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
+    spark = session(
+        "compare",
+        f"local[{CPUS}]",
+        {
+            "spark.sql.shuffle.partitions": str(4 * int(CPUS)),
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "16g",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     path = scratch_path(spark, "events")

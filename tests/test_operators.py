@@ -108,12 +108,9 @@ def test_locate_by_both_plans_equals_brute_force(spark):
     assert "NestedLoop" not in plan(locate(events, small))
     assert "NestedLoop" not in plan(locate(events, large))
 
-    def per_range(text_places):
-        return sum(1 for _ in text_places)
-
-    counted = views_per_range(events, small).agg(F.sum("views")).first()[0]
-    assert counted == per_range(1 for _, _, _, _, country in want if country != "Unknown")
-    assert rows(views_per_range(events, large)) == rows(views_per_range(events, small))
+    views = rows(views_per_range(events, table), "ip_from", "views")
+    numbered = [int(ipaddress.IPv4Address(t)) for t in texts if t and t[0].isdigit() and t != "999.1.2.3"]
+    assert views == {(r[0], sum(r[0] <= n <= r[1] for n in numbered)) for r in ranges}
 
 
 def test_small_range_table_leaves_events_unshuffled(spark):

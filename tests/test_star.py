@@ -12,9 +12,22 @@ from clickstar.operators.rows import with_columns_of
 from clickstar.plans import audit, kpi, star
 from clickstar.plans.enrich import enrich
 from clickstar.runtime import scratch_path
-from clickstar.schema import ALLOWED_COLLECTIONS, DIMENSIONS, EVENT, FACT, WAREHOUSE, key_of
+from clickstar.schema import (
+    ALLOWED_COLLECTIONS,
+    CANARY_MESSAGE,
+    DIMENSIONS,
+    EVENT,
+    FACT,
+    WAREHOUSE,
+    key_of,
+)
 from clickstar.sources import warehouse as wh
-from clickstar.sources.messages import accepted_events, intake_counts, parse_messages
+from clickstar.sources.messages import (
+    accepted_events,
+    canary_messages,
+    intake_counts,
+    parse_messages,
+)
 
 SHOWN = "product_detail_recommendation_visible"
 
@@ -74,6 +87,8 @@ def test_parsing_dirty_messages(spark):
         ("no_collection", 2),
         ("malformed", 2),
     }
+    assert canary_messages(messages).first()["message_id"] == "m"
+    assert canary_messages(messages).schema == CANARY_MESSAGE
 
 
 def test_products_of_recommendations_are_kept(spark):
