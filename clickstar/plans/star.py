@@ -15,7 +15,7 @@ from ..operators.geo import GeoTable
 from ..operators.lookup import lookup_join
 from ..operators.rows import first_per_key
 from ..schema import FACT, WAREHOUSE
-from ..sources.warehouse import BACKFILL_EPOCH, conform, write_epoch
+from ..sources.warehouse import BACKFILL_EPOCH, conform, dims_then_fact, write_epoch
 from .enrich import enrich
 
 
@@ -153,8 +153,9 @@ def build_warehouse(
     """
     enrich(events, geo).write.mode("overwrite").parquet(stage)
     tables = star_tables(spark.read.parquet(stage), brand_prefix)
-    for table, rows in tables.items():
-        write_epoch(rows, warehouse, table, BACKFILL_EPOCH)
+    dims_then_fact(
+        spark, lambda table: write_epoch(tables[table], warehouse, table, BACKFILL_EPOCH)
+    )
 
 
 def star_join(tables: dict[str, DataFrame]) -> DataFrame:

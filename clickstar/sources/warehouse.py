@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import date_of_hour_key
-from ..schema import FACT, WAREHOUSE, key_of
+from ..schema import DIMENSIONS, FACT, WAREHOUSE, key_of
 
 EPOCH = "epoch_id"
 
@@ -41,6 +45,13 @@ def _stored_schema(table: str) -> T.StructType:
     return schema.add(FACT_DATE, T.DateType()) if table == FACT else schema
 
 
+def dims_then_fact(spark: SparkSession, write: Callable[[str], None]) -> None:
+    """Write every table: the dimensions' jobs side by side, as most are small, then the fact."""
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), DIMENSIONS))
+    write(FACT)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.text(path)

@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.geo import GeoTable
 from ..plans.enrich import enrich
 from ..plans.star import star_tables
-from ..schema import DIMENSIONS, FACT
+from ..schema import FACT
 from ..sources.messages import accepted_events, parse_messages
-from ..sources.warehouse import EPOCH, FACT_DATE, insert_if_absent, path_exists, read_table
+from ..sources.warehouse import (
+    EPOCH,
+    FACT_DATE,
+    dims_then_fact,
+    insert_if_absent,
+    path_exists,
+    read_table,
+)
 from .dedup import dedup_events
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
@@ -31,9 +37,8 @@ def write_star(
 ) -> None:
     """One batch of accepted events into all eight tables, dimensions before the fact.
 
-    The enriched batch is read from the source once and kept while the tables are written. The
-    dimensions' jobs are small and run side by side. An error is not caught here: Spark then runs
-    the same epoch again, which writes the same rows.
+    The enriched batch is read from the source once and kept while the tables are written. An
+    error is not caught here: Spark then runs the same epoch again, which writes the same rows.
     """
     enriched = enrich(batch, geo).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -46,16 +51,16 @@ def write_star(
             return
         tables = star_tables(enriched, brand_prefix)
 
-        @inheritable_thread_target(batch.sparkSession)
-        def write(table: str, within: Column | None = None) -> None:
+        dates = F.col(FACT_DATE).between(F.lit(batch_is["first"]), F.lit(batch_is["last"]))
+        own_dates = dates | F.col(FACT_DATE).isNull()
+
+        def write(table: str) -> None:
+            within = own_dates if table == FACT and ids_keep_their_date else None
             insert_if_absent(
                 tables[table], warehouse, table, epoch, batch_is["events"], within
             )
 
-        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            list(pool.map(write, DIMENSIONS))
-        dates = F.col(FACT_DATE).between(F.lit(batch_is["first"]), F.lit(batch_is["last"]))
-        write(FACT, dates | F.col(FACT_DATE).isNull() if ids_keep_their_date else None)
+        dims_then_fact(batch.sparkSession, write)
     finally:
         enriched.unpersist()
 
