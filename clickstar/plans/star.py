@@ -27,10 +27,12 @@ def dim_time(enriched: DataFrame) -> DataFrame:
 
 
 def dim_store(enriched: DataFrame) -> DataFrame:
-    """'085' and '85' are one store with two names; the earliest event names it."""
-    return first_per_key(
-        enriched, "store_id", ["time_stamp", "event_id"], ["store_name"]
-    ).select("store_id", "store_name")
+    """'085' and '85' are one store with two names; the one seen first names it."""
+    names = enriched.groupBy("store_id", "store_name").agg(
+        F.min("time_stamp").alias("time_stamp")
+    )
+    first = first_per_key(names, "store_id", ["time_stamp"], ["store_name"])
+    return first.select("store_id", "store_name")
 
 
 def dim_product(enriched: DataFrame, brand_prefix: str = "") -> DataFrame:
@@ -42,13 +44,10 @@ def dim_product(enriched: DataFrame, brand_prefix: str = "") -> DataFrame:
 
 
 def dim_location(enriched: DataFrame) -> DataFrame:
-    """Distinct by key: different places may be written the same, and the key decides."""
-    keyed = enriched.select(
-        location_key(F.col("city"), F.col("region"), F.col("country")).alias("location_id"),
-        "city",
-        "region",
-        "country",
-    )
+    """Distinct places, then distinct keys: two places may be written the same, and are one."""
+    places = enriched.select("city", "region", "country").distinct()
+    key = location_key(F.col("city"), F.col("region"), F.col("country"))
+    keyed = places.withColumn("location_id", key)
     return first_per_key(keyed, "location_id", ["city", "region", "country"])
 
 

@@ -165,7 +165,7 @@ _VIEWS: dict[str, str] = {
     "dim_store": """
         SELECT store_id, store_name
         FROM (SELECT store_id, store_name, row_number() OVER (PARTITION BY store_id
-            ORDER BY time_stamp NULLS LAST, event_id, store_name) AS n FROM enriched
+            ORDER BY time_stamp NULLS LAST, store_name) AS n FROM enriched
           WHERE store_id IS NOT NULL)
         WHERE n = 1""",
     "dim_referrer_url": """

@@ -151,6 +151,24 @@ def test_stream_goes_on_after_a_backfill(spark, tmp_path, geo):
     assert rows(fact, "event_id", wh.EPOCH) == {("e1", -1), ("e2", -1), ("e3", 0)}
 
 
+def test_merged_epochs_hold_the_same_rows_and_the_stream_goes_on(spark, tmp_path, geo):
+    folder = tmp_path / "in"
+    warehouse, checkpoint = paths(spark)
+    for n in range(3):
+        put(folder, f"{n}.txt", event(n), event(n + 1, store_id=str(n)))
+        run(spark, folder, warehouse, checkpoint, geo)
+    merged = scratch_path(spark, "merged")
+    wh.merge_epochs(spark, warehouse, merged)
+    before, after = wh.read_warehouse(spark, warehouse), wh.read_warehouse(spark, merged)
+    assert {t: rows(before[t]) for t in WAREHOUSE} == {t: rows(after[t]) for t in WAREHOUSE}
+    put(folder, "9.txt", event(1), event(9))
+    run(spark, folder, merged, checkpoint, geo)
+    fact = wh.read_table(spark, merged, FACT)
+    assert rows(fact, "event_id", wh.EPOCH) == {
+        ("e0", -1), ("e1", -1), ("e2", -1), ("e3", -1), ("e9", 3),
+    }
+
+
 def test_dedup_within_delay(spark, tmp_path, geo):
     folder = tmp_path / "in"
     put(folder, "1.txt", event(1), event(1), event(2))
