@@ -18,7 +18,7 @@ EPOCH = "epoch_id"
 # Streams number their epochs from 0; a backfill comes before all of them.
 BACKFILL_EPOCH = -1
 
-# Most keys of a batch to send to the target: of md5 or uuid text, some 200 MB.
+# Most keys of a batch to send to the target: as md5 text, some 200 MB.
 MAX_BROADCAST_KEYS = 2_000_000
 
 # The fact lies in one folder per UTC date of its events, for day queries to read one day.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.geo import GeoTable
+from ..operators.lookup import MAX_BROADCAST_BYTES
 from ..plans.enrich import enrich
 from ..plans.star import star_tables
 from ..schema import FACT
@@ -46,6 +47,7 @@ def write_star(
             F.count("*").alias("events"),
             F.min("event_date").alias("first"),
             F.max("event_date").alias("last"),
+            F.sum(F.octet_length("event_id")).alias("id_bytes"),
         ).first()
         if batch_is["events"] == 0:
             return
@@ -55,10 +57,12 @@ def write_star(
         own_dates = dates | F.col(FACT_DATE).isNull()
 
         def write(table: str) -> None:
-            within = own_dates if table == FACT and ids_keep_their_date else None
-            insert_if_absent(
-                tables[table], warehouse, table, epoch, batch_is["events"], within
-            )
+            bound, within = batch_is["events"], None
+            if table == FACT:
+                # Ids are as long as their source makes them; the other keys are md5 or numbers.
+                bound = bound if batch_is["id_bytes"] <= MAX_BROADCAST_BYTES else None
+                within = own_dates if ids_keep_their_date else None
+            insert_if_absent(tables[table], warehouse, table, epoch, bound, within)
 
         dims_then_fact(batch.sparkSession, write)
     finally:

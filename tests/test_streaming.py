@@ -171,17 +171,20 @@ def test_merged_epochs_hold_the_same_rows_and_the_stream_goes_on(spark, tmp_path
 
 def test_dedup_within_delay(spark, tmp_path, geo):
     folder = tmp_path / "in"
-    put(folder, "1.txt", event(1), event(1), event(2))
+    put(folder, "1.txt", event(1), event(1), event(2), event(3, time_stamp=None))
     stream = parse_messages(read_message_stream(spark, "text", path=str(folder)))
     query = (
         dedup_events(stream, "1 hour").writeStream.format("memory").queryName("deduped")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert rows(spark.table("deduped"), "id") == {("e1",), ("e2",)}
+    assert rows(spark.table("deduped"), "id") == {("e1",), ("e2",), ("e3",)}
     warehouse, checkpoint = paths(spark)
     run(spark, folder, warehouse, checkpoint, geo, dedup_delay="1 hour")
-    assert rows(wh.read_table(spark, warehouse, FACT), "event_id") == {("e1",), ("e2",)}
+    put(folder, "2.txt", event(4, time_stamp=1716990000), event(3, time_stamp=None))
+    run(spark, folder, warehouse, checkpoint, geo, dedup_delay="1 hour")
+    fact = wh.read_table(spark, warehouse, FACT)
+    assert rows(fact, "event_id") == {("e1",), ("e2",), ("e3",), ("e4",)}
 
 
 def test_relay_keeps_every_field(spark, tmp_path):
