@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -30,6 +31,12 @@ from clickstar.streaming.star import start_star_stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The operators on training data are a part of their own, which may be absent.
+if importlib.util.find_spec("clickstar.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from clickstar.llm import queries as llm_queries  # noqa: E402
+else:
+    llm_queries = None
+
 _ALL_NOW = {"availableNow": True}
 _DEVICES = T.StructType().add("browser", "string").add("os", "string")
 _PRODUCT = T.StructType().add("product_id", "integer")
@@ -464,9 +471,10 @@ def queries() -> dict[str, Query]:
             fx.canary_sent(s, d), fx.canary_received(s, d)
         ),
     }
-    return {name: _in_utc(query) for name, query in registered.items()}
+    ours = {name: _in_utc(query) for name, query in registered.items()}
+    return ours | (llm_queries.queries() if llm_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """For each query, SQL that DuckDB runs on the same tables."""
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
