@@ -5,21 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickstar.llm import tokens
+from clickstar.llm import language, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def held_out() -> Column:
+    """Documents that predictions are judged on: the remainder by 3 of their id's checksum is 1."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(checksum % 3 == 1, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    """Learned from documents that are not held out; one without an id is neither."""
+    return language.train_language_model(docs, ~held_out() & F.col("doc_id").isNotNull())
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    predicted = language.predict_language(docs, language_model(docs), ["doc_id"])
+    return predicted.withColumn("held_out", held_out())
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokens.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
     return tokens.count_tokens(read(spark, sf_dir, "documents"), ranks, limit=4096)
 
 
 def queries() -> dict[str, Query]:
-    return {"op10_token_counts": op10_token_counts}
+    return {
+        "op8_language_id": op8_language_id,
+        "op10_token_counts": op10_token_counts,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
