@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import language, tokens
+from clickstar.llm import language, packing, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    model = Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
+    return packing.pack_documents(docs, model, end_id=1)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read(spark, sf_dir, "documents"))
+
+
 def held_out() -> Column:
     """Documents that predictions are judged on: the remainder by 3 of their id's checksum is 1."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -38,6 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op5_packing": op5_packing,
         "op8_language_id": op8_language_id,
         "op10_token_counts": op10_token_counts,
     }
