@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import language, packing, tokens
+from clickstar.llm import language, mixing, packing, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = mixing.word_count(F.col("text"))
+    mix = mixing.mix(read(spark, sf_dir, "documents"), size)
+    return mix.drop("source", "copies")
+
+
 def held_out() -> Column:
     """Documents that predictions are judged on: the remainder by 3 of their id's checksum is 1."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -49,6 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op5_packing": op5_packing,
+        "op7_mixing": op7_mixing,
         "op8_language_id": op8_language_id,
         "op10_token_counts": op10_token_counts,
     }
