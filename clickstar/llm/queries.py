@@ -9,12 +9,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import language, mixing, packing, tokens
+from clickstar.llm import jaccard, language, mixing, packing, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     model = Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
     return packing.pack_documents(docs, model, end_id=1)
@@ -54,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_packing": op5_packing,
         "op7_mixing": op7_mixing,
         "op8_language_id": op8_language_id,
