@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import jaccard, language, mixing, packing, tokens
+from clickstar.llm import jaccard, language, mixing, packing, repeats, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_counts(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = mixing.word_count(F.col("text"))
     mix = mixing.mix(read(spark, sf_dir, "documents"), size)
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
     return {
         "op4_jaccard_join": op4_jaccard_join,
         "op5_packing": op5_packing,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_mixing": op7_mixing,
         "op8_language_id": op8_language_id,
         "op10_token_counts": op10_token_counts,
