@@ -9,12 +9,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import jaccard, language, mixing, packing, repeats, tokens
+from clickstar.llm import jaccard, language, mixing, packing, quality, repeats, sql, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(read(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_quality_rules": op3_quality_rules,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_packing": op5_packing,
         "op6_suffix_dedup": op6_suffix_dedup,
@@ -72,4 +77,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": sql.QUALITY}
