@@ -31,7 +31,8 @@ from tokenizers import Tokenizer
 from clickstar.llm.tables import texts
 
 TIERS = (256, 512, 1024, 2048)
-MEMO_WORDS = 500_000
+#: At about 150 bytes each; beyond that the memo starts anew.
+MEMO_WORDS = 2_000_000
 #: Characters of a text that are tokenized at a time.
 BLOCK = 1 << 19
 #: Tokens and documents that wait in a partition's buffer.
@@ -79,8 +80,8 @@ class WordIds:
         if len(self.places) > MEMO_WORDS:
             self.clear()
         words = text.replace("\n", " ").split(" ")
-        if unknown := list(dict.fromkeys(w for w in words if w not in self.places)):
-            self._learn(unknown)
+        if unknown := set(words).difference(self.places):
+            self._learn(list(unknown))
         place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         lengths = self.lengths[place]
         ends = np.cumsum(lengths)
