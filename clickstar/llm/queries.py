@@ -9,12 +9,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import jaccard, language, mixing, packing, quality, repeats, sql, tokens
+from clickstar.llm import embeddings, jaccard, language, mixing, packing, quality, repeats, sql, tokens
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(read(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_quality_rules": op3_quality_rules,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_packing": op5_packing,
