@@ -39,7 +39,7 @@ class Graph:
         b, n = len(queries), len(self.vectors)
         links = self.links[level]
         rows = np.arange(b)[:, None]
-        stamp = np.full((b, n), -1, np.int32)
+        stamp = np.full((b, n + 1), -1, np.int32)  # the last place is for no node
         ids = np.full((b, beam), -1, np.int32)
         near = np.full((b, beam), -np.inf, np.float32)
         open_ = np.zeros((b, beam), bool)
@@ -49,13 +49,15 @@ class Graph:
             # Nodes met for the first time, and once in this step.
             at = rows[: len(live)]
             seen = fresh < 0
-            safe = np.where(seen, 0, fresh)
-            seen |= stamp[live[:, None], safe] >= 0
+            place = np.where(seen, n, fresh)
+            seen |= stamp[live[:, None], place] >= 0
+            place = np.where(seen, n, fresh)
             marks = serial + np.arange(fresh.shape[1], dtype=np.int32)
-            put = np.where(seen, stamp[live[:, None], safe], marks)
-            stamp[live[:, None], safe] = put
-            seen |= stamp[live[:, None], safe] != marks
+            stamp[live[:, None], place] = marks
+            seen |= stamp[live[:, None], place] != marks
+            stamp[:, n] = -1
             serial += fresh.shape[1]
+            safe = np.where(seen, 0, fresh)
             found = np.einsum("bkd,bd->bk", self.vectors[safe], queries[live])
             found[seen] = -np.inf
             all_near = np.concatenate([near[live], found], axis=1)
