@@ -39,3 +39,70 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND 10 * len(list_filter(words, lambda w: regexp_matches(w, '\p{{L}}'))) >= 5 * n_words AS kept
 FROM judged
 """
+
+_ESCAPE = r"replace(replace(replace({}, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')"
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS n,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS before
+  FROM turns),
+judged AS (
+  SELECT *, CASE WHEN n = 1 THEN role IN ('system', 'user') WHEN before = 'user'
+      THEN role = 'assistant' ELSE role = 'user' END AS allowed,
+    CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant'
+      THEN 'Assistant' ELSE replace({_ESCAPE.format("role")}, ':', '\:') END AS shown
+  FROM numbered)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), ''))
+    AS loss_sha256,
+  CAST(sum(length(shown) + length({_ESCAPE.format("text")}) + 14) AS BIGINT) AS formatted_chars,
+  bool_and(allowed) AND arg_max(role, n) = 'assistant' AS valid
+FROM judged GROUP BY conv_id
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM vectors
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT l.vec_id, (SELECT count(*) FROM links k WHERE k.a = l.vec_id) AS n_links, l.component_id,
+  l.vec_id = l.component_id AS kept
+FROM least l
+"""
+
+JACCARD = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: list_slice(w, i, i + 4))
+    WHEN len(w) > 0 THEN [w] ELSE [] END) AS s
+  FROM worded),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
