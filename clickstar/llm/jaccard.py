@@ -16,7 +16,8 @@ same shingles out of both sets makes neither differ in more.
 Equal sets are one class from the start, so copies are never paired. Classes that share a signature
 are linked to the least of them, not to each other; these candidates pass a bound on the difference
 by parity sketches and are then compared exactly. Where members of one signature are still in
-different components, their pairs are compared in a second round. So components are exact.
+different components, pairs that would join these are compared in further rounds, a spanning forest
+of each signature at a time, until none is left to compare. So components are exact.
 """
 
 from __future__ import annotations
@@ -331,36 +332,52 @@ def _compared(pairs: DataFrame, classes: DataFrame, bands: Bands, exact: bool) -
     return _beside(pairs, classes, column).mapInArrow(compare, "x long, y long")
 
 
-def _pairs_across(members: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs of a signature's members (``key, c, root, n, sketch``) of different components that
-    their sketches do not rule out; a task holds the sketches of one signature at a time."""
-
-    def across(rows: list[tuple]) -> set[tuple[int, int]]:
-        words = min(len(r[4]) for r in rows) // 8
-        bits = np.stack([folded(np.frombuffer(r[4], "<u8"), words) for r in rows])
-        c, root, n = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-        share = (1 - bands.similarity) / (1 + bands.similarity)
-        found: set[tuple[int, int]] = set()
-        for i in range(0, len(rows), BLOCK):
-            for j in range(i, len(rows), BLOCK):
-                left, right = slice(i, i + BLOCK), slice(j, j + BLOCK)
-                apart = np.zeros((len(c[left]), len(c[right])), np.int64)
-                for w in range(words):
-                    apart += np.bitwise_count(bits[left, None, w] ^ bits[None, right, w])
-                total = n[left, None] + n[None, right]
-                near = apart * share.denominator <= total * share.numerator
-                near &= root[left, None] != root[None, right]
-                for a, b in zip(*np.nonzero(near), strict=True):
-                    x, y = int(c[i + a]), int(c[j + b])
-                    found.add((min(x, y), max(x, y)))
-        return found
+def _across(rows: list[tuple], bands: Bands, forests: int) -> list[tuple[int, int]]:
+    """Pairs of a signature's members (``key, c, root, n, sketch, failed``, by ``c``) that their
+    sketches do not rule out and that join components: up to ``forests`` spanning forests of them.
+    The first member has been compared with all others before, and each with its ``failed``."""
+    words = min(len(r[4]) for r in rows) // 8
+    bits = np.stack([folded(np.frombuffer(r[4], "<u8"), words) for r in rows])
+    c, root, n = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+    share = (1 - bands.similarity) / (1 + bands.similarity)
+    place = {int(x): k for k, x in enumerate(c)}
+    tried = {(k, place[y]) for k, r in enumerate(rows) for y in r[5] or () if y in place}
+    labels = np.stack([root] * forests)
+    found: list[tuple[int, int]] = []
+    for i in range(1, len(rows), BLOCK):
+        for j in range(i, len(rows), BLOCK):
+            left, right = slice(i, i + BLOCK), slice(j, j + BLOCK)
+            apart = (labels[:, left, None] != labels[:, None, right]).any(axis=0)
+            apart &= root[left, None] != root[None, right]
+            if not apart.any():
+                continue
+            odd = np.zeros(apart.shape, np.int64)
+            for w in range(words):
+                odd += np.bitwise_count(bits[left, None, w] ^ bits[None, right, w])
+            total = n[left, None] + n[None, right]
+            apart &= odd * share.denominator <= total * share.numerator
+            for x, y in zip(*np.nonzero(apart), strict=True):
+                x, y = int(i + x), int(j + y)
+                if x >= y or (x, y) in tried or (y, x) in tried:
+                    continue
+                for label in labels:
+                    if label[x] != label[y]:
+                        label[label == label[y]] = label[x]
+                        found.append((int(c[x]), int(c[y])))
+                        break
+    return found
+
+
+def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
+    """``key, x, y``: for each signature the pairs that ``_across`` finds. A task holds the sketches
+    of one signature at a time, and gives no more pairs than ``forests`` times its members."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emitted(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            pairs = sorted(across(rows)) if len(rows) > 1 else []
-            if pairs:
-                arrays = [pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["x", "y"])
+            if len(rows) > 2 and (pairs := _across(rows, bands, forests)):
+                columns = zip(*[(rows[0][0], x, y) for x, y in pairs], strict=True)
+                arrays = [pa.array(column, pa.int64()) for column in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "x", "y"])
 
         group: list[tuple] = []
         for batch in batches:
@@ -371,9 +388,9 @@ def _pairs_across(members: DataFrame, bands: Bands) -> DataFrame:
                 group.append(row)
         yield from emitted(group)
 
-    ordered = members.select("key", "c", "root", "n", "sketch")
+    ordered = members.select("key", "c", "root", "n", "sketch", "failed")
     ordered = ordered.repartition("key").sortWithinPartitions("key", "c")
-    return ordered.mapInArrow(stream, "x long, y long").distinct()
+    return ordered.mapInArrow(stream, "key long, x long, y long")
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, bands: Bands):
@@ -425,18 +442,34 @@ def near_duplicates(
     links = _links(near, known, classes, width, bands)
     roots = components(links)
 
-    # Signatures whose members are in more than one component.
-    members = met.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("c"))
-    members = members.join(roots.withColumnRenamed("node", "c"), "c", "left")
-    members = members.withColumn("root", F.coalesce("root", "c"))
-    several = members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"))
-    several = several.where("r <> s").select("key")
+    # Signatures whose members are in more than one component: their pairs are compared as far as
+    # they join components, and those that fail are left out of the next round.
+    every = met.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("c"))
     bits = classes.select("c", "n", "sketch")
-    across = _pairs_across(members.join(several, "key", "left_semi").join(bits, "c"), bands)
-    across = written(across.join(stars, ["x", "y"], "left_anti"), "jaccard-across")
-    more = _links(across, known, classes, width, bands)
-    if more.limit(1).count():
-        roots = components(links.unionByName(more))
+    failed, forests = None, 1
+    while True:
+        members = every.join(roots.withColumnRenamed("node", "c"), "c", "left")
+        members = members.withColumn("root", F.coalesce("root", "c"))
+        several = members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"))
+        members = members.join(several.where("r <> s").select("key"), "key", "left_semi")
+        members = members.join(bits, "c")
+        if failed is None:
+            members = members.withColumn("failed", F.lit(None).cast("array<long>"))
+        else:
+            tried = failed.groupBy(F.col("x").alias("c")).agg(F.collect_set("y").alias("failed"))
+            members = members.join(tried, "c", "left")
+        across = written(_pairs_across(members, bands, forests), "jaccard-across")
+        pairs = across.select("x", "y").distinct()
+        if not across.limit(1).count():
+            break
+        more = _links(pairs, known, classes, width, bands)
+        wrong = pairs.join(more, (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_anti")
+        failed = written(wrong if failed is None else failed.unionByName(wrong), "jaccard-failed")
+        links = written(links.unionByName(more), "jaccard-links")
+        roots = components(links)
+        # Signatures without a pair to compare have none later either.
+        every = every.join(across.select("key").distinct(), "key", "left_semi")
+        forests *= 2
 
     of_class = classes.select("c", "id").join(roots.withColumnRenamed("node", "c"), "c", "left")
     of_class = of_class.withColumn("root", F.coalesce("root", "c"))
