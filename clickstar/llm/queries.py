@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import chat, embeddings, jaccard, language, mixing, packing, quality, repeats, sql, tokens
+from clickstar.llm import (
+    chat,
+    embeddings,
+    jaccard,
+    language,
+    licences,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    sql,
+    tokens,
+)
 from clickstar.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +87,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.withColumn("held_out", held_out())
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_summary(licences.scan_licences(read(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = tokens.read_ranks(public_tokenizers.path("piece_bpe_32k.model"))
     return tokens.count_tokens(read(spark, sf_dir, "documents"), ranks, limit=4096)
@@ -90,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_mixing": op7_mixing,
         "op8_language_id": op8_language_id,
+        "op9_license_scan": op9_license_scan,
         "op10_token_counts": op10_token_counts,
     }
 
