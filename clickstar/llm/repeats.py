@@ -34,7 +34,9 @@ from clickstar.llm.tables import STEP, written
 LENGTH = 200
 #: Bytes of an anchor: fewer make fewer of them, more make fewer that occur twice by chance.
 ANCHOR = 100
-TASK_ANCHORS = 1_000_000
+TASK_ANCHORS = 250_000
+#: Rows of a batch that is given back.
+ROWS = 20_000
 #: Bytes of contexts that one suffix array is made of, if an anchor has no more; and a task's.
 BLOCK_BYTES, TASK_BYTES = 1 << 20, 24 << 20
 
@@ -146,17 +148,20 @@ def _met(part: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
     base = np.int64(part) << np.int64(32)
     lead = starts(hashed, context)
     number = np.cumsum(lead) - 1
-    yield pa.RecordBatch.from_arrays(
+    several = np.bincount(number)[number] > 1
+    found = pa.RecordBatch.from_arrays(
         [
             pa.array(base + hashed.astype(np.int64)),
             pa.array(base + number),
             pa.array(key),
             pa.array(place),
             pa.array(lead),
-            pa.array(np.bincount(number)[number] > 1),
+            pa.array(several),
         ],
         ["anchor", "context", "k", "place", "lead", "several"],
     )
+    for low in range(0, found.num_rows, ROWS):
+        yield found.slice(low, ROWS)
 
 
 def _places(anchored: DataFrame, parts: int) -> DataFrame:
@@ -166,12 +171,12 @@ def _places(anchored: DataFrame, parts: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blocks = None, []
         for batch in batches:
-            for p, data in zip(*(batch.column(k).to_pylist() for k in (0, 1)), strict=True):
+            for p, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if p != part and blocks:
                     yield from _met(part, blocks)
                     blocks = []
                 part = p
-                blocks.append(data)
+                blocks.append(data.as_py())
         if blocks:
             yield from _met(part, blocks)
 
