@@ -97,7 +97,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    import corpus_pipeline  # its stages use this module
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_chat_format": op1_chat_format,
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_quality_rules": op3_quality_rules,

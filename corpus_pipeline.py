@@ -1 +1,60 @@
-"""The documents pipeline."""
+"""From raw documents to packed training windows, in five stages.
+
+Each stage takes all rows that its predecessor kept, as a table, and gives documents again, with the
+columns of ``documents``; the last one gives the pieces of packed windows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickstar.llm import jaccard, language, mixing, repeats
+from clickstar.llm.queries import language_model, packed
+from clickstar.llm.tables import read, written
+
+
+def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the model tells; those that it rejects go."""
+    return language.identified(docs, language_model(docs))
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the least id."""
+    return jaccard.one_of_each(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere; ``n_chars`` counts what is left."""
+    left = repeats.without_repeats(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources has it."""
+    return mixing.mixed(docs, mixing.word_count(F.col("text")))
+
+
+def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of documents in training windows."""
+    return packed(docs)
+
+
+STAGES = [
+    ("language", told_language),
+    ("near_duplicates", one_of_near_duplicates),
+    ("repeats", without_repeats),
+    ("mixing", mixed_sources),
+    ("packing", packed_windows),
+]
+
+#: SQL has no words for trained models, rounding by draws and tokens.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn over ``documents``, each result but the last written and read again."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
