@@ -324,32 +324,63 @@ def _audit_star(spark, sf_dir):
 
 def _top_ip_countries(spark, sf_dir):
     enriched = _enriched_with_place(spark, sf_dir)
-    views = star.unique_views(enriched, ["event_date", "location_id"], fx.AS_OF)
-    return kpi.top_ip_countries(views, star.dim_location(enriched), fx.AS_OF)
+    views = star.unique_views(enriched, ["event_date", "country"], fx.AS_OF)
+    return kpi.top_labels(views, "country", fx.AS_OF)
 
 
 def _top_referrers(spark, sf_dir):
-    enriched = _enriched(spark, sf_dir)
-    views = star.unique_views(enriched, ["event_date", "referrer_url_id"], fx.AS_OF)
-    return kpi.top_referrers(views, star.dim_referrer_url(enriched), fx.AS_OF)
+    columns = ["event_date", "referrer_url_id", "referrer_url"]
+    views = star.unique_views(_enriched(spark, sf_dir), columns, fx.AS_OF)
+    return kpi.top_labels(views, "referrer_url", fx.AS_OF, 5, by="referrer_url_id")
 
 
 def _stores_by_country(spark, sf_dir):
-    enriched = _enriched_with_place(spark, sf_dir)
-    views = star.unique_views(enriched, ["location_id", "store_id"])
-    return kpi.stores_by_ip_country(views, star.dim_location(enriched), fx.IP_COUNTRY)
+    """Stores viewed from the country that most views come from."""
+    stored = wh.read_warehouse(spark, _stored_star(spark, sf_dir))
+    country = kpi.most_viewed_country(stored[FACT], stored["dim_location"])
+    views = star.unique_views(_enriched_with_place(spark, sf_dir), ["country", "store_id"])
+    there = kpi.view_counts(views.where(F.col("country") == country), "store_id")
+    return there.orderBy(F.desc("views"), F.asc("store_id"))
+
+
+def _hourly_devices(spark, sf_dir):
+    columns = ["event_date", "time_id", "browser", "os"]
+    return kpi.hourly_devices(_views(*columns)(spark, sf_dir), fx.AS_OF)
+
+
+def _most_viewed_product(views: DataFrame) -> int | None:
+    top = kpi.top_products(views, fx.AS_OF, 1).first()
+    return top["product_id"] if top else None
+
+
+def _product_hourly(spark, sf_dir):
+    """The day's most viewed product, hour by hour."""
+    views = _views("event_date", "time_id", "product_id")(spark, sf_dir)
+    return kpi.product_hourly(views, _most_viewed_product(views), fx.AS_OF)
+
 
+def _stored(report) -> Query:
+    """A report on a stored warehouse, as a dashboard runs it."""
 
-def _hourly_devices(report) -> Query:
     def run(spark, sf_dir):
-        enriched = _enriched(spark, sf_dir)
-        columns = ["event_date", "time_id", "browser_id", "os_id"]
-        views = star.unique_views(enriched, columns, fx.AS_OF)
-        return report(views, star.dim_browser(enriched), star.dim_os(enriched), fx.AS_OF)
+        stored = wh.read_warehouse(spark, _stored_star(spark, sf_dir))
+        return report(stored)
 
     return run
 
 
+def _stored_stores_by_country(stored):
+    views, places = stored[FACT], stored["dim_location"]
+    return kpi.stores_by_ip_country(views, places, kpi.most_viewed_country(views, places))
+
+
+def _geolocate_large(spark, sf_dir):
+    """By the plan for range tables that are too large to broadcast."""
+    large = geo_table(fx.geo_ranges(spark, sf_dir), max_broadcast_bytes=0)
+    located = locate(_accepted(spark, sf_dir), large)
+    return located.select(F.col("id").alias("event_id"), "ip", "country", "region", "city")
+
+
 def _kpi(report, columns: list[str], *parameters) -> Query:
     return lambda spark, sf_dir: report(_views(*columns)(spark, sf_dir), *parameters)
 
@@ -411,6 +442,7 @@ def queries() -> dict[str, Query]:
         "browser_family": _per_event(browser=lambda: agent.browser_family(F.col("user_agent"))),
         "os_family": _per_event(os=lambda: agent.os_family(F.col("user_agent"))),
         "ip_geolocate": _ip_geolocate,
+        "ip_geolocate_large": _geolocate_large,
         "ip_to_long": _per_event(
             ip=lambda: F.col("ip"), ip_number=lambda: net.ip_to_long(F.col("ip"))
         ),
@@ -443,11 +475,24 @@ def queries() -> dict[str, Query]:
         "kpi_stores_by_domain_country": _kpi(
             kpi.stores_by_domain_country, ["domain_country", "store_id"], fx.DOMAIN_COUNTRY
         ),
-        "kpi_product_hourly": _kpi(
-            kpi.product_hourly, ["event_date", "time_id", "product_id"], fx.PRODUCT_ID, fx.AS_OF
+        "kpi_product_hourly": _product_hourly,
+        "kpi_hourly_browser_os": _hourly_devices,
+        "kpi_hourly_browser_os_sets": lambda s, d: kpi.device_sets(_hourly_devices(s, d)),
+        # The same on a stored warehouse
+        "stored_top_products": _stored(lambda w: kpi.top_products(w[FACT], fx.AS_OF)),
+        "stored_top_countries_ip": _stored(
+            lambda w: kpi.top_ip_countries(w[FACT], w["dim_location"], fx.AS_OF)
+        ),
+        "stored_top_referrers": _stored(
+            lambda w: kpi.top_referrers(w[FACT], w["dim_referrer_url"], fx.AS_OF)
+        ),
+        "stored_stores_by_country": _stored(_stored_stores_by_country),
+        "stored_product_hourly": _stored(
+            lambda w: kpi.product_hourly(w[FACT], _most_viewed_product(w[FACT]), fx.AS_OF)
+        ),
+        "stored_hourly_browser_os": _stored(
+            lambda w: kpi.hourly_browser_os(w[FACT], w["dim_browser"], w["dim_os"], fx.AS_OF)
         ),
-        "kpi_hourly_browser_os": _hourly_devices(kpi.hourly_browser_os),
-        "kpi_hourly_browser_os_sets": _hourly_devices(kpi.hourly_browser_os_sets),
         # Stream health
         "ops_rate_per_sec": lambda s, d: health.messages_per_second(fx.message_log(s, d)),
         "ops_rate_per_min": lambda s, d: health.messages_per_minute(fx.message_log(s, d)),

@@ -16,13 +16,42 @@ from pyspark.sql import functions as F
 
 BRAND_PREFIX = "brand-"
 AS_OF = dt.date(2024, 1, 15)
-PRODUCT_ID = 32
 DOMAIN_COUNTRY = "cl"
-IP_COUNTRY = "NATION_2"
+
+# Agents as browsers send them, and one that is none.
+USER_AGENTS = [
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1.1 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1 Safari/605.1.15",
+    "Mozilla/5.0 (X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59",
+    "Mozilla/5.0 (Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.120 Mobile Safari/537.36",
+    "invalid-user-agent",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 OPR/77.0.4054.172",
+    "Mozilla/5.0 (Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/14.2 Chrome/87.0.4280.141 Mobile Safari/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) FxiOS/34.0 Mobile/15E148 Safari/605.1.15",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/91.0.4472.80 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Android 11; Mobile; rv:89.0) Gecko/89.0 Firefox/89.0",
+    "Mozilla/5.0 (Linux; U; Android 10; en-US; RMX1825) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.3904.108 UCBrowser/13.4.0.1306 Mobile Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.4430.212 YaBrowser/21.5.3 Yowser/2.5 Safari/537.36",
+    "Opera/9.80 (Android; Opera Mini/36.2.2254/119.132; U; en) Presto/2.12.423 Version/12.16",
+    "Mozilla/5.0 (Linux; U; Android 4.0.3; en-us; GT-P5100) AppleWebKit/534.30 (KHTML, like Gecko) Version/4.0 Safari/534.30",
+    "Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)",
+    "Mozilla/5.0 (compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm)",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 [FBAN/FBIOS;FBAV/323.0.0.43.119]",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 Instagram 192.0.0.37.119",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148",
+    "Mozilla/5.0 (Linux; Android 11; Pixel 4; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/91.0.4472.120 Mobile Safari/537.36",
+    "Mozilla/5.0 (X11; CrOS x86_64 13904.55.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.147 Safari/537.36",
+    "Mozilla/5.0 (Mobile; Windows Phone 8.1; Android 4.0; ARM; Trident/7.0; Touch; rv:11.0; IEMobile/11.0; NOKIA; Lumia 520) like iPhone OS 7_0_3 Mac OS X AppleWebKit/537 (KHTML, like Gecko) Mobile Safari/537",
+    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.114 Safari/537.36 Vivaldi/4.0",
+    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0",
+    "Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/87.0.4280.66 QQBrowser/10.7 Safari/537.36",
+    None,
+]
 
 # Fixed values of the views.
-_PRODUCTS = 199
-_REFERRERS = 50
 _RANGE_BLOCKS = 4096
 _LOG_START = 1704067200  # 2024-01-01T00:00:00Z
 _LOG_SECOND_MICROS = 720_000_000  # 30 days told in an hour
@@ -55,27 +84,16 @@ _EVENT_FIELDS = {
     "time_stamp": "micros DIV 1000000",
     "product_id": """
       CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 77 = 0 THEN 'n/a'
-        ELSE CAST(event_id * 31 % 199 + 1 AS STRING) END""",
+        ELSE CAST(p_partkey AS STRING) END""",
     "viewing_product_id": """
       CASE WHEN event_type = 'purchase' AND event_id % 4 <> 0
-        THEN CAST(event_id * 17 % 199 + 1 AS STRING) END""",
+        THEN CAST(event_id * 17 % products AS STRING) END""",
     "store_id": "CASE WHEN event_id % 97 <> 0 THEN CAST(user_id % 12 AS STRING) END",
     "ip": """
       CASE WHEN event_id % 101 = 0 THEN '0.0.0.0' WHEN event_id % 103 = 0 THEN 'unknown'
         WHEN event_id % 107 = 0 THEN '' WHEN event_id % 109 = 0 THEN '999.1.2.3'
         ELSE concat_ws('.', 1 + user_id * 37 % 223, user_id * 91 % 256, event_id % 256, 7) END""",
-    "user_agent": """
-      CASE WHEN event_id % 89 = 0 THEN NULL ELSE concat(
-        CASE WHEN user_id % 8 < 7 THEN 'Mozilla/5.0 (' ELSE '' END,
-        CASE user_id % 8
-          WHEN 0 THEN 'Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36'
-          WHEN 1 THEN 'iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1.1 Mobile/15E148 Safari/604.1'
-          WHEN 2 THEN 'Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko'
-          WHEN 3 THEN 'Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1 Safari/605.1.15'
-          WHEN 4 THEN 'X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0'
-          WHEN 5 THEN 'Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59'
-          WHEN 6 THEN 'Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.120 Mobile Safari/537.36'
-          ELSE 'invalid-user-agent' END) END""",
+    "user_agent": "CASE WHEN event_id % 89 <> 0 THEN agent END",
     "referrer_url": "CASE WHEN event_id % 10 <> 0 THEN url END",
     "current_url": """
       concat('https://www.shop.',
@@ -94,33 +112,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(events: DataFrame) -> DataFrame:
-    """A table of one row group is one task's work; give it to all cores. Tables that come in at
-    least as many splits as there are cores, as large ones do, stay as they are."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() >= cores:
-        return events
-    return events.repartition(cores, "event_id")
+def _size(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Rows of a table, as its files' footers tell."""
+    return max(1, table(spark, sf_dir, name).count())
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in parsed shape, one in twenty delivered twice."""
-    # The keys derived below take no other values, so these sides hold 199 and 50 rows at most.
-    products = table(spark, sf_dir, "part").where(f"p_partkey BETWEEN 1 AND {_PRODUCTS}")
-    referrers = table(spark, sf_dir, "pages").where(f"page_id BETWEEN 0 AND {_REFERRERS - 1}")
-    slugs = products.selectExpr("p_partkey", "replace(lower(p_name), ' ', '-') AS slug")
-    delivered = _spread(table(spark, sf_dir, "events")).selectExpr(
-        "event_id",
-        "user_id",
-        "event_type",
-        f"{_MICROS} AS micros",
-        f"event_id * 31 % {_PRODUCTS} + 1 AS p_partkey",
-        f"event_id % {_REFERRERS} AS page_id",
-        "explode(if(event_id % 20 = 0, array(1, 2), array(1))) AS delivery",
+    """Events in parsed shape, one in twenty delivered twice.
+
+    Products and referrers are dealt over all rows of their tables.
+    """
+    products = _size(spark, sf_dir, "part")
+    referrers = _size(spark, sf_dir, "pages")
+    slugs = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "replace(lower(p_name), ' ', '-') AS slug"
+    )
+    agents = F.array(*map(F.lit, USER_AGENTS))
+    delivered = (
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "event_id",
+            "user_id",
+            "event_type",
+            f"{_MICROS} AS micros",
+            f"event_id * 31 % {products} AS p_partkey",
+            f"event_id % {referrers} AS page_id",
+            f"{products} AS products",
+            "explode(if(event_id % 20 = 0, array(1, 2), array(1))) AS delivery",
+        )
+        .withColumn("agent", F.get(agents, F.col("user_id") % len(USER_AGENTS)))
     )
     return (
-        delivered.join(F.broadcast(slugs), "p_partkey")
-        .join(F.broadcast(referrers), "page_id", "left")
+        delivered.join(slugs, "p_partkey")
+        .join(table(spark, sf_dir, "pages"), "page_id", "left")
         .selectExpr(*[f"{field} AS {name}" for name, field in _EVENT_FIELDS.items()])
     )
 

@@ -21,26 +21,45 @@ UNKNOWN = "Unknown"
 
 # Browser families.
 BROWSER_RULES: list[Rule] = [
+    ("Googlebot", ["Googlebot"]),
+    ("bingbot", ["bingbot", "Bingbot"]),
+    ("Facebook", ["FBAN/", "FBAV/"]),
+    ("Instagram", ["Instagram"]),
     ("Edge", ["Edg/", "Edge/", "EdgA/", "EdgiOS/"]),
+    ("IE Mobile", ["IEMobile/"]),
     ("IE", ["Trident/", "MSIE "]),
+    ("Opera Mini", ["Opera Mini/"]),
     ("Opera", ["OPR/", "Opera/"]),
     ("Samsung Internet", ["SamsungBrowser/"]),
+    ("UC Browser", ["UCBrowser/"]),
+    ("Yandex Browser", ["YaBrowser/"]),
+    ("Vivaldi", ["Vivaldi/"]),
+    ("QQ Browser", ["QQBrowser/"]),
     ("Firefox iOS", ["FxiOS/"]),
+    ("Firefox Mobile", [("Mobile;", "Firefox/"), ("Tablet;", "Firefox/")]),
     ("Firefox", ["Firefox/"]),
     ("Chrome Mobile iOS", ["CriOS/"]),
+    ("Chrome Mobile WebView", [("; wv)", "Chrome/")]),
     ("Chrome Mobile", [("Chrome/", "Mobile")]),
     ("Chrome", ["Chrome/"]),
+    ("Android", [("Android", "Safari/")]),
     ("Mobile Safari", [("iPhone", "Safari/"), ("iPad", "Safari/"), ("iPod", "Safari/")]),
+    (
+        "Mobile Safari UI/WKWebView",
+        [("iPhone", "AppleWebKit/"), ("iPad", "AppleWebKit/"), ("iPod", "AppleWebKit/")],
+    ),
     ("Safari", ["Safari/"]),
 ]
 
 # Operating system families.
 OS_RULES: list[Rule] = [
+    ("Windows Phone", ["Windows Phone"]),
     ("Windows", ["Windows"]),
     ("iOS", ["iPhone", "iPad", "iPod"]),
     ("Android", ["Android"]),
     ("Chrome OS", ["CrOS"]),
     ("Mac OS X", ["Mac OS X"]),
+    ("Ubuntu", ["Ubuntu"]),
     ("Linux", ["Linux"]),
 ]
 

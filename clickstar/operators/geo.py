@@ -1,7 +1,8 @@
 """Place of an IPv4 address, by a join to a table of address ranges.
 
-Ranges do not overlap and may leave gaps. Both plans cut ranges at multiples of 2^16 addresses
-and join on that bucket, so neither compares every address with every range.
+Ranges may leave gaps and must not overlap, which is checked when a table is measured. Both plans
+cut ranges at multiples of 2^16 addresses and join on that bucket, so neither compares every address
+with every range.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.net import locatable_ip
-from .lookup import COUNT, HOT_ROWS, join_counted, key_counts, measured_bytes
+from .lookup import COUNT, key_counts, measured_bytes
 
 UNKNOWN = "Unknown"
 MAX_BROADCAST_BYTES = 512 * 1024 * 1024
@@ -48,14 +49,28 @@ class GeoTable:
 
 def geo_table(ranges: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> GeoTable:
     """Measure a range table, once for all the batches it serves. A range counts once per
-    bucket it reaches into, as that is what would be broadcast."""
+    bucket it reaches into, as that is what would be broadcast. Overlapping ranges are refused: an
+    address in two of them would have two places."""
+    overlapping = overlaps(ranges).first()
+    if overlapping:
+        raise ValueError(f"ranges overlap: one from {overlapping['ip_from']} and an earlier one")
     spans = _bucket("ip_to") - _bucket("ip_from") + 1
     return GeoTable(ranges, measured_bytes(ranges, copies=spans) <= max_broadcast_bytes)
 
 
-def locate(
-    events: DataFrame, geo: GeoTable, ip: str = "ip", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def overlaps(ranges: DataFrame) -> DataFrame:
+    """Ranges that share an address with one that starts before or with them. Two such share a
+    bucket, and there the furthest end so far tells."""
+    so_far = (
+        W.partitionBy("_bucket")
+        .orderBy("ip_from", "ip_to")
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    ended = _by_bucket(ranges).withColumn("_end", F.max("ip_to").over(so_far))
+    return ended.where(F.col("_end") >= F.col("ip_from")).select("ip_from", "ip_to").limit(1)
+
+
+def locate(events: DataFrame, geo: GeoTable, ip: str = "ip") -> DataFrame:
     """`events` with city, region and country; Unknown where the address has no place.
 
     A small range table is broadcast and events are not shuffled at all; with a large one the
@@ -65,7 +80,7 @@ def locate(
     if geo.small:
         located = _locate_by_broadcast(addressed, geo.ranges)
     else:
-        located = _locate_by_shuffle(addressed, geo.ranges, hot_rows)
+        located = _locate_by_shuffle(addressed, geo.ranges)
     return located.select(*events.columns, *[_named(place) for place in _PLACE])
 
 
@@ -77,12 +92,12 @@ def _locate_by_broadcast(addressed: DataFrame, ranges: DataFrame) -> DataFrame:
     return addressed.join(F.broadcast(cut), here, "left")
 
 
-def _locate_by_shuffle(addressed: DataFrame, ranges: DataFrame, hot_rows: int) -> DataFrame:
-    """Each distinct address is looked up once, and its place goes back to the events by a join
-    with hot addresses split off."""
+def _locate_by_shuffle(addressed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Each distinct address is looked up once, and its place goes back to the events by a join,
+    whose partitions AQE splits where an address is hot."""
     ranged = _range_of(key_counts(addressed, "_ip"), ranges)
-    places = ranged.select("_ip", COUNT, *[f"_range.{place}" for place in _PLACE])
-    return join_counted(addressed, places, "_ip", hot_rows)
+    places = ranged.select("_ip", *[f"_range.{place}" for place in _PLACE])
+    return addressed.join(places, "_ip", "left")
 
 
 def _range_of(counted: DataFrame, ranges: DataFrame) -> DataFrame:

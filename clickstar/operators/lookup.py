@@ -1,4 +1,4 @@
-"""Left join to a table with one row per key, at any size and any skew."""
+"""Sizes and key counts of tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-HOT_ROWS = 5_000_000
 COUNT = "_n"
 
 # What a row and a field cost in a hashed relation besides their text.
@@ -26,64 +25,6 @@ def measured_bytes(df: DataFrame, copies: F.Column | None = None) -> int:
     return df.agg(F.sum(size.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """`left` with the columns of `right`, which has at most one row per key.
-
-    A table measured to be small is broadcast: the left side is not shuffled. Any other goes
-    through `split_join`.
-    """
-    if measured_bytes(right) <= max_broadcast_bytes:
-        fields = [name for name in right.columns if name != key]
-        return left.join(F.broadcast(right), key, "left").select(*left.columns, *fields)
-    return split_join(left, right, key, hot_rows)
-
-
-def split_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Shuffled left join in which no key, null or hot, gathers in one task.
-
-    The distinct keys of `left` meet `right` first, one row each, with the rows they stand for.
-    """
-    counted = key_counts(left, key).join(right, key, "left")
-    return join_counted(left, counted, key, hot_rows)
-
-
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows per non-null key, counted in each task before the shuffle."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(COUNT))
-
-
-def join_counted(left: DataFrame, counted: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """`left` with the columns of `counted`, which has each of its keys once, with its count.
-
-    Keys on more than `hot_rows` rows are looked up by broadcast; there can be at most
-    rows / hot_rows of them. Their rows, and those without a key, then take part in the shuffled
-    join without a key, so they match nothing, and are spread over the tasks by row content. (The
-    slot of cold rows depends on the key, as the optimizer would drop a constant from the join.)
-    """
-    fields = [name for name in counted.columns if name not in (key, COUNT)]
-    is_hot = F.col(COUNT) > hot_rows
-    hot = counted.where(is_hot).select(
-        key, F.lit(True).alias("_is_hot"), F.struct(*fields).alias("_hot")
-    )
-    cold = counted.where(~is_hot).select(
-        F.col(key).alias("_key"),
-        F.xxhash64(key).alias("_slot"),
-        F.struct(*fields).alias("_cold"),
-    )
-    settled = F.col(key).isNull() | F.col("_is_hot").isNotNull()
-    keyed = left.join(F.broadcast(hot), key, "left").select(
-        *left.columns,
-        "_hot",
-        F.when(~settled, F.col(key)).alias("_key"),
-        F.when(settled, F.xxhash64(*left.columns)).otherwise(F.xxhash64(key)).alias("_slot"),
-    )
-    return keyed.join(cold, ["_key", "_slot"], "left").select(
-        *left.columns,
-        *[F.coalesce(f"_hot.{name}", f"_cold.{name}").alias(name) for name in fields],
-    )

@@ -34,20 +34,48 @@ def _key_checks(df: DataFrame, table: str) -> DataFrame:
     return checks.unpivot("table_name", None, "check_name", "n")
 
 
-def _orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose key the dimension lacks; keys are counted before they are joined."""
-    used = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    lost = used.join(dim.select(key), key, "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.lit(FACT).alias("table_name"), F.lit(f"orphan_{key}").alias("check_name"), "n"
+def _fact_checks(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """All checks of the fact in one pass: each row gives its own key and those to dimensions, which
+    are counted before they meet the dimensions' keys."""
+    own = key_of(FACT)
+    keys = [own, *map(key_of, dims)]
+    named = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("key")) for k in keys])
+    )
+    used = fact.select(named.alias("k")).groupBy("k.name", "k.key").agg(F.count("*").alias("n"))
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            dim.select(
+                F.lit(key_of(table)).alias("name"), F.col(key_of(table)).cast("string").alias("key")
+            )
+            for table, dim in dims.items()
+        ],
+    )
+    found = used.join(known.distinct().withColumn("known", F.lit(True)), ["name", "key"], "left")
+    keyed, lost = F.col("key").isNotNull(), F.col("known").isNull()
+
+    def total(condition) -> F.Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    here = F.col("name") == own
+    checks = {
+        "rows": total(here),
+        "null_keys": total(here & ~keyed),
+        "duplicate_keys": total(here & keyed) - F.count(F.when(here & keyed, 1)),
+        **{f"orphan_{key}": total((F.col("name") == key) & keyed & lost) for key in keys[1:]},
+    }
+    counted = found.agg(*[check.alias(name) for name, check in checks.items()])
+    return counted.withColumn("table_name", F.lit(FACT)).unpivot(
+        "table_name", None, "check_name", "n"
     )
 
 
 def audit_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, null keys and duplicate keys of every table, and the fact's orphans per key."""
-    checks = [_key_checks(tables[table], table) for table in WAREHOUSE]
-    checks += [_orphans(tables[FACT], tables[dim], key_of(dim)) for dim in DIMENSIONS]
-    return reduce(DataFrame.unionByName, checks)
+    dims = {table: tables[table] for table in DIMENSIONS}
+    checks = [_key_checks(dim, table) for table, dim in dims.items()]
+    return reduce(DataFrame.unionByName, [*checks, _fact_checks(tables[FACT], dims)])
 
 
 def audit_warehouse(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -72,17 +72,21 @@ def consumer_lag(log: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def consume_rate(commits: DataFrame) -> DataFrame:
-    """Messages consumed per second, by group, topic and minute."""
+    """Messages consumed per second, by group, topic and minute.
+
+    A minute has what was committed since the last commit of the minute before, so the minutes
+    of a series add up to all that it consumed; the first one counts from its first commit.
+    """
+    series = ["group_id", "topic", "partition"]
     order = F.struct("timestamp", "committed_offset")
-    moved = (
-        commits.groupBy("group_id", "topic", "partition", _minute().alias("minute_start"))
-        .agg(
-            F.max_by("committed_offset", order).alias("last"),
-            F.min_by("committed_offset", order).alias("first"),
-        )
+    per_minute = commits.groupBy(*series, _minute().alias("minute_start")).agg(
+        F.max_by("committed_offset", order).alias("last"),
+        F.min_by("committed_offset", order).alias("first"),
     )
+    before = F.lag("last").over(W.partitionBy(*series).orderBy("minute_start"))
+    moved = per_minute.withColumn("moved", F.col("last") - F.coalesce(before, "first"))
     return moved.groupBy("group_id", "topic", "minute_start").agg(
-        (F.sum(F.col("last") - F.col("first")) / _MINUTE).alias("per_second")
+        (F.sum("moved") / _MINUTE).alias("per_second")
     )
 
 

@@ -82,6 +82,30 @@ def stores_by_ip_country(
     )
 
 
+def top_labels(
+    views: DataFrame, label: str, day: dt.date, k: int = 10, by: str | None = None
+) -> DataFrame:
+    """The k most viewed labels of the day, straight from events that carry them; equals come in
+    order of `by`, else of the label."""
+    keys = [label] if by is None else [by, label]
+    return top_k(view_counts(on_day(views, day), *keys), keys[0], "views", k).select(label, "views")
+
+
+def most_viewed_country(views: DataFrame, dim_location: DataFrame) -> str | None:
+    """The country that most views come from, of those that are known."""
+    known = dim_location.where(F.col("country") != "Unknown").select("location_id", "country")
+    counts = view_counts(views, "location_id").join(known, "location_id")
+    countries = counts.groupBy("country").agg(F.sum("views").alias("views"))
+    top = top_k(countries, "country", "views", 1).first()
+    return top["country"] if top else None
+
+
+def hourly_devices(views: DataFrame, day: dt.date) -> DataFrame:
+    """Views of the day by hour, browser and system, from events that carry these names."""
+    counts = view_counts(on_day(views, day), "time_id", "browser", "os")
+    return counts.select((F.col("time_id") % 100).cast("int").alias("hour"), "browser", "os", "views")
+
+
 def stores_by_domain_country(views: DataFrame, country: str) -> DataFrame:
     """Stores viewed on a country's domain, most viewed first."""
     return view_counts(
@@ -124,11 +148,13 @@ def hourly_browser_os(
 def hourly_browser_os_sets(
     views: DataFrame, dim_browser: DataFrame, dim_os: DataFrame, day: dt.date
 ) -> DataFrame:
-    """The same by pair, and by browser and by system alone.
+    """The same by pair, and by browser and by system alone."""
+    return device_sets(hourly_browser_os(views, dim_browser, dim_os, day))
+
 
-    The grouping sets run on the hourly counts, not on events, which they would triple.
-    """
-    counts = hourly_browser_os(views, dim_browser, dim_os, day)
+def device_sets(counts: DataFrame) -> DataFrame:
+    """Hourly counts by pair, and by browser and by system alone; of events, the sets would triple
+    the rows."""
     sets = [["hour", "browser"], ["hour", "os"], ["hour", "browser", "os"]]
     return counts.groupingSets(sets, "hour", "browser", "os").agg(
         F.sum("views").alias("views")

@@ -12,10 +12,9 @@ from ..functions.keys import hash_key, location_key
 from ..functions.time import hour_attributes, hour_key
 from ..functions.url import product_name
 from ..operators.geo import GeoTable
-from ..operators.lookup import lookup_join
 from ..operators.rows import first_per_key
 from ..schema import FACT, WAREHOUSE
-from ..sources.warehouse import BACKFILL_EPOCH, conform, dims_then_fact, write_epoch
+from ..sources.warehouse import BACKFILL_EPOCH, conform, dims_then_fact, remove_path, write_epoch
 from .enrich import enrich
 
 
@@ -79,6 +78,10 @@ _FACT_COLUMNS = {
     "browser_id": lambda: hash_key(F.col("browser")),
     "os_id": lambda: hash_key(F.col("os")),
     # Not stored in the fact table, for reports straight from events.
+    "country": lambda: F.col("country"),
+    "browser": lambda: F.col("browser"),
+    "os": lambda: F.col("os"),
+    "referrer_url": lambda: F.col("referrer_url"),
     "event_date": lambda: F.col("event_date"),
     "domain_country": lambda: F.col("domain_country"),
 }
@@ -94,7 +97,10 @@ def unique_views(
     ones need not be shuffled, while those of earlier days must be.
     """
     if until is not None:
-        enriched = enriched.where(F.col("event_date") <= F.lit(until))
+        # The raw time as well, which files and formats can be searched by.
+        after = dt.datetime.combine(until, dt.time(), dt.timezone.utc) + dt.timedelta(days=1)
+        early = F.col("time_stamp") < int(after.timestamp())
+        enriched = enriched.where(early & (F.col("event_date") <= F.lit(until)))
     keyed = enriched.select(
         "event_id",
         "time_stamp",
@@ -155,13 +161,15 @@ def build_warehouse(
     dims_then_fact(
         spark, lambda table: write_epoch(tables[table], warehouse, table, BACKFILL_EPOCH)
     )
+    remove_path(spark, stage)
 
 
 def star_join(tables: dict[str, DataFrame]) -> DataFrame:
     """Every fact row with the labels its keys stand for.
 
-    Each dimension is measured: small ones are broadcast and cost no shuffle; for the others
-    (products, referrers) rows of hot keys and of null keys are kept out of the shuffle's way.
+    Plain left joins: the planner broadcasts the dimensions whose files are small, and AQE splits
+    the partitions of the others (products, referrers) where a key, or none, is on many rows. The
+    large ones come last, so the small ones widen rows before anything is shuffled.
     """
     joined = tables[FACT].select(*WAREHOUSE[FACT].fieldNames())
     for table, key in [
@@ -173,5 +181,6 @@ def star_join(tables: dict[str, DataFrame]) -> DataFrame:
         ("dim_product", "product_id"),
         ("dim_referrer_url", "referrer_url_id"),
     ]:
-        joined = lookup_join(joined, tables[table], key)
+        labels = [name for name in tables[table].columns if name != key]
+        joined = joined.join(tables[table], key, "left").select(*joined.columns, *labels)
     return joined

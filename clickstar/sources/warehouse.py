@@ -57,6 +57,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job wrote."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """The table with its epoch_id, and event_date for the fact; empty if never written."""
     stored = _stored_schema(table)

@@ -33,7 +33,7 @@ def drain(df: DataFrame) -> None:
 
 
 def by_python_udfs(events: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Product, browser, system and place, one Python call per value."""
+    """Browser, system and place, one Python call per value."""
     table = sorted(tuple(row) for row in ranges.collect())
     starts = [row[0] for row in table]
 
@@ -51,7 +51,6 @@ def by_python_udfs(events: DataFrame, ranges: DataFrame) -> DataFrame:
 
         return lookup
 
-    part = re.compile(r"(?:brand-)?([^/?]+?)(?:-sku|\.html|$)")
     browsers = [
         (re.compile(pattern), name)
         for pattern, name in [
@@ -68,11 +67,6 @@ def by_python_udfs(events: DataFrame, ranges: DataFrame) -> DataFrame:
         ]
     ]
 
-    @F.udf("string")
-    def product(text):
-        found = part.search(text) if text else None
-        return found.group(1).replace("-", " ").title() if found else "Unknown"
-
     def family(rules):
         @F.udf("string")
         def match(text):
@@ -82,7 +76,6 @@ def by_python_udfs(events: DataFrame, ranges: DataFrame) -> DataFrame:
 
     return events.select(
         "id",
-        product("current_url").alias("product_name"),
         family(browsers)("user_agent").alias("browser"),
         family(systems)("user_agent").alias("os"),
         place(4)("ip").alias("city"),
@@ -93,11 +86,9 @@ def by_python_udfs(events: DataFrame, ranges: DataFrame) -> DataFrame:
 
 def natively(events: DataFrame, ranges: DataFrame) -> DataFrame:
     from clickstar.functions.agent import browser_family, os_family
-    from clickstar.functions.url import product_name
 
     return locate(events, geo_table(ranges)).select(
         "id",
-        product_name(F.col("current_url"), fx.BRAND_PREFIX).alias("product_name"),
         browser_family(F.col("user_agent")).alias("browser"),
         os_family(F.col("user_agent")).alias("os"),
         "city",

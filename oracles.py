@@ -2,7 +2,39 @@
 
 from __future__ import annotations
 
-_RAW_EVENTS = """
+# The agents of the view.
+_AGENTS = """[
+  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1.1 Mobile/15E148 Safari/604.1',
+  'Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko',
+  'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1 Safari/605.1.15',
+  'Mozilla/5.0 (X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0',
+  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59',
+  'Mozilla/5.0 (Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.120 Mobile Safari/537.36',
+  'invalid-user-agent',
+  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 OPR/77.0.4054.172',
+  'Mozilla/5.0 (Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/14.2 Chrome/87.0.4280.141 Mobile Safari/537.36',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) FxiOS/34.0 Mobile/15E148 Safari/605.1.15',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/91.0.4472.80 Mobile/15E148 Safari/604.1',
+  'Mozilla/5.0 (Android 11; Mobile; rv:89.0) Gecko/89.0 Firefox/89.0',
+  'Mozilla/5.0 (Linux; U; Android 10; en-US; RMX1825) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.3904.108 UCBrowser/13.4.0.1306 Mobile Safari/537.36',
+  'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.4430.212 YaBrowser/21.5.3 Yowser/2.5 Safari/537.36',
+  'Opera/9.80 (Android; Opera Mini/36.2.2254/119.132; U; en) Presto/2.12.423 Version/12.16',
+  'Mozilla/5.0 (Linux; U; Android 4.0.3; en-us; GT-P5100) AppleWebKit/534.30 (KHTML, like Gecko) Version/4.0 Safari/534.30',
+  'Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)',
+  'Mozilla/5.0 (compatible; bingbot/2.0; +http://www.bing.com/bingbot.htm)',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 [FBAN/FBIOS;FBAV/323.0.0.43.119]',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 Instagram 192.0.0.37.119',
+  'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148',
+  'Mozilla/5.0 (Linux; Android 11; Pixel 4; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/91.0.4472.120 Mobile Safari/537.36',
+  'Mozilla/5.0 (X11; CrOS x86_64 13904.55.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.147 Safari/537.36',
+  'Mozilla/5.0 (Mobile; Windows Phone 8.1; Android 4.0; ARM; Trident/7.0; Touch; rv:11.0; IEMobile/11.0; NOKIA; Lumia 520) like iPhone OS 7_0_3 Mac OS X AppleWebKit/537 (KHTML, like Gecko) Mobile Safari/537',
+  'Mozilla/5.0 (X11; Ubuntu; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.114 Safari/537.36 Vivaldi/4.0',
+  'Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0',
+  'Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/87.0.4280.66 QQBrowser/10.7 Safari/537.36',
+  NULL]"""
+
+_RAW_EVENTS = f"""
 SELECT concat('evt-', CAST(e.event_id AS VARCHAR)) AS id,
   CASE e.event_type
     WHEN 'view' THEN 'view_product_detail'
@@ -14,23 +46,15 @@ SELECT concat('evt-', CAST(e.event_id AS VARCHAR)) AS id,
     WHEN 'signup' THEN 'checkout' END AS collection,
   e.time_stamp,
   CASE WHEN e.event_id % 50 = 0 THEN NULL WHEN e.event_id % 77 = 0 THEN 'n/a'
-    ELSE CAST(e.event_id * 31 % 199 + 1 AS VARCHAR) END AS product_id,
+    ELSE CAST(pt.p_partkey AS VARCHAR) END AS product_id,
   CASE WHEN e.event_type = 'purchase' AND e.event_id % 4 <> 0
-    THEN CAST(e.event_id * 17 % 199 + 1 AS VARCHAR) END AS viewing_product_id,
+    THEN CAST(e.event_id * 17 % (SELECT count(*) FROM part) AS VARCHAR) END AS viewing_product_id,
   CASE WHEN e.event_id % 97 = 0 THEN NULL ELSE CAST(e.user_id % 12 AS VARCHAR) END AS store_id,
   CASE WHEN e.event_id % 101 = 0 THEN '0.0.0.0' WHEN e.event_id % 103 = 0 THEN 'unknown'
     WHEN e.event_id % 107 = 0 THEN '' WHEN e.event_id % 109 = 0 THEN '999.1.2.3'
     ELSE concat_ws('.', CAST(1 + e.user_id * 37 % 223 AS VARCHAR),
       CAST(e.user_id * 91 % 256 AS VARCHAR), CAST(e.event_id % 256 AS VARCHAR), '7') END AS ip,
-  CASE WHEN e.event_id % 89 = 0 THEN NULL ELSE CASE e.user_id % 8
-    WHEN 0 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36'
-    WHEN 1 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 14_6 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1.1 Mobile/15E148 Safari/604.1'
-    WHEN 2 THEN 'Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:11.0) like Gecko'
-    WHEN 3 THEN 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/14.1 Safari/605.1.15'
-    WHEN 4 THEN 'Mozilla/5.0 (X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.0'
-    WHEN 5 THEN 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36 Edg/91.0.864.59'
-    WHEN 6 THEN 'Mozilla/5.0 (Linux; Android 11; SM-G991B) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.120 Mobile Safari/537.36'
-    ELSE 'invalid-user-agent' END END AS user_agent,
+  CASE WHEN e.event_id % 89 <> 0 THEN {_AGENTS}[e.user_id % 29 + 1] END AS user_agent,
   CASE WHEN e.event_id % 10 = 0 THEN NULL ELSE p.url END AS referrer_url,
   concat('https://www.shop.',
     CASE e.user_id % 8 WHEN 0 THEN 'fr' WHEN 1 THEN 'de' WHEN 2 THEN 'es' WHEN 3 THEN 'co.uk'
@@ -45,8 +69,8 @@ FROM (SELECT *, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time_stamp FROM event
       UNION ALL
       SELECT *, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS time_stamp FROM events
       WHERE event_id % 20 = 0) e
-JOIN part pt ON pt.p_partkey = e.event_id * 31 % 199 + 1
-LEFT JOIN pages p ON p.page_id = e.event_id % 50
+JOIN part pt ON pt.p_partkey = e.event_id * 31 % (SELECT count(*) FROM part)
+LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
 """
 
 _GEO_RANGES = """
@@ -77,25 +101,48 @@ TRY_CAST(CASE WHEN starts_with(collection, 'product_detail_recommendation')
   THEN coalesce(viewing_product_id, product_id) ELSE product_id END AS INTEGER)
 """
 
+# Families of browsers and systems, and the order in which they are told.
 _BROWSER = """
-CASE WHEN regexp_matches(user_agent, 'Edg(e|A|iOS)?/') THEN 'Edge'
+CASE WHEN regexp_matches(user_agent, 'Googlebot') THEN 'Googlebot'
+  WHEN regexp_matches(user_agent, '[bB]ingbot') THEN 'bingbot'
+  WHEN regexp_matches(user_agent, 'FB(AN|AV)/') THEN 'Facebook'
+  WHEN regexp_matches(user_agent, 'Instagram') THEN 'Instagram'
+  WHEN regexp_matches(user_agent, 'Edg(e|A|iOS)?/') THEN 'Edge'
+  WHEN regexp_matches(user_agent, 'IEMobile/') THEN 'IE Mobile'
   WHEN regexp_matches(user_agent, 'Trident/|MSIE ') THEN 'IE'
+  WHEN regexp_matches(user_agent, 'Opera Mini/') THEN 'Opera Mini'
+  WHEN regexp_matches(user_agent, 'OPR/|Opera/') THEN 'Opera'
+  WHEN regexp_matches(user_agent, 'SamsungBrowser/') THEN 'Samsung Internet'
+  WHEN regexp_matches(user_agent, 'UCBrowser/') THEN 'UC Browser'
+  WHEN regexp_matches(user_agent, 'YaBrowser/') THEN 'Yandex Browser'
+  WHEN regexp_matches(user_agent, 'Vivaldi/') THEN 'Vivaldi'
+  WHEN regexp_matches(user_agent, 'QQBrowser/') THEN 'QQ Browser'
+  WHEN regexp_matches(user_agent, 'FxiOS/') THEN 'Firefox iOS'
+  WHEN regexp_matches(user_agent, 'Mobile;.*Firefox/|Tablet;.*Firefox/') THEN 'Firefox Mobile'
   WHEN regexp_matches(user_agent, 'Firefox/') THEN 'Firefox'
+  WHEN regexp_matches(user_agent, 'CriOS/') THEN 'Chrome Mobile iOS'
+  WHEN regexp_matches(user_agent, '; wv\\).*Chrome/') THEN 'Chrome Mobile WebView'
   WHEN regexp_matches(user_agent, 'Chrome/.*Mobile') THEN 'Chrome Mobile'
   WHEN regexp_matches(user_agent, 'Chrome/') THEN 'Chrome'
+  WHEN regexp_matches(user_agent, 'Android.*Safari/') THEN 'Android'
   WHEN regexp_matches(user_agent, '(iPhone|iPad|iPod).*Safari/') THEN 'Mobile Safari'
+  WHEN regexp_matches(user_agent, '(iPhone|iPad|iPod).*AppleWebKit/')
+    THEN 'Mobile Safari UI/WKWebView'
   WHEN regexp_matches(user_agent, 'Safari/') THEN 'Safari' ELSE 'Unknown' END
 """
 
 _OS = """
-CASE WHEN regexp_matches(user_agent, 'Windows') THEN 'Windows'
+CASE WHEN regexp_matches(user_agent, 'Windows Phone') THEN 'Windows Phone'
+  WHEN regexp_matches(user_agent, 'Windows') THEN 'Windows'
   WHEN regexp_matches(user_agent, 'iPhone|iPad|iPod') THEN 'iOS'
   WHEN regexp_matches(user_agent, 'Android') THEN 'Android'
   WHEN regexp_matches(user_agent, 'CrOS') THEN 'Chrome OS'
   WHEN regexp_matches(user_agent, 'Mac OS X') THEN 'Mac OS X'
+  WHEN regexp_matches(user_agent, 'Ubuntu') THEN 'Ubuntu'
   WHEN regexp_matches(user_agent, 'Linux') THEN 'Linux' ELSE 'Unknown' END
 """
 
+# Fixed value: what a product name is cut from.
 _RUNS = "([\\p{Lu}\\p{Ll}\\p{Lt}]+|[^\\p{Lu}\\p{Ll}\\p{Lt}]+)"
 _PART = "regexp_extract(current_url, '(?:brand-)?([^/?]+?)(?:-sku|\\.html|$)', 1)"
 _PRODUCT_NAME = f"""
@@ -377,14 +424,18 @@ _SELECTS: dict[str, str] = {
         JOIN dim_referrer_url r ON r.referrer_url_id = c.referrer_url_id""",
     "kpi_stores_by_country": """
         SELECT store_id, count(*) AS views FROM fact
-        WHERE country = 'NATION_2' AND store_id IS NOT NULL GROUP BY store_id""",
+        WHERE store_id IS NOT NULL AND country = (SELECT country FROM fact
+          WHERE country <> 'Unknown' GROUP BY country ORDER BY count(*) DESC, country LIMIT 1)
+        GROUP BY store_id""",
     "kpi_stores_by_domain_country": """
         SELECT store_id, count(*) AS views FROM fact
         WHERE domain_country = 'cl' AND store_id IS NOT NULL GROUP BY store_id""",
     "kpi_product_hourly": f"""
         SELECT CAST(s.hour AS INTEGER) AS hour, count(f.event_id) AS views
         FROM (SELECT range AS hour FROM range(0, 24)) s
-        LEFT JOIN (SELECT * FROM fact WHERE {_DAY} AND product_id = 32) f
+        LEFT JOIN (SELECT * FROM fact WHERE {_DAY} AND product_id = (SELECT product_id FROM fact
+            WHERE {_DAY} GROUP BY product_id HAVING product_id IS NOT NULL
+            ORDER BY count(*) DESC, product_id LIMIT 1)) f
           ON f.time_id % 100 = s.hour GROUP BY s.hour""",
     "kpi_hourly_browser_os": f"""
         SELECT CAST(time_id % 100 AS INTEGER) AS hour, browser, os, count(*) AS views
@@ -413,9 +464,10 @@ _SELECTS: dict[str, str] = {
         GROUP BY c.group_id, c.topic""",
     "ops_consume_rate": """
         SELECT group_id, topic, minute_start, CAST(sum(moved) AS DOUBLE) / 60 AS per_second
-        FROM (SELECT group_id, topic, partition_id, commit_sec - commit_sec % 60 AS minute_start,
-            max(committed_offset) - min(committed_offset) AS moved
-          FROM group_commits GROUP BY ALL)
+        FROM (SELECT group_id, topic, commit_sec - commit_sec % 60 AS minute_start,
+            coalesce(committed_offset - lag(committed_offset) OVER (PARTITION BY group_id, topic,
+              partition_id ORDER BY commit_sec, committed_offset), 0) AS moved
+          FROM group_commits)
         GROUP BY group_id, topic, minute_start""",
     "ops_partitions": """
         SELECT topic, count(DISTINCT partition_id) AS partitions FROM message_log GROUP BY topic""",
@@ -463,5 +515,18 @@ def _with_views(select: str) -> str:
     return f"WITH {', '.join(heads)} {select}"
 
 
+# Reports on a stored warehouse, and queries by their other plan: the same rows.
+_SAME_ROWS = {
+    "stored_top_products": "kpi_top_products",
+    "stored_top_countries_ip": "kpi_top_countries_ip",
+    "stored_top_referrers": "kpi_top_referrers",
+    "stored_stores_by_country": "kpi_stores_by_country",
+    "stored_product_hourly": "kpi_product_hourly",
+    "stored_hourly_browser_os": "kpi_hourly_browser_os",
+    "ip_geolocate_large": "ip_geolocate",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_views(select) for name, select in _SELECTS.items()}
+    selects = _SELECTS | {name: _SELECTS[same] for name, same in _SAME_ROWS.items()}
+    return {name: _with_views(select) for name, select in selects.items()}

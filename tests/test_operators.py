@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickstar.operators.geo import geo_table, locate, views_per_range
-from clickstar.operators.lookup import lookup_join, measured_bytes, split_join
+from clickstar.operators.lookup import measured_bytes
 from clickstar.operators.rows import first_per_key, top_k, with_columns_of
 from clickstar.sources.warehouse import absent_rows
 
@@ -28,30 +28,28 @@ def labels(spark):
     return spark.createDataFrame(list(known.items()), "k int, label string"), known
 
 
-def test_lookup_join_same_by_broadcast_and_by_split(spark):
+def test_aqe_splits_hot_and_null_keys_of_a_star_join(spark):
+    """With the thresholds of a small table, a left join is split where a key is hot."""
     facts, keys = skewed_facts(spark)
     side, known = labels(spark)
-    want = {(n, k, known.get(k)) for n, k in enumerate(keys)}
-    assert rows(lookup_join(facts, side, "k")) == want
-    assert rows(lookup_join(facts, side, "k", max_broadcast_bytes=0, hot_rows=50)) == want
-    assert rows(split_join(facts, side, "k", hot_rows=10**9)) == want
-    assert rows(split_join(facts, side, "k", hot_rows=0)) == want
-
-
-def test_split_join_spreads_hot_and_null_keys(spark):
-    """No key of the shuffled join holds more rows than a cold one."""
-    facts, _ = skewed_facts(spark)
-    side, _ = labels(spark)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
-        joined = split_join(facts, side, "k", hot_rows=50)
-        per_task = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
-        most = max(row["n"] for row in per_task.collect())
+        joined = facts.repartition(8).join(side, "k", "left").select("n", "k", *side.columns[1:])
+        assert rows(joined) == {(n, k, known.get(k)) for n, k in enumerate(keys)}
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert most < 250  # of 900 rows in 8 tasks; unspread, 600 would share two
+        for key in conf:
+            spark.conf.unset(key)
 
 
 def test_measured_bytes_grows_with_rows_and_text(spark):
@@ -104,7 +102,6 @@ def test_locate_by_both_plans_equals_brute_force(spark):
     assert small.small and not large.small
     assert rows(locate(events, small)) == want
     assert rows(locate(events, large)) == want
-    assert rows(locate(events, large, hot_rows=50)) == want
     assert "NestedLoop" not in plan(locate(events, small))
     assert "NestedLoop" not in plan(locate(events, large))
 
