@@ -67,7 +67,7 @@ def anchors(data: np.ndarray, width: int, window: int) -> tuple[np.ndarray, np.n
         ranked = (found & ~low) | np.arange(len(found), dtype=np.uint64)
         least = np.unique(_least(ranked, grams) & low).astype(np.int64)
         places.append(least + start)
-        hashes.append(found[least])
+        hashes.append(mixed(found[least] + np.uint64(_ODD)))  # the least ones are all alike small
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     place, hashed = np.concatenate(places), np.concatenate(hashes)
