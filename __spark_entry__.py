@@ -450,6 +450,9 @@ def queries() -> dict[str, Query]:
             domain_label=lambda: url.domain_label(F.col("current_url")),
             domain_country=lambda: url.domain_country(F.col("current_url")),
         ),
+        "domain_country_name": _per_event(
+            country=lambda: url.country_name(url.domain_country(F.col("current_url")))
+        ),
         # Star schema
         "dim_time": lambda s, d: star.dim_time(_enriched(s, d)),
         "dim_product": lambda s, d: star.dim_product(_enriched(s, d), fx.BRAND_PREFIX),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,3 +66,70 @@ def domain_country(url: Column) -> Column:
     """Country code of the domain. Two-letter top-level domains are the countries' own;
     others, like com, name no country and give null."""
     return _or_null(F.lower(F.regexp_extract(url, _COUNTRY, 1)))
+
+
+# Countries by the label of their domains.
+COUNTRY_NAMES = {
+    "ar": "Argentina",
+    "at": "Austria",
+    "au": "Australia",
+    "be": "Belgium",
+    "bg": "Bulgaria",
+    "br": "Brazil",
+    "ca": "Canada",
+    "ch": "Switzerland",
+    "cl": "Chile",
+    "cn": "China",
+    "co": "Colombia",
+    "cz": "Czechia",
+    "de": "Germany",
+    "dk": "Denmark",
+    "ee": "Estonia",
+    "es": "Spain",
+    "fi": "Finland",
+    "fr": "France",
+    "gr": "Greece",
+    "hk": "Hong Kong",
+    "hr": "Croatia",
+    "hu": "Hungary",
+    "ie": "Ireland",
+    "il": "Israel",
+    "in": "India",
+    "is": "Iceland",
+    "it": "Italy",
+    "jp": "Japan",
+    "kr": "South Korea",
+    "lt": "Lithuania",
+    "lu": "Luxembourg",
+    "lv": "Latvia",
+    "mt": "Malta",
+    "mx": "Mexico",
+    "my": "Malaysia",
+    "nl": "Netherlands",
+    "no": "Norway",
+    "nz": "New Zealand",
+    "pe": "Peru",
+    "ph": "Philippines",
+    "pl": "Poland",
+    "pt": "Portugal",
+    "ro": "Romania",
+    "rs": "Serbia",
+    "se": "Sweden",
+    "sg": "Singapore",
+    "si": "Slovenia",
+    "sk": "Slovakia",
+    "th": "Thailand",
+    "tr": "Turkey",
+    "tw": "Taiwan",
+    "ua": "Ukraine",
+    "uk": "United Kingdom",
+    "us": "United States",
+    "vn": "Vietnam",
+    "za": "South Africa",
+}
+
+
+def country_name(code: Column, names: Mapping[str, str] = COUNTRY_NAMES) -> Column:
+    """Name of a country code of a domain; one that is not listed keeps its code."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.lower(code)), code)

@@ -378,6 +378,11 @@ _SELECTS: dict[str, str] = {
     "domain_country": f"""
         SELECT id AS event_id, regexp_extract({_TLD}, '\\.([a-z]+)$', 1) AS domain_label,
           {_DOMAIN} AS domain_country FROM raw_events""",
+    "domain_country_name": f"""
+        SELECT id AS event_id, CASE {_DOMAIN} WHEN 'fr' THEN 'France' WHEN 'de' THEN 'Germany'
+          WHEN 'es' THEN 'Spain' WHEN 'uk' THEN 'United Kingdom' WHEN 'it' THEN 'Italy'
+          WHEN 'cl' THEN 'Chile' WHEN 'au' THEN 'Australia' END AS country
+        FROM raw_events""",
     # Star schema
     "dim_time": "SELECT * FROM dim_time",
     "dim_product": "SELECT * FROM dim_product",

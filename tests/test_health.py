@@ -50,6 +50,28 @@ def test_lag_counts_only_partitions_a_group_reads(spark):
     assert rows(health.consume_rate(commits)) == {("g", "t", START, 3 / 60), ("h", "t", START, 0.0)}
 
 
+def test_consume_rates_add_up_to_what_was_committed(spark):
+    rng = random.Random(4)
+    entries, grown = [], {}
+    for group in "gh":
+        for partition in range(3):
+            offset, second = rng.randint(0, 9), START + rng.randint(0, 50)
+            first = offset
+            for _ in range(40):
+                entries.append((group, "t", partition, offset, second))
+                grown[group, partition] = offset - first
+                offset, second = offset + rng.randint(0, 9), second + rng.choice([1, 20, 130])
+    rng.shuffle(entries)
+    commits = spark.createDataFrame(
+        entries, "group_id string, topic string, partition int, committed_offset bigint, s bigint"
+    ).withColumn("timestamp", F.timestamp_seconds("s"))
+    total = {"g": 0.0, "h": 0.0}
+    for r in health.consume_rate(commits).collect():
+        total[r["group_id"]] += r["per_second"] * 60
+    for group in "gh":
+        assert abs(total[group] - sum(grown[group, p] for p in range(3))) < 1e-6
+
+
 def test_counter_rate_equals_a_loop_over_each_series(spark):
     rng = random.Random(5)
     entries, want = [], {}

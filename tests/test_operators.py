@@ -3,11 +3,12 @@
 import ipaddress
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstar.operators.geo import geo_table, locate, views_per_range
+from clickstar.operators.geo import geo_table, locate, overlaps, views_per_range
 from clickstar.operators.lookup import measured_bytes
 from clickstar.operators.rows import first_per_key, top_k, with_columns_of
 from clickstar.sources.warehouse import absent_rows
@@ -156,3 +157,25 @@ def test_absent_rows_by_both_plans(spark):
     assert rows(absent_rows(rows_in, target, "k")) == want
     assert rows(absent_rows(rows_in, target, "k", max_rows=50)) == want
     assert rows(absent_rows(rows_in, target, "k", max_rows=50, max_broadcast_keys=10)) == want
+
+
+def test_overlapping_ranges_are_refused(spark):
+    """Equal, nested, crossing and touching ranges, within a bucket and across several."""
+    rng = random.Random(3)
+    schema = "ip_from bigint, ip_to bigint, country string, region string, city string"
+    base = 1 << 24
+    for _ in range(25):
+        ranges = []
+        for _ in range(rng.randint(1, 5)):
+            low = base + rng.randint(0, 300_000)
+            ranges.append((low, low + rng.choice([0, 1, 500, 70_000, 200_000])))
+        clash = any(
+            a[0] <= b[1] and b[0] <= a[1] for i, a in enumerate(ranges) for b in ranges[:i]
+        )
+        table = spark.createDataFrame([(*r, "c", "r", "t") for r in ranges], schema)
+        assert bool(overlaps(table).collect()) == clash, ranges
+    nested = spark.createDataFrame([(0, 9, "a", "a", "a"), (3, 4, "b", "b", "b")], schema)
+    with pytest.raises(ValueError, match="overlap"):
+        geo_table(nested)
+    touching = spark.createDataFrame([(0, 9, "a", "a", "a"), (10, 14, "b", "b", "b")], schema)
+    assert geo_table(touching).small
