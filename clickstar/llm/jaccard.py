@@ -41,6 +41,8 @@ from clickstar.llm.tables import texts, written
 COMMON = 0.0005
 #: Signatures that meet in one task.
 TASK_SIGNATURES = 1_000_000
+#: Bits of a fine sketch to one of a coarse one.
+FINE = 8
 #: Members of a signature whose pairs are compared at a time.
 BLOCK = 256
 
@@ -117,10 +119,11 @@ def class_of(elements: np.ndarray) -> int:
     return int(mixed(np.array([total + np.uint64(len(elements))], np.uint64)).view(np.int64)[0])
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
+def sketch(elements: np.ndarray, fineness: int = 1) -> np.ndarray:
     """Of each bucket the parity of how many elements fall in it: two sets differ in at least as
-    many elements as their sketches in bits. Twice as many bits as elements, a power of two."""
-    width = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    many elements as their sketches in bits, and hardly in more if buckets are many. Two to four
+    bits an element, a power of two, times ``fineness``, one too."""
+    width = fineness * max(64, 1 << (2 * len(elements) - 1).bit_length())
     odd = np.bincount((elements & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -139,17 +142,21 @@ def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
-    """Each row's ``id, n, c, sketch``: size, class and sketch of its set; and, as rows with ``h``,
-    the shingles that many sets of a batch have, with their number (``n``)."""
+    """Each row's ``id, n, c, sketch, fine``: size, class and two sketches of its set; and, as rows
+    with ``h``, the shingles that many sets of a batch have, with their number (``n``)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, classes, sketches, seen = [], [], [], {}
+            sizes, classes, coarse, fine, seen = [], [], [], [], {}
             for text in texts(batch.column("text")):
                 elements = shingle_set(text, width)
                 sizes.append(len(elements))
                 classes.append(class_of(elements) if len(elements) else 0)
-                sketches.append(sketch(elements).astype("<u8").tobytes() if len(elements) else None)
+                bits = sketch(elements, FINE) if len(elements) else None
+                fine.append(None if bits is None else bits.astype("<u8").tobytes())
+                if bits is not None:
+                    bits = folded(bits, len(bits) // FINE).astype("<u8").tobytes()
+                coarse.append(bits)
                 if len(elements):
                     seen.setdefault(classes[-1], elements)
             n = batch.num_rows
@@ -158,10 +165,11 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
                     batch.column("id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
-                    pa.array(sketches, pa.binary()),
+                    pa.array(coarse, pa.binary()),
+                    pa.array(fine, pa.binary()),
                     pa.nulls(n, pa.int64()),
                 ],
-                ["id", "n", "c", "sketch", "h"],
+                ["id", "n", "c", "sketch", "fine", "h"],
             )
             if seen:
                 every, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
@@ -173,13 +181,14 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
                         pa.array(counts[often], pa.int64()),
                         pa.nulls(m, pa.int64()),
                         pa.nulls(m, pa.binary()),
+                        pa.nulls(m, pa.binary()),
                         pa.array(every[often].view(np.int64)),
                     ],
-                    ["id", "n", "c", "sketch", "h"],
+                    ["id", "n", "c", "sketch", "fine", "h"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"id {kind}, n long, c long, sketch binary, h long")
+    return rows.mapInArrow(scan, f"id {kind}, n long, c long, sketch binary, fine binary, h long")
 
 
 def _signed(rows: DataFrame, width: int, bands: Bands, common, tasks: int) -> DataFrame:
@@ -422,7 +431,7 @@ def near_duplicates(
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     scanned = written(_sets(rows, width), "jaccard-sets")
-    sets = scanned.where(F.col("h").isNull()).select("id", "n", "c", "sketch")
+    sets = scanned.where(F.col("h").isNull()).select("id", "n", "c", "sketch", "fine")
     linkable = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     n_rows, n_shingles = linkable.agg(F.count("*"), F.sum("n")).first()
     often = scanned.where(F.col("h").isNotNull()).groupBy("h").agg(F.sum("n").alias("n"))
@@ -435,7 +444,7 @@ def near_duplicates(
     met = written(_meetings(signed, tasks), "jaccard-meetings")
     stars = written(met.where("kind = 0").select("x", "y").distinct(), "jaccard-stars")
     members = linkable.groupBy("c").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "sketch", "fine")]
     )
     classes = written(members, "jaccard-classes")
     near = written(_compared(stars, classes, bands, exact=False), "jaccard-near")
@@ -443,7 +452,8 @@ def near_duplicates(
     roots = components(links)
 
     # Signatures whose members are in more than one component: their pairs are compared as far as
-    # they join components, and those that fail are left out of the next round.
+    # they join components, and those that fail are left out of the next round. After the first
+    # round, signatures with candidates are few, and fine sketches let hardly a wrong one through.
     every = met.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("c"))
     bits = classes.select("c", "n", "sketch")
     failed, forests = None, 1
@@ -469,6 +479,7 @@ def near_duplicates(
         roots = components(links)
         # Signatures without a pair to compare have none later either.
         every = every.join(across.select("key").distinct(), "key", "left_semi")
+        bits = classes.select("c", "n", F.col("fine").alias("sketch"))
         forests *= 2
 
     of_class = classes.select("c", "id").join(roots.withColumnRenamed("node", "c"), "c", "left")
