@@ -11,6 +11,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
+# The fields of an event message.
 EVENT = _struct(
     _id=_S,
     id=_S,
@@ -34,6 +35,7 @@ GEO_RANGE = _struct(ip_from=_L, ip_to=_L, country=_S, region=_S, city=_S)
 
 CANARY_MESSAGE = _struct(message_id=_S, message=_S, timestamp=T.TimestampNTZType(), type=_S)
 
+# The warehouse's tables and columns.
 WAREHOUSE: dict[str, T.StructType] = {
     "dim_time": _struct(
         time_id=_L,

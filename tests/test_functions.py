@@ -17,6 +17,7 @@ def values(spark, column, inputs, kind="string"):
     return [row[0] for row in data.orderBy("n").select(column).collect()]
 
 
+# Documented cases.
 PRODUCT_CASES = {
     "/brand-diamond-ring-sku123": "Diamond Ring",
     "/wedding-band.html": "Wedding Band",
