@@ -5,23 +5,30 @@ Sets are put in bands of size, and a band's sets are cut alike: the domain of ha
 ``k`` following from the band's largest size; each of them spoils one range at most, so with ``m``
 above ``k`` some range holds the same elements in both. The content of a range is a signature, and
 near-duplicates share one. Ranges that are empty prove nothing, so what counts is that a set
-*fills* more than ``k`` ranges; a set that does not also signs with every single shingle, which it
-has more of than ``k``. A set signs in its own band and, if a larger partner can be there, in the
-next.
+*fills* more than ``k`` ranges. A set signs in its own band and, if a larger partner can be there, in
+the next.
 
 Shingles that very many sets have (a passage all over the corpus) would sign for unrelated sets.
-They are left out where the others fill more than ``k`` ranges, which changes no proof: leaving the
-same shingles out of both sets makes neither differ in more.
+They are left out of the ranges, which changes no proof: leaving the same shingles out of both sets
+makes neither differ in more. If the others fill too few ranges, the set also signs with single
+shingles, those that the fewest sets have, and with as few as prove something: of near-duplicates
+that both do so, the larger lacks at most ``n - similarity * n`` of its ``n`` shingles in the other,
+and the smaller, which has its size to go by, fewer still. One more each, rarest first in one order
+for all, and they share one. What a set signs only as the larger one (a *probe*) pairs it with sets
+that sign the same as the smaller one. So a passage signs for a set only if nearly all of the set is
+passage: six sevenths, at a similarity of three quarters.
 
 Equal sets are one class from the start, so copies are never paired. Classes that share a signature
-are linked to the least of them, not to each other; these candidates pass a bound on the difference
+are linked to the least of them that is no probe, not to each other; these candidates pass a bound on the difference
 by parity sketches and are then compared exactly. Where members of one signature are still in
 different components, pairs that would join these are compared in further rounds, a spanning forest
-of each signature at a time, until none is left to compare. So components are exact.
+of each signature at a time, until none is left to compare. So components are exact. A signature
+of more than ``TILE`` members is dealt out: each pair of its tiles is compared in a task of its own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
@@ -45,6 +52,8 @@ TASK_SIGNATURES = 1_000_000
 FINE = 8
 #: Members of a signature whose pairs are compared at a time.
 BLOCK = 256
+#: Members of a signature that are compared in one task, with each other or as many more.
+TILE = 4096
 
 # Sets and signatures -------------------------------------------------------------------------
 
@@ -94,23 +103,35 @@ def _range_signatures(elements: np.ndarray, ranges: int, salt: int) -> np.ndarra
     return mixed(content + mixed(place[first] + np.uint64(salt)))
 
 
-def signatures(elements: np.ndarray, common: np.ndarray, bands: Bands) -> np.ndarray:
-    """All signatures of a set of sorted hashes; ``common`` is sorted too."""
-    rare = elements
+def roles(
+    elements: np.ndarray, common: np.ndarray, counts: np.ndarray, bands: Bands
+) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of a set of sorted hashes, and which of them are probes; ``common`` is sorted
+    too, ``counts`` says how many sets have each."""
+    often = np.zeros(len(elements), np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
-        rare = elements[common[at] != elements]
-    found = []
+        often = np.where(common[at] == elements, counts[at], 0)
+    rare = elements[often == 0]
+    found, few = [], False
     for band, ranges, most in bands.targets(len(elements)):
-        salt = band * 4_000_037
-        signed = _range_signatures(rare, ranges, salt)
-        found.append(signed)
-        if len(signed) <= most:
-            signed = _range_signatures(elements, ranges, salt + 1)
-            found.append(signed)
-        if len(signed) <= most:
-            found.append(mixed(elements + np.uint64(salt + 2)))
-    return np.concatenate(found)
+        found.append(_range_signatures(rare, ranges, band * 4_000_037))
+        few |= len(found[-1]) <= most
+    probes = 0
+    if few:
+        n = len(elements)
+        smaller = n - math.ceil(2 * bands.similarity / (1 + bands.similarity) * n) + 1
+        larger = n - math.ceil(bands.similarity * n) + 1
+        rarest = elements[np.lexsort((elements, often))[:larger]]
+        found.append(mixed(rarest + np.uint64(2)))
+        probes = larger - smaller
+    signed = np.concatenate(found)
+    return signed, np.arange(len(signed)) >= len(signed) - probes
+
+
+def signatures(elements: np.ndarray, common: np.ndarray, bands: Bands) -> np.ndarray:
+    """All signatures of a set, with common shingles that equally many sets have."""
+    return roles(elements, common, np.ones(len(common), np.int64), bands)[0]
 
 
 def class_of(elements: np.ndarray) -> int:
@@ -193,7 +214,8 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
 
 def _signed(rows: DataFrame, width: int, bands: Bands, common, tasks: int) -> DataFrame:
     """The signatures of each batch's classes as ``part, data``: one block for each task they go
-    to, with the classes, how many signatures each has there, and these as 32 bits."""
+    to, with the classes, how many signatures each has there, and these as 31 bits and one that is
+    set for a probe. ``common`` is a broadcast of the common shingles and their counts."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +225,8 @@ def _signed(rows: DataFrame, width: int, bands: Bands, common, tasks: int) -> Da
                 if len(elements):
                     c = class_of(elements)
                     if c not in seen:
-                        seen[c] = signatures(elements, common.value, bands)
+                        s, probe = roles(elements, *common.value, bands)
+                        seen[c] = s & ~np.uint64(1) | probe
             if not seen:
                 continue
             classes = np.fromiter(seen, np.int64, len(seen))
@@ -241,18 +264,30 @@ def _met(part: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
     pairs = [_unblocked(block) for block in blocks]
     signed = np.concatenate([p[0] for p in pairs])
     classes = np.concatenate([p[1] for p in pairs])
-    order = np.lexsort((classes, signed))
-    signed, classes = signed[order], classes[order]
-    new = np.concatenate([[True], (signed[1:] != signed[:-1]) | (classes[1:] != classes[:-1])])
-    signed, classes = signed[new], classes[new]
-    first = np.flatnonzero(np.concatenate([[True], signed[1:] != signed[:-1]]))
+    probe, signed = (signed & 1).astype(bool), signed >> 1
+
+    def starts(*columns: np.ndarray) -> np.ndarray:
+        changed = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        return np.concatenate([[True], changed])
+
+    order = np.lexsort((probe, classes, signed))
+    order = order[starts(signed[order], classes[order])]
+    order = order[np.lexsort((classes[order], probe[order], signed[order]))]
+    signed, classes, probe = signed[order], classes[order], probe[order]
+    first = np.flatnonzero(starts(signed))
     counts = np.diff(np.append(first, len(signed)))
-    least = np.repeat(classes[first], counts)
-    other = least != classes
-    edges = np.unique(np.stack([least[other], classes[other]], axis=1), axis=0)
-    many = np.repeat(counts >= 3, counts)
-    keys = (np.int64(part) << np.int64(32)) + signed[many].astype(np.int64)
-    for kind, x, y in ((0, edges[:, 0], edges[:, 1]), (1, keys, classes[many])):
+    lead = np.repeat(classes[first], counts)
+    # Where all are probes, none is paired.
+    met = ~np.repeat(probe[first], counts)
+    other = met & (lead != classes)
+    edges = np.unique(np.sort(np.stack([lead[other], classes[other]], axis=1), axis=1), axis=0)
+    many = met & np.repeat(counts >= 3, counts)
+    keys = (np.int64(part) << np.int64(32)) + signed.astype(np.int64)
+    for kind, x, y in (
+        (0, edges[:, 0], edges[:, 1]),
+        (1, keys[many & ~probe], classes[many & ~probe]),
+        (2, keys[many & probe], classes[many & probe]),
+    ):
         if len(x):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(x), kind, np.int32)), pa.array(x), pa.array(y)],
@@ -261,8 +296,8 @@ def _met(part: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
 
 
 def _meetings(signed: DataFrame, tasks: int) -> DataFrame:
-    """Kind 0: ``x`` the least class of a signature, ``y`` another one. Kind 1: ``x`` a signature
-    of three or more classes, ``y`` one of them."""
+    """Kind 0: ``x`` and ``y`` the least class of a signature that is no probe, and another one. Kind
+    1: ``x`` a signature of three or more classes, ``y`` one of them. Kind 2: the same, a probe."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blocks = None, []
@@ -341,10 +376,16 @@ def _compared(pairs: DataFrame, classes: DataFrame, bands: Bands, exact: bool) -
     return _beside(pairs, classes, column).mapInArrow(compare, "x long, y long")
 
 
-def _across(rows: list[tuple], bands: Bands, forests: int) -> list[tuple[int, int]]:
-    """Pairs of a signature's members (``key, c, root, n, sketch, failed``, by ``c``) that their
+def _across(
+    rows: list[tuple], bands: Bands, forests: int, left: range | None = None, right: int = 1
+) -> list[tuple[int, int]]:
+    """Pairs of a signature's members (``key, c, root, n, sketch, failed, probe``) that their
     sketches do not rule out and that join components: up to ``forests`` spanning forests of them.
-    The first member has been compared with all others before, and each with its ``failed``."""
+    Members in ``left`` are paired with those from ``right`` on that come after them, probes not
+    with each other; without ``left``, the first member has been compared with all others before.
+    Each has been with its ``failed``."""
+    left = left or range(1, len(rows))
+    probe = np.array([len(r) > 6 and r[6] for r in rows], bool)
     words = min(len(r[4]) for r in rows) // 8
     bits = np.stack([folded(np.frombuffer(r[4], "<u8"), words) for r in rows])
     c, root, n = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
@@ -353,17 +394,18 @@ def _across(rows: list[tuple], bands: Bands, forests: int) -> list[tuple[int, in
     tried = {(k, place[y]) for k, r in enumerate(rows) for y in r[5] or () if y in place}
     labels = np.stack([root] * forests)
     found: list[tuple[int, int]] = []
-    for i in range(1, len(rows), BLOCK):
-        for j in range(i, len(rows), BLOCK):
-            left, right = slice(i, i + BLOCK), slice(j, j + BLOCK)
-            apart = (labels[:, left, None] != labels[:, None, right]).any(axis=0)
-            apart &= root[left, None] != root[None, right]
+    for i in left[::BLOCK]:
+        for j in range(max(i, right), len(rows), BLOCK):
+            a, b = slice(i, min(i + BLOCK, left.stop)), slice(j, j + BLOCK)
+            apart = (labels[:, a, None] != labels[:, None, b]).any(axis=0)
+            apart &= root[a, None] != root[None, b]
+            apart &= ~(probe[a, None] & probe[None, b])
             if not apart.any():
                 continue
             odd = np.zeros(apart.shape, np.int64)
             for w in range(words):
-                odd += np.bitwise_count(bits[left, None, w] ^ bits[None, right, w])
-            total = n[left, None] + n[None, right]
+                odd += np.bitwise_count(bits[a, None, w] ^ bits[None, b, w])
+            total = n[a, None] + n[None, b]
             apart &= odd * share.denominator <= total * share.numerator
             for x, y in zip(*np.nonzero(apart), strict=True):
                 x, y = int(i + x), int(j + y)
@@ -377,13 +419,30 @@ def _across(rows: list[tuple], bands: Bands, forests: int) -> list[tuple[int, in
     return found
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """The members of each signature (``key, c, tiles, ...``) once for each pair ``i, j`` of its tiles
+    that they take part in; ``at`` is their own."""
+    at = F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int")
+    dealt = members.withColumn("at", at)
+    dealt = dealt.withColumn("o", F.explode(F.expr("sequence(0, cast(tiles as int) - 1)")))
+    return dealt.withColumns({"i": F.least("at", "o"), "j": F.greatest("at", "o")}).drop("o")
+
+
 def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
     """``key, x, y``: for each signature the pairs that ``_across`` finds. A task holds the sketches
-    of one signature at a time, and gives no more pairs than ``forests`` times its members."""
+    of two tiles at a time, and gives no more pairs than ``forests`` times their members."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emitted(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            if len(rows) > 2 and (pairs := _across(rows, bands, forests)):
+            if len(rows) < 2:
+                return
+            _, i, j = rows[0][-3:]
+            if i == j:  # probes come last
+                left, right = range(sum(not r[6] for r in rows)), 1
+            else:
+                right = sum(r[-3] == i for r in rows)
+                left = range(right)
+            if left and (pairs := _across(rows, bands, forests, left, right)):
                 columns = zip(*[(rows[0][0], x, y) for x, y in pairs], strict=True)
                 arrays = [pa.array(column, pa.int64()) for column in columns]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "x", "y"])
@@ -391,14 +450,15 @@ def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
         group: list[tuple] = []
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if group and group[0][0] != row[0]:
+                if group and (group[0][0], *group[0][-2:]) != (row[0], *row[-2:]):
                     yield from emitted(group)
                     group = []
                 group.append(row)
         yield from emitted(group)
 
-    ordered = members.select("key", "c", "root", "n", "sketch", "failed")
-    ordered = ordered.repartition("key").sortWithinPartitions("key", "c")
+    columns = ["key", "c", "root", "n", "sketch", "failed", "probe", "at", "i", "j"]
+    ordered = _dealt(members).select(*columns).repartition("key", "i", "j")
+    ordered = ordered.sortWithinPartitions("key", "i", "j", "at", "probe", "c")
     return ordered.mapInArrow(stream, "key long, x long, y long")
 
 
@@ -418,6 +478,7 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
     task_signatures: int = TASK_SIGNATURES,
+    tile: int = TILE,
 ) -> DataFrame:
     """``id_column, n_shingles, class_id, component_id`` for each row.
 
@@ -435,8 +496,10 @@ def near_duplicates(
     linkable = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     n_rows, n_shingles = linkable.agg(F.count("*"), F.sum("n")).first()
     often = scanned.where(F.col("h").isNotNull()).groupBy("h").agg(F.sum("n").alias("n"))
-    often = often.where(F.col("n") >= max(5, COMMON * n_rows)).select("h")
-    common = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+    often = often.where(F.col("n") >= max(5, COMMON * n_rows)).select("h", "n").toArrow()
+    common = often.column("h").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(common)
+    common = common[order], often.column("n").to_numpy().astype(np.int64)[order]
     tasks = max(1, -(-(n_shingles or 0) // task_signatures))
 
     known = rows.where(F.col("id").isNotNull())
@@ -454,14 +517,22 @@ def near_duplicates(
     # Signatures whose members are in more than one component: their pairs are compared as far as
     # they join components, and those that fail are left out of the next round. After the first
     # round, signatures with candidates are few, and fine sketches let hardly a wrong one through.
-    every = met.where("kind = 1").select(F.col("x").alias("key"), F.col("y").alias("c"))
+    every = met.where("kind > 0")
+    every = every.select(F.col("x").alias("key"), F.col("y").alias("c"), (F.col("kind") == 2).alias("probe"))
     bits = classes.select("c", "n", "sketch")
     failed, forests = None, 1
     while True:
         members = every.join(roots.withColumnRenamed("node", "c"), "c", "left")
         members = members.withColumn("root", F.coalesce("root", "c"))
-        several = members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"))
-        members = members.join(several.where("r <> s").select("key"), "key", "left_semi")
+        several = members.groupBy("key").agg(
+            F.min("root").alias("r"),
+            F.max("root").alias("s"),
+            F.min(F.when(~F.col("probe"), F.col("c"))).alias("lead"),
+            F.ceil(F.count("*") / tile).alias("tiles"),
+        )
+        several = several.where("r <> s").select("key", "lead", "tiles")
+        # The lead has been compared with all others.
+        members = members.join(several, "key").where("c <> lead")
         members = members.join(bits, "c")
         if failed is None:
             members = members.withColumn("failed", F.lit(None).cast("array<long>"))
@@ -469,7 +540,7 @@ def near_duplicates(
             tried = failed.groupBy(F.col("x").alias("c")).agg(F.collect_set("y").alias("failed"))
             members = members.join(tried, "c", "left")
         across = written(_pairs_across(members, bands, forests), "jaccard-across")
-        pairs = across.select("x", "y").distinct()
+        pairs = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         if not across.limit(1).count():
             break
         more = _links(pairs, known, classes, width, bands)

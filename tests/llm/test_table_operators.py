@@ -233,6 +233,63 @@ def test_rounds_try_each_pair_once():
     assert jaccard._across(rows, bands, 4) == []
 
 
+def test_a_passage_does_not_sign_for_unrelated_sets():
+    """A third to six sevenths of each set is one passage: no index of a set meets another set."""
+    rng = np.random.default_rng(4)
+    bands = jaccard.Bands(jaccard.Fraction(3, 4))
+    for own, shared in ((200, 100), (150, 150), (80, 240), (60, 300)):
+        passage = np.sort(rng.integers(1, 1 << 63, shared).astype(np.uint64))
+        sets = [
+            np.unique(np.concatenate([passage, rng.integers(1, 1 << 63, own).astype(np.uint64)]))
+            for _ in range(20)
+        ]
+        counts = np.full(shared, 20)
+        signed = [jaccard.roles(s, passage, counts, bands) for s in sets]
+        for k, (a, probe) in enumerate(signed):
+            for b, _ in signed[:k] + signed[k + 1 :]:
+                assert not len(np.intersect1d(a[~probe], b))
+
+
+def test_smaller_set_meets_larger_by_its_index():
+    rng = np.random.default_rng(5)
+    bands = jaccard.Bands(jaccard.Fraction(3, 4))
+    passage = np.sort(rng.integers(1, 1 << 63, 300).astype(np.uint64))
+    counts = rng.integers(5, 50, 300)
+    found = 0
+    for _ in range(2000):
+        shared = rng.choice(passage, int(rng.integers(1, 300)), replace=False)
+        shared = np.concatenate([shared, rng.integers(1, 1 << 63, int(rng.integers(0, 60))).astype(np.uint64)])
+        a, b = (
+            np.unique(np.concatenate([shared, rng.choice(passage, n), rng.integers(1, 1 << 63, n).astype(np.uint64)]))
+            for n in rng.integers(0, 20, 2)
+        )
+        if bands.linked(len(a), len(b), len(np.setxor1d(a, b))):
+            found += 1
+            small, large = sorted((a, b), key=len)
+            signed, probe = jaccard.roles(small, passage, counts, bands)
+            assert len(np.intersect1d(signed[~probe], jaccard.roles(large, passage, counts, bands)[0]))
+    assert found > 500
+
+
+def test_large_signatures_are_dealt_in_tiles(spark):
+    members = [(1, c, 20) for c in range(2000)] + [(2, c, 1) for c in range(3)]
+    dealt = jaccard._dealt(spark.createDataFrame(members, "key long, c long, tiles long"))
+    rows = dealt.collect()
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r["key"], r["i"], r["j"]].add(r["c"])
+    assert max(map(len, groups.values())) < 300
+    together = {(a, b) for g in groups.values() for a in list(g)[:40] for b in g}
+    assert groups[2, 0, 0] == {0, 1, 2} and len(together) > 2000
+    at = {r["c"]: r["at"] for r in rows if r["key"] == 1}
+    assert all({a, b} <= groups[1, *sorted((at[a], at[b]))] for a in range(50) for b in range(50, 2000))
+    texts = near_copies(random.Random(3), 200)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(docs, tile=3).collect()]
+    want = brute.near_duplicates(list(range(len(texts))), texts)
+    assert sorted(got) == [(k, w[1]) for k, w in enumerate(want)]
+
+
 # Repeats -------------------------------------------------------------------------------------
 
 
