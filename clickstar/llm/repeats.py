@@ -8,12 +8,17 @@ one, however many places have them; the distinct contexts of an anchor meet in o
 suffix array of them, sorted in two stages, and the common prefixes of its neighbours tell which
 strings of ``length`` bytes occur twice. The places of each context then take the spans found in it.
 
+An anchor of more than ``HOT_CONTEXTS`` distinct contexts (a passage with different surroundings in
+each text) has no suffix array. Two equal strings hold their anchor at the same offset, so its
+contexts are cut into their windows of ``length`` bytes, at most ``length - width + 1`` with the
+anchor in them, known by offset and 128-bit hash. Counting these is an aggregate over all tasks.
+
 Equal texts are one text from the start, known by a 64-bit hash: all of it occurs elsewhere, if it
 is long enough, and as a partner for others it counts once. Texts are shuffled once, those with an
 anchor that occurs twice two more times; everything else are numbers.
 
-Most that a task holds: the anchors of a part (``TASK_ANCHORS`` on average), or the distinct contexts
-of an anchor, of which a passage has as many as it has different surroundings within ``length``.
+Most that a task holds: the anchors of a part (``TASK_ANCHORS`` on average; all places of one anchor are
+in one part, as numbers), or ``HOT_CONTEXTS`` contexts of an anchor and a block of others.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ LENGTH = 200
 #: Bytes of an anchor: fewer make fewer of them, more make fewer that occur twice by chance.
 ANCHOR = 100
 TASK_ANCHORS = 250_000
+#: Distinct contexts of an anchor that one suffix array is made of.
+HOT_CONTEXTS = 20_000
 #: Rows of a batch that is given back.
 ROWS = 20_000
 #: Bytes of contexts that one suffix array is made of, if an anchor has no more; and a task's.
@@ -298,6 +305,49 @@ def _spans(contexts: DataFrame, length: int, tasks: int) -> DataFrame:
     return ordered.mapInArrow(scan, "context long, low long, high long")
 
 
+def _windows(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """``context, several, k, start, window``: each string of ``length`` bytes with the anchor in it, its
+    place in the text, and a hash of its bytes, its anchor and where in it that is."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "context", "several", "k", "start", "place", "data"]
+        for batch in batches:
+            for low in range(0, batch.num_rows, STEP):
+                part = batch.slice(low, STEP)
+                rows = []
+                for anchor, context, several, k, start, place, data in zip(
+                    *(part.column(c).to_pylist() for c in names), strict=True
+                ):
+                    head = anchor.to_bytes(8, "little", signed=True)
+                    first = max(0, place + width - length - start)
+                    for s in range(first, min(place - start, len(data) - length) + 1):
+                        offset = (place - start - s).to_bytes(4, "little")
+                        window = xxhash.xxh3_128_digest(head + offset + data[s : s + length])
+                        rows.append((context, several, k, start + s, window))
+                if rows:
+                    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
+                    arrays = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        arrays, ["context", "several", "k", "start", "window"]
+                    )
+
+    schema = "context long, several boolean, k long, start long, window binary"
+    return contexts.mapInArrow(cut, schema)
+
+
+def _hot_spans(contexts: DataFrame, length: int, width: int) -> DataFrame:
+    """``context, low, high`` as ``_spans`` gives them, one for each repeated string."""
+    windows = written(_windows(contexts, length, width), "repeat-windows")
+    # The same place may come from more than one context: that is no other place.
+    place = F.struct("k", "start")
+    twice = windows.groupBy("window").agg(
+        F.max("several").alias("several"), F.min(place).alias("least"), F.max(place).alias("most")
+    )
+    twice = written(twice.where("several or least <> most").select("window"), "repeat-twice")
+    found = windows.join(twice, "window", "left_semi")
+    return found.select("context", F.col("start").alias("low"), (F.col("start") + length).alias("high"))
+
+
 # Results -------------------------------------------------------------------------------------
 
 
@@ -369,6 +419,7 @@ def repeats(
     length: int = LENGTH,
     width: int = ANCHOR,
     task_anchors: int = TASK_ANCHORS,
+    hot_contexts: int = HOT_CONTEXTS,
 ) -> DataFrame:
     """``k, n_removed, n_spans, kept_sha256, kept`` of each distinct text that loses bytes; ``k`` is
     the text's ``xxhash64``.
@@ -390,7 +441,16 @@ def repeats(
     texts = written(_texts(rows, wanted), "repeat-texts")
     found = places.where("lead").count()
     tasks = max(1, -(-found * (2 * length - width) // TASK_BYTES))
-    spans = _spans(_contexts(texts, places, length, width), length, tasks)
+    hot = places.where("lead").groupBy("anchor").count().where(F.col("count") > hot_contexts)
+    hot = written(hot.select("anchor"), "repeat-hot")
+    some_hot = hot.limit(1).count() > 0
+    cold = places.join(hot, "anchor", "left_anti") if some_hot else places
+    spans = _spans(_contexts(texts, cold, length, width), length, tasks)
+    if some_hot:
+        parted = places.join(hot, "anchor", "left_semi")
+        contexts = _contexts(texts, parted, length, width)
+        at = parted.where("lead").select("context", "place")
+        spans = spans.unionByName(_hot_spans(contexts.join(at, "context"), length, width))
     # Spans are told by the lead's places; the others of a context have them as far from theirs.
     leads = places.where("lead").select("context", F.col("place").alias("lead_place"))
     spans = written(

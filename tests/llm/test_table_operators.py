@@ -353,6 +353,26 @@ def test_repeats_are_removed_exactly(spark):
     assert repeats.repeat_counts(docs.limit(0), **options).count() == 0
 
 
+def test_repeats_around_hot_anchors(spark):
+    """A passage with other surroundings in each text, and some surroundings in a few."""
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(45))
+    ends = ["".join(rng.choice("xyz") for _ in range(14)) for _ in range(6)]
+    texts = [passage[:19], passage * 2, passage]
+    for _ in range(120):
+        own = "".join(rng.choice("mnop") for _ in range(30))
+        low, high = rng.choice([(0, 45), (0, 45), (3, 30), (20, 45)])
+        texts.append(own + rng.choice(["", *ends]) + passage[low:high] + rng.choice(["", *ends]) + own[::-1])
+    rows = [*enumerate(texts), (5, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute.repeats([r[1] for r in rows], 20)
+    for hot_contexts in (0, 3, 20):
+        got = repeats.repeat_counts(docs, length=20, width=8, hot_contexts=hot_contexts)
+        assert by_id(map(tuple, got.collect())) == by_id(
+            (r[0], *w) for r, w in zip(rows, want, strict=True)
+        )
+
+
 def test_repeats_of_long_passages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
