@@ -6,6 +6,10 @@ at least ``t``, the one has at most (2 - t) / t times the bigrams of the other,
 templates for a window and lines for a template. A window has to begin and end with a line with a
 word of a bigram of the template, or it would score more without that line; and it needs so many of
 the template's bigrams that most texts have too few in all, and are read once and done.
+
+A notice within a longer line, or in a text without line breaks, fills no window of lines. So windows
+of words, from one bigram of the template to another, are compared too, and those that have no word
+in common with a match by lines, or with a better one of words, are matches as well.
 """
 
 from __future__ import annotations
@@ -121,17 +125,55 @@ class Templates:
         """
         lowered = text.lower()
         flat = _WORDS.findall(lowered)
+        return self._best_lines(lowered, flat, self._places(flat))[0]
+
+    def notices(self, text: str) -> list[Match]:
+        """The matches by lines, and by windows of words where these have none.
+
+        Better is a higher score, then more words, then the earlier one. A match tells the lines of
+        its first and its last word.
+        """
+        lowered = text.lower()
+        flat = _WORDS.findall(lowered)
+        places = self._places(flat)
+        kept, ends = self._best_lines(lowered, flat, places)
+        found = []
+        for k, hits in places.items():
+            if self._enough(k, hits):
+                found += self._word_windows(k, hits, flat)
+        if not found:
+            return kept
+        taken = [(ends[m.first - 1], ends[m.last] - 1) for m in kept]
+        found.sort(key=lambda w: (-w[1], w[2] - w[3], w[2], w[0]))
+        for licence, score, low, high in found:
+            at = bisect.bisect_right(taken, (high, len(flat)))
+            if at and taken[at - 1][1] >= low:
+                continue
+            taken.insert(at, (low, high))
+            first, last = (bisect.bisect_right(ends, w) for w in (low, high))
+            kept.append(Match(licence, score, first, last))
+        return sorted(kept, key=lambda m: (m.first, m.last))
+
+    def _places(self, flat: list[str]) -> dict[int, list[int]]:
+        """For each template, where the text has a bigram of it."""
         places: dict[int, list[int]] = {}
         having = self.having.get
         for at, pair in enumerate(zip(flat, flat[1:], strict=False)):
             for k in having(pair, ()):
                 places.setdefault(k, []).append(at)
+        return places
+
+    def _enough(self, k: int, hits: list[int]) -> bool:
+        """Not too few for the smallest window that may match."""
+        n = self.rows[k][2]
+        return 2 * len(hits) >= self.threshold * (n + n * self.threshold / (2 - self.threshold))
+
+    def _best_lines(self, lowered: str, flat: list[str], places) -> tuple[list[Match], list[int]]:
+        """Matches by lines, and before which word each line starts, if there is a candidate."""
         found: list[Match] = []
         ends: list[int] = []
         for k, hits in places.items():
-            # Too few for the smallest window that may match.
-            n = self.rows[k][2]
-            if 2 * len(hits) < self.threshold * (n + n * self.threshold / (2 - self.threshold)):
+            if not self._enough(k, hits):
                 continue
             if not ends:
                 ends = [0]
@@ -143,7 +185,7 @@ class Templates:
         for match in found:
             if all(match.last < k.first or match.first > k.last for k in kept):
                 kept.append(match)
-        return sorted(kept, key=lambda m: m.first)
+        return sorted(kept, key=lambda m: m.first), ends
 
     def _windows(self, k: int, hits: list[int], flat: list[str], ends: list[int]) -> Iterator[Match]:
         """Windows of lines that match a template, whose bigrams start at ``hits``."""
@@ -165,6 +207,26 @@ class Templates:
                     yield Match(licence, score, first + 1, last + 1)
 
 
+    def _word_windows(
+        self, k: int, hits: list[int], flat: list[str]
+    ) -> Iterator[tuple[str, float, int, int]]:
+        """Windows of words, first and last one, that match a template and start and end at a hit."""
+        licence, grams, n = self.rows[k]
+        share = (2 - self.threshold) / self.threshold
+        for a, low in enumerate(hits):
+            seen: dict[tuple[str, str], int] = {}
+            common = 0
+            for at in hits[a : a + int(n * share) + 1]:
+                size = at - low + 1
+                if size > n * share:
+                    break
+                pair = (flat[at], flat[at + 1])
+                seen[pair] = seen.get(pair, 0) + 1
+                common += seen[pair] <= grams[pair]
+                if 2 * common >= self.threshold * (size + n):
+                    yield licence, 2 * common / (size + n), low, at + 1
+
+
 def scan_licences(
     docs: DataFrame,
     notices: tuple[tuple[str, str], ...] = NOTICES,
@@ -187,7 +249,7 @@ def scan_licences(
         templates = Templates(notices, threshold)
         for batch in batches:
             found = [
-                [(m.licence, m.score, m.first, m.last) for m in templates.matches(text)]
+                [(m.licence, m.score, m.first, m.last) for m in templates.notices(text)]
                 for text in texts(batch.column("text"))
             ]
             as_dicts = [[dict(zip(("licence", "score", "first", "last"), m, strict=True)) for m in f] for f in found]

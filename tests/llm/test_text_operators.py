@@ -201,6 +201,53 @@ def test_licence_windows(odd):
     assert licences.scan_licences(odd.limit(0)).count() == 0
 
 
+def test_licence_notices_within_lines():
+    templates = licences.Templates(licences.NOTICES, 0.8)
+    mit = next(t for n, t in licences.NOTICES if n == "MIT" and len(t) > 100)
+    prose = "some words that say nothing of rights " * 9
+    text = f"{prose} Licensed under CC BY 4.0. {prose}\n{prose}{mit}{prose}\nlast"
+    assert [(m.licence, m.score, m.first, m.last) for m in templates.notices(text)] == [
+        ("CC-BY-4.0", 1.0, 1, 1),
+        ("MIT", 1.0, 2, 2),
+    ]
+    text = f"{prose}Licensed under CC BY 4.0. {prose} Released under the MIT License. {prose}"
+    assert [m.licence for m in templates.notices(text)] == ["CC-BY-4.0", "MIT"]
+    broken = prose + mit.replace("rights to", "rights\nto") + prose
+    assert [(m.licence, m.first, m.last) for m in templates.notices(broken)] == [("MIT", 1, 2)]
+
+
+def test_licence_windows_of_words():
+    """Against all windows of words of texts on one line."""
+    rng = random.Random(3)
+    notices = (("A", "the red fox ran over the red hill"), ("C", "ran over"), ("D", "the red fox sat"))
+    templates = licences.Templates(notices, 0.8)
+    vocabulary = "the red fox ran over hill sat x".split()
+    matched = 0
+    for _ in range(1500):
+        words = " ".join(
+            rng.choice(vocabulary) if rng.random() < 0.6 else rng.choice(notices)[1] for _ in range(8)
+        ).split()
+        if templates.matches(" ".join(words)):
+            continue
+        every = []
+        for licence, notice in notices:
+            grams = licences.bigrams(notice.split())
+            for i in range(len(words)):
+                for j in range(i + 1, len(words)):
+                    inner = licences.bigrams(words[i : j + 1])
+                    ends = (words[i], words[i + 1]) in grams and (words[j - 1], words[j]) in grams
+                    if ends and licences.dice(inner, grams) >= 0.8:
+                        every.append((licence, licences.dice(inner, grams), i, j))
+        want = []
+        for w in sorted(every, key=lambda w: (-w[1], w[2] - w[3], w[2], w[0])):
+            if all(w[3] < k[2] or w[2] > k[3] for k in want):
+                want.append(w)
+        got = templates.notices(" ".join(words))
+        assert sorted((m.licence, m.score) for m in got) == sorted(w[:2] for w in want)
+        matched += len(got)
+    assert matched > 1000
+
+
 def test_chats_read_back(spark):
     nasty = r"\### Assistant: </turn> ok"
     rows = [(k, t, r, x, "x") for k, t, r, x in (
