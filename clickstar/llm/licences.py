@@ -30,8 +30,33 @@ from clickstar.llm.tables import texts
 THRESHOLD = 0.8
 _WORDS = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
-# Notices as licences and their stewards word them.
+_GNU = (
+    ("GPL-2.0", "General", "program", "2"),
+    ("LGPL-2.1", "Lesser General", "library", "2.1"),
+    ("LGPL-3.0", "Lesser General", "library", "3"),
+    ("AGPL-3.0", "Affero General", "program", "3"),
+)
+# Notices as licences and their stewards word them. Full texts are not among them.
 NOTICES: tuple[tuple[str, str], ...] = (
+    *(
+        (licence, f"This work is licensed under the GNU {kind} Public License, version {version}.")
+        for licence, kind, _, version in _GNU
+    ),
+    *(
+        (
+            licence,
+            f"This {what} is free software: you can redistribute it and/or modify it under the terms "
+            f"of the GNU {kind} Public License as published by the Free Software Foundation, either "
+            f"version {version} of the License, or (at your option) any later version.",
+        )
+        for licence, kind, what, version in _GNU
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     (

@@ -216,6 +216,23 @@ def test_licence_notices_within_lines():
     assert [(m.licence, m.first, m.last) for m in templates.notices(broken)] == [("MIT", 1, 2)]
 
 
+def test_near_siblings_of_licences():
+    templates = licences.Templates(licences.NOTICES, 0.8)
+    for licence, name in (
+        ("GPL-2.0", "General Public License, version 2"),
+        ("GPL-3.0", "General Public License, version 3"),
+        ("LGPL-2.1", "Lesser General Public License, version 2.1"),
+        ("LGPL-3.0", "Lesser General Public License, version 3"),
+        ("AGPL-3.0", "Affero General Public License, version 3"),
+    ):
+        line = f"This work is licensed under the GNU {name}."
+        for text in (line, f"some prose before it. {line} and after it"):
+            assert [m.licence for m in templates.notices(text)] == [licence]
+    gpl = next(t for n, t in licences.NOTICES if n == "GPL-3.0" and "redistribute" in t)
+    found = templates.notices(gpl.replace("version 3", "version 2"))
+    assert [m.licence for m in found] == ["GPL-2.0"]
+
+
 def test_licence_windows_of_words():
     """Against all windows of words of texts on one line."""
     rng = random.Random(3)
