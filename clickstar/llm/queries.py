@@ -16,11 +16,14 @@ from clickstar.llm import (
     language,
     licences,
     mixing,
+    negatives,
     packing,
     quality,
     repeats,
+    sharding,
     sql,
     tokens,
+    tries,
 )
 from clickstar.llm.tables import read
 
@@ -96,6 +99,33 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), ranks, limit=4096)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = (F.col("label") + 1) % 10
+    return negatives.hard_negatives(
+        read(spark, sf_dir, "embeddings"),
+        anchors=F.col("vec_id") % 100 == 0,
+        label=F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")),
+    )
+
+
+def op12_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.assigned(read(spark, sf_dir, "documents"), shards=24)
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = tries.conversation_trie(read(spark, sf_dir, "conversations"))
+    return trie.drop("node", "parent")
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline  # its stages use this module
 
@@ -111,6 +141,9 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_license_scan": op9_license_scan,
         "op10_token_counts": op10_token_counts,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_stratified_shards": op12_stratified_shards,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
@@ -120,4 +153,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_embedding_dedup": sql.EMBEDDINGS,
         "op3_quality_rules": sql.QUALITY,
         "op4_jaccard_join": sql.JACCARD,
+        "op11_hard_negatives": sql.NEGATIVES,
+        "op12_stratified_shards": sql.SHARDS,
+        "op13_conversation_trie": sql.TRIE,
     }
