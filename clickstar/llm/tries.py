@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickstar.llm.tables import written
+from clickstar.runtime import scratch_path
+from clickstar.sources.runs import path_exists
 
 #: Turns of one stretch of a conversation, and ids that one text of them holds.
 STRETCH, IDS = 4_096, 4_096
@@ -174,15 +176,24 @@ def prefixes(sequences: DataFrame) -> DataFrame:
 # Tree contraction ------------------------------------------------------------------------------
 
 
-def _coin(node: Column, turn: int) -> Column:
-    return F.xxhash64(F.lit(turn), node["x"], node["y"]).bitwiseAND(1) == 1
+def _coin(node: Column) -> Column:
+    return F.xxhash64(F.col("turn"), node["x"], node["y"]).bitwiseAND(1) == 1
 
 
-def _contracted(active: DataFrame, turn: int, sums: list[str]) -> DataFrame:
-    """One round: every active node with what became of it, ``raked``, ``spliced`` or ``active``."""
-    on_way = [f"{s}_up" for s in sums]
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Both sides by node, each a sorted part a task: rounds are many, and broadcasts would heap up on
+    the driver."""
+    return left.join(right.hint("merge"), "node", "left")
+
+
+def _contracted(active: DataFrame, sums: list[str]) -> DataFrame:
+    """One round: every active node with what became of it, ``raked``, ``spliced`` or ``active``.
+
+    The number of the round is a column, so that all rounds are the same plan and the same code.
+    """
+    on_way, links = [f"{s}_up" for s in sums], [f"{s}_link" for s in sums]
     children = active.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node"))
-    with_count = active.join(children.agg(F.count("*").alias("n")), "node", "left")
+    with_count = _met(active, children.agg(F.count("*").alias("n")))
     leaf = F.col("n").isNull()
     given = (
         with_count.where(leaf & F.col("parent").isNotNull())
@@ -192,12 +203,11 @@ def _contracted(active: DataFrame, turn: int, sums: list[str]) -> DataFrame:
             *[F.sum(F.col(s) + F.col(up)).alias(f"{s}_in") for s, up in zip(sums, on_way, strict=True)],
         )
     )
-    totals = [
-        (F.col(s) + F.coalesce(F.col(f"{s}_in"), F.lit(0))).alias(s) for s in sums
-    ]
-    raked = with_count.join(given, "node", "left").select(
+    totals = [(F.col(s) + F.coalesce(F.col(f"{s}_in"), F.lit(0))).alias(s) for s in sums]
+    raked = _met(with_count, given).select(
         "node",
         "parent",
+        "turn",
         *totals,
         *on_way,
         leaf.alias("done"),
@@ -205,7 +215,6 @@ def _contracted(active: DataFrame, turn: int, sums: list[str]) -> DataFrame:
     )
     # The one child that a node still has, and what is kept at its link; two halves of a key, as
     # those have a plain minimum.
-    links = [f"{s}_link" for s in sums]
     only = (
         raked.where(~F.col("done") & F.col("parent").isNotNull())
         .groupBy(F.col("parent").alias("node"))
@@ -220,17 +229,17 @@ def _contracted(active: DataFrame, turn: int, sums: list[str]) -> DataFrame:
         ~F.col("done")
         & F.coalesce(F.col("unary"), F.lit(False))
         & F.col("parent").isNotNull()
-        & _coin(F.col("node"), turn)
-        & ~_coin(F.col("parent"), turn)
+        & _coin(F.col("node"))
+        & ~_coin(F.col("parent"))
     )
-    decided = raked.join(only, "node", "left").withColumn("chosen", F.coalesce(chosen, F.lit(False)))
+    decided = _met(raked, only).withColumn("chosen", F.coalesce(chosen, F.lit(False)))
     spliced = decided.where("chosen").select(
         F.col("child").alias("node"),
         F.col("parent").alias("next"),
         *[(F.col(s) + F.col(up)).alias(f"{s}_more") for s, up in zip(sums, on_way, strict=True)],
     )
     state = F.when(F.col("done"), "raked").when(F.col("chosen"), "spliced").otherwise("active")
-    return decided.join(spliced, "node", "left").select(
+    return _met(decided, spliced).select(
         "node",
         F.coalesce("next", "parent").alias("parent"),
         # Of a node spliced out, what it has apart from its child's total.
@@ -243,6 +252,7 @@ def _contracted(active: DataFrame, turn: int, sums: list[str]) -> DataFrame:
             for s, up in zip(sums, on_way, strict=True)
         ],
         F.when(F.col("chosen"), F.col("child")).alias("child"),
+        (F.col("turn") + 1).alias("turn"),
         state.alias("state"),
     )
 
@@ -252,28 +262,48 @@ def subtree_totals(tree: DataFrame, sums: list[str]) -> DataFrame:
 
     ``tree`` has ``node, parent`` (structs of two longs ``x, y``; null above a root) and the columns,
     long. There may be several roots. Keys must be unique and parents be there.
+
+    Rounds lie side by side in one folder of the shared space, ``round=0/state=raked`` and so on, and
+    going back reads them as one table, of which a round takes those after it.
     """
+    spark = tree.sparkSession
+    path = scratch_path(spark, "contraction")
     on_way = [F.lit(0).cast("long").alias(f"{s}_up") for s in sums]
-    active = tree.select("node", "parent", *sums, *on_way)
-    rounds: list[DataFrame] = []
+    active = tree.select("node", "parent", *sums, *on_way, F.lit(0).alias("turn"))
+    stored = _contracted(active, sums).drop("state").schema
+
+    def of(rounds: str, state: str) -> DataFrame:
+        """Rows of one state in the rounds of a pattern."""
+        return spark.read.schema(stored).parquet(f"{path}/round={rounds}/state={state}")
+
+    spliced, rounds = [], 0
     while True:
-        step = written(_contracted(active, len(rounds), sums), "contracted")
-        rounds.append(step)
-        active = step.where("state = 'active'").drop("child", "state")
-        if active.isEmpty():
+        here = f"{path}/round={rounds}"
+        _contracted(active, sums).write.partitionBy("state").parquet(here)
+        if path_exists(spark, f"{here}/state=spliced"):
+            spliced.append(rounds)
+        if not path_exists(spark, f"{here}/state=active"):
             break
-    settled: DataFrame | None = None
-    for step in reversed(rounds):
-        done = step.where("state = 'raked'").select("node", *sums)
-        waiting = step.where("state = 'spliced'")
-        if settled is not None and not waiting.isEmpty():
-            below = settled.select(F.col("node").alias("child"), *[F.col(s).alias(f"{s}_below") for s in sums])
-            whole = waiting.join(below, "child").select(
-                "node", *[(F.col(s) + F.col(f"{s}_below")).alias(s) for s in sums]
-            )
-            done = done.unionByName(written(whole, "expanded"))
-        settled = done if settled is None else settled.unionByName(done)
-    return settled
+        active = of(str(rounds), "active").drop("child")
+        rounds += 1
+    if not path_exists(spark, f"{path}/round=0/state=raked"):
+        return tree.select("node", *sums)  # no nodes
+    # Everything that a round's waiting nodes hang on was settled in later rounds, or is by now.
+    kept = ["node", *sums, "turn"]
+    raked = of("*", "raked").select(*kept)
+    expanded = spark.createDataFrame([], raked.schema)
+    for number in reversed(spliced):
+        below = raked.unionByName(expanded).where(F.col("turn") > number + 1)
+        below = below.select(
+            F.col("node").alias("child"), *[F.col(s).alias(f"{s}_below") for s in sums]
+        )
+        whole = of(str(number), "spliced").join(below.hint("merge"), "child")
+        whole = whole.select(
+            "node", *[(F.col(s) + F.col(f"{s}_below")).alias(s) for s in sums], "turn"
+        )
+        whole.write.parquet(f"{path}/expanded/back={number}")
+        expanded = spark.read.schema(raked.schema).parquet(f"{path}/expanded/*")
+    return raked.unionByName(expanded).drop("turn")
 
 
 # Ids that end at a node ------------------------------------------------------------------------
