@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -17,7 +16,14 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from clickstar import fixtures as fx  # noqa: E402
 from clickstar.functions import agent, keys, net, time, url  # noqa: E402
-from clickstar.operators.geo import geo_table, locate, views_per_range  # noqa: E402
+from clickstar.operators import devices  # noqa: E402
+from clickstar.operators.geo import (  # noqa: E402
+    MAX_BROADCAST_BYTES,
+    geo_table,
+    locate,
+    views_per_range,
+)
+from clickstar.operators.geo6 import geo6_table, locate_any  # noqa: E402
 from clickstar.operators.rows import with_columns_of  # noqa: E402
 from clickstar.plans import audit, health, kpi, star  # noqa: E402
 from clickstar.plans.enrich import enrich  # noqa: E402
@@ -26,15 +32,17 @@ from clickstar.schema import DIMENSIONS, FACT, WAREHOUSE, key_of  # noqa: E402
 from clickstar.sources import messages as msg  # noqa: E402
 from clickstar.sources import warehouse as wh  # noqa: E402
 from clickstar.sources.ranges import read_geo_ranges  # noqa: E402
-from clickstar.streaming import counts, dedup  # noqa: E402
+from clickstar.sources.rollups import ROLLUPS, read_rollup  # noqa: E402
+from clickstar.streaming import counts, dedup, rates  # noqa: E402
 from clickstar.streaming.star import start_star_stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The operators on training data are a part of their own, which may be absent.
-if importlib.util.find_spec("clickstar.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
+    import corpus_pipeline  # noqa: E402, F401
     from clickstar.llm import queries as llm_queries  # noqa: E402
-else:
+except ImportError:
     llm_queries = None
 
 _ALL_NOW = {"availableNow": True}
@@ -106,6 +114,26 @@ def _streamed_star(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def _many_epochs(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse written by the stream in five epochs, the last of which bring what has been before,
+    and merged on the way by twos. Heartbeats come between the events."""
+    files = scratch_path(spark, "messages")
+    messages = fx.topic_messages(spark, sf_dir)
+    messages.repartition(4).write.text(files)
+    messages.coalesce(1).write.mode("append").text(files)
+    path = scratch_path(spark, "warehouse")
+    start_star_stream(
+        msg.read_message_stream(spark, "text", {"maxFilesPerTrigger": "1"}, files),
+        path,
+        scratch_path(spark, "checkpoint"),
+        _geo(spark, sf_dir),
+        fx.BRAND_PREFIX,
+        trigger=_ALL_NOW,
+        fan_in=2,
+    ).awaitTermination()
+    return path
+
+
 # Queries that take more than one step -------------------------------------------------------
 
 
@@ -148,6 +176,24 @@ def _stream_star_fact(spark, sf_dir):
     return wh.read_warehouse(spark, _streamed_star(spark, sf_dir))[FACT].drop(wh.FACT_DATE)
 
 
+def _stream_star_merged(spark, sf_dir):
+    return wh.read_warehouse(spark, _many_epochs(spark, sf_dir))[FACT].drop(wh.FACT_DATE)
+
+
+def _stream_rollups(spark, sf_dir):
+    """Every rollup after many epochs, its counts added up."""
+    path = _many_epochs(spark, sf_dir)
+    rows = []
+    for name, columns in ROLLUPS.items():
+        label = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+        rows.append(
+            read_rollup(spark, path, name)
+            .groupBy(F.lit(name).alias("rollup"), "time_id", F.concat_ws("/", *label).alias("keys"))
+            .agg(F.sum("views").alias("views"))
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _stream_star_dims(spark, sf_dir):
     tables = wh.read_warehouse(spark, _streamed_star(spark, sf_dir))
     labels = {
@@ -219,6 +265,32 @@ def _stream_counts(by: T.StructType) -> Query:
     return run
 
 
+def _stream_rates(rate) -> Query:
+    """A log that comes in three parts, one entry in ten a part late, and a heartbeat at its end."""
+
+    def run(spark, sf_dir):
+        files, out = scratch_path(spark, "log"), scratch_path(spark, "rates")
+        checkpoint = scratch_path(spark, "checkpoint")
+        log = fx.message_log(spark, sf_dir).select("topic", "timestamp", "offset")
+        since = F.unix_seconds("timestamp") - fx.LOG_START
+        part = F.least(F.floor(since / 1200), F.lit(2)) + F.when(F.col("offset") % 10 == 9, 1).otherwise(0)
+        parts = log.withColumn("part", F.least(part, F.lit(2)))
+        beat = spark.range(1).select(
+            F.lit(rates.HEARTBEAT).alias("topic"),
+            F.timestamp_seconds(F.lit(fx.LOG_START + 1_000_000)).alias("timestamp"),
+        )
+        for number in range(4):
+            arrived = parts.where(F.col("part") == number).drop("part", "offset") if number < 3 else beat
+            arrived.write.mode("append").parquet(files)
+            stream = spark.readStream.schema("topic string, timestamp timestamp").parquet(files)
+            rates.start_rates(
+                stream, rate, out, checkpoint, "45 minutes", _ALL_NOW
+            ).awaitTermination()
+        return spark.read.parquet(out).where(F.col("topic") != rates.HEARTBEAT)
+
+    return run
+
+
 def _sink_insert_if_absent(spark, sf_dir):
     """The same stores in three epochs, one of them run twice: each is kept once."""
     warehouse = scratch_path(spark, "warehouse")
@@ -309,11 +381,40 @@ def _hash_keys(spark, sf_dir):
     )
 
 
+def _device_families(spark, sf_dir):
+    """Rules kept as a table, run on the distinct agents, which are stored."""
+    kept = scratch_path(spark, "rules")
+    devices.rule_table(spark, devices.BROWSERS).write.parquet(f"{kept}/browsers")
+    devices.rule_table(spark, devices.SYSTEMS).write.parquet(f"{kept}/systems")
+    rules = [
+        devices.read_agent_rules(spark.read.parquet(f"{kept}/{name}")) for name in ("browsers", "systems")
+    ]
+    events = fx.versioned_agents(spark, sf_dir)
+    devices.device_table(events, *rules).write.parquet(f"{kept}/devices")
+    told = devices.with_devices(events, spark.read.parquet(f"{kept}/devices"))
+    return told.drop("user_agent")
+
+
 def _ip_geolocate(spark, sf_dir):
     located = locate(_accepted(spark, sf_dir), _geo(spark, sf_dir))
     return located.select(F.col("id").alias("event_id"), "ip", "country", "region", "city")
 
 
+def _locate_any(max_broadcast_bytes: int) -> Query:
+    def run(spark, sf_dir):
+        four = geo_table(fx.geo_ranges(spark, sf_dir), max_broadcast_bytes)
+        six = geo6_table(fx.geo6_ranges(spark, sf_dir), max_broadcast_bytes)
+        return locate_any(fx.mixed_addresses(spark, sf_dir), four, six)
+
+    return run
+
+
+def _domain_suffixes(spark, sf_dir):
+    country = url.domain_country(F.col("url"))
+    named = fx.shop_hosts(spark, sf_dir).select("event_id", "url", country.alias("domain_country"))
+    return named.withColumn("country", url.country_name(F.col("domain_country")))
+
+
 def _star_join(spark, sf_dir):
     return star.star_join(wh.read_warehouse(spark, _stored_star(spark, sf_dir)))
 
@@ -336,11 +437,8 @@ def _top_referrers(spark, sf_dir):
 
 def _stores_by_country(spark, sf_dir):
     """Stores viewed from the country that most views come from."""
-    stored = wh.read_warehouse(spark, _stored_star(spark, sf_dir))
-    country = kpi.most_viewed_country(stored[FACT], stored["dim_location"])
     views = star.unique_views(_enriched_with_place(spark, sf_dir), ["country", "store_id"])
-    there = kpi.view_counts(views.where(F.col("country") == country), "store_id")
-    return there.orderBy(F.desc("views"), F.asc("store_id"))
+    return kpi.stores_of_top_country(views)
 
 
 def _hourly_devices(spark, sf_dir):
@@ -369,6 +467,27 @@ def _stored(report) -> Query:
     return run
 
 
+def _rolled(report) -> Query:
+    """A report on the hourly counts of a stored warehouse."""
+
+    def run(spark, sf_dir):
+        path = _stored_star(spark, sf_dir)
+        dims = {table: wh.read_table(spark, path, table) for table in DIMENSIONS}
+        return report(lambda name: read_rollup(spark, path, name), dims)
+
+    return run
+
+
+def _rolled_stores_by_country(rollup, dims):
+    views, places = rollup("place_store"), dims["dim_location"]
+    return kpi.stores_by_ip_country(views, places, kpi.most_viewed_country(views, places))
+
+
+def _rolled_product_hourly(rollup, dims):
+    views = rollup("product")
+    return kpi.product_hourly(views, _most_viewed_product(views), fx.AS_OF)
+
+
 def _stored_stores_by_country(stored):
     views, places = stored[FACT], stored["dim_location"]
     return kpi.stores_by_ip_country(views, places, kpi.most_viewed_country(views, places))
@@ -409,10 +528,15 @@ def queries() -> dict[str, Query]:
         # Sources and sinks
         "src_stream_json": _src_stream_json,
         "parse_events": _parse_events,
-        "intake_counts": lambda s, d: msg.intake_counts(fx.raw_messages(s, d)),
+        "intake_counts": lambda s, d: msg.intake_counts(
+            fx.topic_messages(s, d), canaries_apart=True
+        ),
+        "canary_messages": lambda s, d: msg.canary_messages(fx.topic_messages(s, d)),
         "relay_stream": _relay_stream,
         "stream_star_fact": _stream_star_fact,
         "stream_star_dims": _stream_star_dims,
+        "stream_star_merged": _stream_star_merged,
+        "stream_rollups": _stream_rollups,
         "stream_resume": _stream_resume,
         "stream_dedup_events": _stream_dedup_events,
         "stream_hourly_counts": _stream_counts(_DEVICES),
@@ -441,8 +565,12 @@ def queries() -> dict[str, Query]:
         ),
         "browser_family": _per_event(browser=lambda: agent.browser_family(F.col("user_agent"))),
         "os_family": _per_event(os=lambda: agent.os_family(F.col("user_agent"))),
+        "device_families": _device_families,
         "ip_geolocate": _ip_geolocate,
         "ip_geolocate_large": _geolocate_large,
+        "ip_geolocate_any": _locate_any(MAX_BROADCAST_BYTES),
+        "ip_geolocate_any_large": _locate_any(0),
+        "domain_suffixes": _domain_suffixes,
         "ip_to_long": _per_event(
             ip=lambda: F.col("ip"), ip_number=lambda: net.ip_to_long(F.col("ip"))
         ),
@@ -496,9 +624,45 @@ def queries() -> dict[str, Query]:
         "stored_hourly_browser_os": _stored(
             lambda w: kpi.hourly_browser_os(w[FACT], w["dim_browser"], w["dim_os"], fx.AS_OF)
         ),
+        # The same on its hourly counts
+        "stored_top_countries_domain": _rolled(
+            lambda rollup, dims: kpi.top_domain_countries(rollup("domain_store"), fx.AS_OF)
+        ),
+        "stored_stores_by_domain_country": _rolled(
+            lambda rollup, dims: kpi.stores_by_domain_country(
+                rollup("domain_store"), fx.DOMAIN_COUNTRY
+            )
+        ),
+        "stored_hourly_browser_os_sets": _rolled(
+            lambda rollup, dims: kpi.hourly_browser_os_sets(
+                rollup("device"), dims["dim_browser"], dims["dim_os"], fx.AS_OF
+            )
+        ),
+        "rollup_top_products": _rolled(
+            lambda rollup, dims: kpi.top_products(rollup("product"), fx.AS_OF)
+        ),
+        "rollup_top_countries_ip": _rolled(
+            lambda rollup, dims: kpi.top_ip_countries(
+                rollup("place_store"), dims["dim_location"], fx.AS_OF
+            )
+        ),
+        "rollup_top_referrers": _rolled(
+            lambda rollup, dims: kpi.top_referrers(
+                rollup("referrer"), dims["dim_referrer_url"], fx.AS_OF
+            )
+        ),
+        "rollup_stores_by_country": _rolled(_rolled_stores_by_country),
+        "rollup_product_hourly": _rolled(_rolled_product_hourly),
+        "rollup_hourly_browser_os": _rolled(
+            lambda rollup, dims: kpi.hourly_browser_os(
+                rollup("device"), dims["dim_browser"], dims["dim_os"], fx.AS_OF
+            )
+        ),
         # Stream health
         "ops_rate_per_sec": lambda s, d: health.messages_per_second(fx.message_log(s, d)),
         "ops_rate_per_min": lambda s, d: health.messages_per_minute(fx.message_log(s, d)),
+        "stream_rate_per_sec": _stream_rates(health.messages_per_second),
+        "stream_rate_per_min": _stream_rates(health.messages_per_minute),
         "ops_consumer_lag": lambda s, d: health.consumer_lag(
             fx.message_log(s, d), fx.group_commits(fx.message_log(s, d))
         ),

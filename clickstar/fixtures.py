@@ -51,9 +51,55 @@ USER_AGENTS = [
     None,
 ]
 
+# Agents whose versions, {v} and {w}, differ from event to event.
+VERSIONED_AGENTS = [
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Safari/537.36",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_{w}) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/{v}.{w}.0.0 Mobile Safari/537.36",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/{v}.{w}.0 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/{v}.{w} Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) FxiOS/{v}.{w} Mobile/15E148 Safari/605.1.15",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) EdgiOS/{v}.{w}.0 Version/15.0 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) GSA/{v}.{w}.1 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 Instagram {v}.{w}.0.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 [FBAN/FBIOS;FBAV/{v}.{w}.0.1]",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_{w}) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/{v}.{w} Safari/605.1.15",
+    "Mozilla/5.0 (X11; Linux x86_64; rv:{v}.{w}) Gecko/20100101 Firefox/{v}.{w}",
+    "Mozilla/5.0 (X11; Fedora; Linux x86_64; rv:{v}.{w}) Gecko/20100101 Firefox/{v}.{w}",
+    "Mozilla/5.0 (Android 1{w}; Mobile; rv:{v}.{w}) Gecko/{v}.{w} Firefox/{v}.{w}",
+    "Mozilla/5.0 (Windows NT 6.1; rv:52.9) Gecko/20100101 PaleMoon/{v}.{w}.0",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 Edg/{v}.{w}.864.59",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Mobile Safari/537.36 EdgA/{v}.{w}.1",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 OPR/{v}.{w}.4054.172",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Mobile Safari/537.36 OPR/{v}.{w}.1",
+    "Opera/9.80 (Android; Opera Mini/{v}.{w}.2254/119.132; U; en) Presto/2.12.423 Version/12.16",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/{v}.{w} Chrome/87.0.1.1 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.1.1 UCBrowser/{v}.{w}.0.1306 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.1.1 MiuiBrowser/{v}.{w}.1 Mobile Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 YaBrowser/{v}.{w}.3 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 Vivaldi/{v}.{w}",
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/87.0.1.1 QQBrowser/{v}.{w} Safari/537.36",
+    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) HeadlessChrome/{v}.{w}.1.1 Safari/537.36",
+    "Mozilla/5.0 (X11; CrOS x86_64 {v}.{w}.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.1.1 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:{v}.{w}) like Gecko",
+    "Mozilla/4.0 (compatible; MSIE {v}.{w}; Windows NT 5.1)",
+    "Mozilla/5.0 (Mobile; Windows Phone 8.{w}; Android 4.0; Trident/7.0; IEMobile/{v}.{w}) like iPhone Gecko",
+    "Mozilla/5.0 (Linux; U; Android 4.{w}; en-us; GT-P5100) AppleWebKit/534.30 (KHTML, like Gecko) Version/4.0 Safari/534.30",
+    "Mozilla/5.0 (Mobile; Nokia 8110; rv:48.0) Gecko/48.0 Firefox/{v}.{w} KAIOS/2.{w}",
+    "Mozilla/5.0 (SMART-TV; LINUX; Tizen {v}.{w}) AppleWebKit/537.36 (KHTML, like Gecko) Version/{v}.{w} TV Safari/537.36",
+    "Mozilla/5.0 (compatible; Googlebot/{v}.{w}; +http://www.google.com/bot.html)",
+    "Mozilla/5.0 (compatible; bingbot/{v}.{w}; +http://www.bing.com/bingbot.htm)",
+    "Googlebot-Image/{v}.{w}",
+    "curl/{v}.{w}.0",
+    "python-requests/{v}.{w}.1",
+    "device {v} of no kind",
+]
+
 # Fixed values of the views.
 _RANGE_BLOCKS = 4096
-_LOG_START = 1704067200  # 2024-01-01T00:00:00Z
+LOG_START = 1704067200  # 2024-01-01T00:00:00Z
 _LOG_SECOND_MICROS = 720_000_000  # 30 days told in an hour
 
 # The columns the views use; a stated schema saves a job that would read it from the files.
@@ -149,12 +195,128 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Suffixes of hosts.
+HOST_SUFFIXES = [
+    "fr", "co.uk", "com", "eu", "io", "uk", "uk.com", "zz", "com.au", "de.com", "eu.int", "GB", "de", "notuk.com",
+]
+
+
+def shop_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of shops under many suffixes."""
+    suffix = F.get(
+        F.array(*map(F.lit, HOST_SUFFIXES)), (F.col("event_id") % len(HOST_SUFFIXES)).cast("int")
+    )
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_id"),
+        F.concat(F.lit("https://shop"), F.col("user_id").cast("string"), F.lit("."), suffix, F.lit("/a.b/c.fr")).alias("url"),
+    )
+
+
+def geo6_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPv6 ranges in 64 blocks below 2a00::, of sizes from a whole block to a 2^80 network, with gaps."""
+    block, part = F.col("block"), F.col("part")
+    kind = block % 4
+    parts = F.element_at(F.array(F.lit(1), F.lit(16), F.lit(256), F.lit(1024)), (kind + 1).cast("int"))
+    cut = spark.range(64, numPartitions=1).select(F.col("id").alias("block")).select(
+        "block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")
+    )
+    present = (
+        (kind == 0)
+        | ((kind == 1) & (part % 5 != 4))
+        | ((kind == 2) & (part % 7 != 6))
+        | ((kind == 3) & (part % 4 != 3))
+    )
+    # The second and third group of the first address, and of the last.
+    size = F.element_at(F.array(F.lit(65536), F.lit(4096), F.lit(256), F.lit(1)), (kind + 1).cast("int"))
+    low = F.when(kind == 3, F.floor(part / 16)).otherwise(part * size)
+    high = F.when(kind == 3, F.floor(part / 16)).otherwise(part * size + size - 1)
+    third = F.when(kind == 3, part % 16)
+    head = F.lower(F.hex(block + 0x2A00))
+    start = F.concat_ws(":", head, F.lower(F.hex(low)), F.coalesce(F.lower(F.hex(third)), F.lit("0")))
+    end = F.concat_ws(":", head, F.lower(F.hex(high)), F.coalesce(F.lower(F.hex(third)), F.lit("ffff")))
+    nations = table(spark, sf_dir, "nation").join(
+        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    return (
+        cut.where(present)
+        .withColumn("number", block * 1024 + part)
+        .join(F.broadcast(nations), F.col("n_nationkey") == F.col("number") % 25)
+        .select(
+            F.concat(start, F.lit("::")).alias("ip_from"),
+            F.concat(end, F.lit(":ffff:ffff:ffff:ffff:ffff")).alias("ip_to"),
+            F.col("n_name").alias("country"),
+            F.col("r_name").alias("region"),
+            F.concat(F.lit("city6_"), F.col("number").cast("string")).alias("city"),
+        )
+    )
+
+
+def mixed_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IPv4 and IPv6 addresses, the latter in all the ways they are written, and some that are none."""
+    event, user = F.col("event_id"), F.col("user_id")
+    head = F.lower(F.hex(user % 64 + 0x2A00))
+    second = F.when(user % 4 == 3, user * 37 % 64).otherwise(user * 37 % 65536)
+    hexed = [head, *[F.lower(F.hex(c)) for c in (second, event % 16)]]
+    own = event % 65536
+    short = F.concat(F.concat_ws(":", *hexed), F.lit("::"), F.lower(F.hex(own)))
+    padded = [F.lpad(c, 4, "0") for c in hexed]
+    whole = F.concat_ws(":", *padded, *[F.lit("0000")] * 4, F.lower(F.lpad(F.hex(own), 4, "0")))
+    tail = F.concat(F.concat_ws(":", *hexed), F.lit("::1.2.3."), (event % 256).cast("string"))
+    four = F.concat_ws(
+        ".", *[c.cast("string") for c in (user * 37 % 223 + 1, user * 91 % 256, event % 256, F.lit(7))]
+    )
+    way = event % 10
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("evt-"), event.cast("string")).alias("event_id"),
+        F.when(event % 101 == 0, F.lit("2a00:1:2"))
+        .when(event % 103 == 0, F.lit("2a00::1::2"))
+        .when(way == 0, F.upper(short))
+        .when(way == 1, whole)
+        .when(way == 2, F.concat(short, F.lit("%eth0")))
+        .when(way == 3, tail)
+        .when(way == 4, short)
+        .when(way == 5, F.concat(F.lit("::ffff:"), four))
+        .otherwise(four)
+        .alias("ip"),
+    )
+
+
+def versioned_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with some thousands of different agents, one event in 41 without."""
+    agents = F.get(
+        F.array(*map(F.lit, VERSIONED_AGENTS)), (F.col("event_id") % len(VERSIONED_AGENTS)).cast("int")
+    )
+    major = (F.col("user_id") % 60 + 40).cast("string")
+    minor = (F.col("event_id") % 10).cast("string")
+    agent = F.replace(F.replace(agents, F.lit("{v}"), major), F.lit("{w}"), minor)
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_id"),
+        F.when(F.col("event_id") % 41 != 0, agent).alias("user_agent"),
+    )
+
+
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as JSON text, as a topic would hold them."""
     events = raw_events(spark, sf_dir)
     return events.select(F.to_json(F.struct(*events.columns)).alias("value"))
 
 
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a heartbeat for each signup in between, as a shared topic has them."""
+    seconds = F.timestamp_seconds("sent_sec").cast("string")
+    beats = canary_sent(spark, sf_dir).select(
+        F.to_json(
+            F.struct(
+                "message_id",
+                F.lit("heartbeat").alias("message"),
+                seconds.alias("timestamp"),
+                F.lit("canary").alias("type"),
+            )
+        ).alias("value")
+    )
+    return raw_messages(spark, sf_dir).unionByName(beats)
+
+
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges without overlap, with gaps within and between blocks."""
     region = table(spark, sf_dir, "region")
@@ -194,7 +356,7 @@ def _numbered(events: DataFrame, group: list[str], name: str) -> DataFrame:
 
 
 # Time of a log entry, in epoch seconds.
-_LOG_SECOND = f"{_LOG_START} + floor(({_MICROS} - {_LOG_START}000000) / {_LOG_SECOND_MICROS})"
+_LOG_SECOND = f"{LOG_START} + floor(({_MICROS} - {LOG_START}000000) / {_LOG_SECOND_MICROS})"
 
 
 def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:

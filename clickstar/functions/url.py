@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
@@ -22,7 +23,6 @@ _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 _SCHEME_AND_USER = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?"
 _HOST = _SCHEME_AND_USER + r"([^/?#:]+)"
-_COUNTRY = _SCHEME_AND_USER + r"[^/?#:]*\.([A-Za-z]{2})(?=[:/?#]|\z)"
 
 
 def _or_null(text: Column) -> Column:
@@ -62,13 +62,71 @@ def domain_label(url: Column) -> Column:
     return F.substring_index(url_host(url), ".", -1)
 
 
-def domain_country(url: Column) -> Column:
-    """Country code of the domain. Two-letter top-level domains are the countries' own;
-    others, like com, name no country and give null."""
-    return _or_null(F.lower(F.regexp_extract(url, _COUNTRY, 1)))
-
+# Suffixes of several labels under which registrars sell names for a country, and those
+# under which they do so for none. Labels of countries and what is registered right below them need
+# no entry: co.uk ends in uk.
+SUFFIX_COUNTRIES: dict[str, str | None] = {
+    "uk.com": "uk",
+    "gb.com": "uk",
+    "uk.net": "uk",
+    "gb.net": "uk",
+    "us.com": "us",
+    "us.org": "us",
+    "br.com": "br",
+    "cn.com": "cn",
+    "de.com": "de",
+    "jp.net": "jp",
+    "jpn.com": "jp",
+    "mex.com": "mx",
+    "ru.com": "ru",
+    "sa.com": "sa",
+    "se.net": "se",
+    "za.com": "za",
+    "za.bz": "za",
+    "com.de": "de",
+    "eu.int": None,
+    "un.int": None,
+}
 
-# Countries by the label of their domains.
+# Labels of countries that differ from their ISO code.
+_OTHER_LABELS = {"uk": "GB"}
+
+
+@cache
+def country_codes() -> dict[str, str]:
+    """Labels of countries' domains and their English names, from the JVM's table of ISO 3166. The eu
+    and the labels of no country are not in it."""
+    locale = SparkSession.active()._jvm.java.util.Locale
+    labels = {code.lower(): code for code in locale.getISOCountries()} | _OTHER_LABELS
+    return {label: locale("", code).getDisplayCountry(locale.ENGLISH) for label, code in labels.items()}
+
+
+def suffix_country(
+    host: Column, suffixes: Mapping[str, str | None] = SUFFIX_COUNTRIES
+) -> Column:
+    """The country of a host's longest known suffix: one of `suffixes`, else its last label, if that is
+    a country's. A suffix is whole labels: notuk.com does not end in uk.com. A host that is itself a
+    suffix has its country too; a dot at its end does not count."""
+    whole = F.lower(F.rtrim(host, F.lit(".")))
+    dotted = F.concat(F.lit("."), whole)
+    # All codes in one text, which is searched byte by byte; a map would be compared entry by entry.
+    codes = F.lit("." + ".".join(country_codes()) + ".")
+    label = F.substring_index(dotted, ".", -1)
+    is_code = (F.char_length(label) == 2) & codes.contains(F.concat(F.lit("."), label, F.lit(".")))
+    chain = F
+    for suffix in sorted(suffixes, key=lambda s: (-s.count("."), s)):
+        chain = chain.when(dotted.endswith(f".{suffix}"), F.lit(suffixes[suffix]).cast("string"))
+    return chain.when(is_code, label) if suffixes else F.when(is_code, label)
+
+
+def domain_country(
+    url: Column, suffixes: Mapping[str, str | None] = SUFFIX_COUNTRIES
+) -> Column:
+    """Country code of an address's domain, null where it names no country, as com and eu do."""
+    return suffix_country(url_host(url), suffixes)
+
+
+# Names as reports show them, where these are wanted other than in `country_codes`.
 COUNTRY_NAMES = {
     "ar": "Argentina",
     "at": "Austria",
@@ -130,6 +188,7 @@ COUNTRY_NAMES = {
 
 
 def country_name(code: Column, names: Mapping[str, str] = COUNTRY_NAMES) -> Column:
-    """Name of a country code of a domain; one that is not listed keeps its code."""
-    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    """Name of a country code of a domain; one that no country has keeps its code."""
+    every = {**country_codes(), **names}
+    known = F.create_map(*[F.lit(x) for pair in every.items() for x in pair])
     return F.coalesce(F.try_element_at(known, F.lower(code)), code)

@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import DIMENSIONS, FACT, WAREHOUSE, key_of
-from ..sources.warehouse import path_exists, read_warehouse
+from ..sources.runs import runs
+from ..sources.warehouse import read_warehouse
 
 
 def missing_tables(spark: SparkSession, warehouse: str) -> list[str]:
     """Tables the warehouse should have and does not."""
-    return [
-        table for table in WAREHOUSE if not path_exists(spark, f"{warehouse}/{table}")
-    ]
+    return [table for table in WAREHOUSE if not runs(spark, f"{warehouse}/{table}")]
 
 
 def _key_checks(df: DataFrame, table: str) -> DataFrame:

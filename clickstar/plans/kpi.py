@@ -4,7 +4,8 @@ Each counts on the fact's keys first and joins labels to the counts, never to ev
 crosses a shuffle is one partial count per key and task, and a popular key is no heavier than
 another. On a stored fact the day filter prunes to one date's folder.
 
-`views` is the fact, or `unique_views` with the columns a report needs; both have event_date.
+`views` is the fact, or `unique_views` with the columns a report needs, or a rollup, whose rows are
+counts already; all have event_date.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ def view_counts(views: DataFrame, *keys: str) -> DataFrame:
     keyed = views
     for key in keys:
         keyed = keyed.where(F.col(key).isNotNull())
-    return keyed.groupBy(*keys).agg(F.count("*").alias("views"))
+    counts = F.sum("views") if "views" in views.columns else F.count("*")
+    return keyed.groupBy(*keys).agg(counts.alias("views"))
 
 
 def top_products(views: DataFrame, day: dt.date, k: int = 10) -> DataFrame:
@@ -100,6 +102,20 @@ def most_viewed_country(views: DataFrame, dim_location: DataFrame) -> str | None
     return top["country"] if top else None
 
 
+def stores_of_top_country(views: DataFrame) -> DataFrame:
+    """Stores viewed from the country that most views come from, most viewed first; from events that
+    carry the country. Views are counted once, and the country is one row beside the counts."""
+    counts = views.groupBy("country", "store_id").agg(F.count("*").alias("views"))
+    known = counts.where(F.col("country") != "Unknown").groupBy("country")
+    top = top_k(known.agg(F.sum("views").alias("views")), "country", "views", 1).select("country")
+    return (
+        counts.join(F.broadcast(top), "country")
+        .where(F.col("store_id").isNotNull())
+        .select("store_id", "views")
+        .orderBy(F.desc("views"), F.asc("store_id"))
+    )
+
+
 def hourly_devices(views: DataFrame, day: dt.date) -> DataFrame:
     """Views of the day by hour, browser and system, from events that carry these names."""
     counts = view_counts(on_day(views, day), "time_id", "browser", "os")

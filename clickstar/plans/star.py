@@ -12,8 +12,10 @@ from ..functions.keys import hash_key, location_key
 from ..functions.time import hour_attributes, hour_key
 from ..functions.url import product_name
 from ..operators.geo import GeoTable
-from ..operators.rows import first_per_key
+from ..operators.rows import deliveries, earliest_per_key, first_deliveries, first_per_key
+from ..runtime import scratch_path
 from ..schema import FACT, WAREHOUSE
+from ..sources.rollups import write_rollup_epoch
 from ..sources.warehouse import BACKFILL_EPOCH, conform, dims_then_fact, remove_path, write_epoch
 from .enrich import enrich
 
@@ -36,7 +38,7 @@ def dim_store(enriched: DataFrame) -> DataFrame:
 
 def dim_product(enriched: DataFrame, brand_prefix: str = "") -> DataFrame:
     """The earliest event's page names the product, parsed once per product."""
-    first = first_per_key(enriched, "product_id", ["time_stamp", "event_id"], ["current_url"])
+    first = earliest_per_key(enriched, "product_id", ["time_stamp", "event_id"], ["current_url"])
     return first.select(
         "product_id", product_name(F.col("current_url"), brand_prefix).alias("product_name")
     )
@@ -87,10 +89,10 @@ _FACT_COLUMNS = {
 }
 
 
-def unique_views(
+def delivered_views(
     enriched: DataFrame, columns: Sequence[str], until: dt.date | None = None
 ) -> DataFrame:
-    """One row per event id, the earliest, with the given fact columns.
+    """Event ids with the given fact columns, each once, and the least time they came with.
 
     Redelivered events carry one id. Only the columns asked for cross the shuffle. With `until`,
     only events up to that date: the earliest of an id is among them or is not wanted, so later
@@ -106,12 +108,32 @@ def unique_views(
         "time_stamp",
         *[_FACT_COLUMNS[name]().alias(name) for name in columns],
     )
-    return first_per_key(keyed, "event_id", ["time_stamp"], columns).drop("time_stamp")
+    return deliveries(keyed, "event_id", "time_stamp", columns)
+
+
+def unique_views(
+    enriched: DataFrame, columns: Sequence[str], until: dt.date | None = None
+) -> DataFrame:
+    """One row per event id, the earliest, with the given fact columns; `until` as above.
+
+    Runs a job: the deliveries are written to the shared folder, and ids that came with different
+    rows looked for there.
+    """
+    spark = enriched.sparkSession
+    path = scratch_path(spark, "deliveries")
+    delivered = delivered_views(enriched, columns, until)
+    delivered.write.parquet(path)
+    stored = spark.read.schema(delivered.schema).parquet(path)
+    return first_deliveries(stored, "event_id", "time_stamp", columns).drop("time_stamp")
+
+
+FACT_COLUMNS = WAREHOUSE[FACT].fieldNames()[1:]
+#: Fact columns and what rollups have beside them.
+COUNTED_COLUMNS = [*FACT_COLUMNS, "domain_country"]
 
 
 def fact_view_event(enriched: DataFrame) -> DataFrame:
-    columns = WAREHOUSE[FACT].fieldNames()[1:]
-    return unique_views(enriched, columns)
+    return unique_views(enriched, FACT_COLUMNS)
 
 
 def earliest_event_per_product(enriched: DataFrame) -> DataFrame:
@@ -123,12 +145,12 @@ def earliest_event_per_product(enriched: DataFrame) -> DataFrame:
         "product_id",
         *[_FACT_COLUMNS[name]().alias(name) for name in columns],
     )
-    first = first_per_key(keyed, "product_id", ["time_stamp", "event_id"], columns)
+    first = earliest_per_key(keyed, "product_id", ["time_stamp", "event_id"], columns)
     return first.select(*WAREHOUSE[FACT].fieldNames())
 
 
-def star_tables(enriched: DataFrame, brand_prefix: str = "") -> dict[str, DataFrame]:
-    """All eight tables, dimensions before the fact."""
+def dimensions(enriched: DataFrame, brand_prefix: str = "") -> dict[str, DataFrame]:
+    """The seven dimensions."""
     tables = {
         "dim_time": dim_time(enriched),
         "dim_product": dim_product(enriched, brand_prefix),
@@ -137,11 +159,16 @@ def star_tables(enriched: DataFrame, brand_prefix: str = "") -> dict[str, DataFr
         "dim_referrer_url": dim_referrer_url(enriched),
         "dim_browser": dim_browser(enriched),
         "dim_os": dim_os(enriched),
-        FACT: fact_view_event(enriched),
     }
     return {table: conform(df, table) for table, df in tables.items()}
 
 
+def star_tables(enriched: DataFrame, brand_prefix: str = "") -> dict[str, DataFrame]:
+    """All eight tables, dimensions before the fact."""
+    fact = conform(fact_view_event(enriched), FACT)
+    return dimensions(enriched, brand_prefix) | {FACT: fact}
+
+
 def build_warehouse(
     spark: SparkSession,
     events: DataFrame,
@@ -150,17 +177,24 @@ def build_warehouse(
     stage: str,
     brand_prefix: str = "",
 ) -> None:
-    """Backfill: accepted events to a fresh warehouse.
+    """Backfill: accepted events to a fresh warehouse and its hourly counts.
 
     Events are parsed, enriched and located once, into a staged table; each of the eight tables
     then reads just its own columns of that. `stage` is a path all executors share, so a lost
     executor costs its tasks and not the enrichment.
     """
-    enrich(events, geo).write.mode("overwrite").parquet(stage)
-    tables = star_tables(spark.read.parquet(stage), brand_prefix)
+    enrich(events, geo).write.mode("overwrite").parquet(f"{stage}/events")
+    enriched = spark.read.parquet(f"{stage}/events")
+    tables = dimensions(enriched, brand_prefix)
+    delivered = delivered_views(enriched, COUNTED_COLUMNS)
+    delivered.write.mode("overwrite").parquet(f"{stage}/views")
+    stored = spark.read.schema(delivered.schema).parquet(f"{stage}/views")
+    views = first_deliveries(stored, "event_id", "time_stamp", COUNTED_COLUMNS)
+    tables[FACT] = views
     dims_then_fact(
         spark, lambda table: write_epoch(tables[table], warehouse, table, BACKFILL_EPOCH)
     )
+    write_rollup_epoch(views, warehouse, BACKFILL_EPOCH)
     remove_path(spark, stage)
 
 

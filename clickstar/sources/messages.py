@@ -12,6 +12,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..schema import ALLOWED_COLLECTIONS, CANARY_MESSAGE, EVENT
 
 
+# Fixed value: the type of a heartbeat message.
+CANARY = "canary"
+
+
 def kafka_options(
     bootstrap_servers: str,
     topic: str,
@@ -78,13 +82,18 @@ def accepted_events(
 
 
 def intake_counts(
-    messages: DataFrame, collections: Sequence[str] = ALLOWED_COLLECTIONS
+    messages: DataFrame,
+    collections: Sequence[str] = ALLOWED_COLLECTIONS,
+    canaries_apart: bool = False,
 ) -> DataFrame:
-    """Messages by what becomes of them, so that nothing is dropped unseen."""
+    """Messages by what becomes of them, so that nothing is dropped unseen. Heartbeats are messages
+    without a collection, unless they are counted apart."""
     value = F.col("value").cast("string")
     event = F.col("event")
+    heartbeat = F.lit(canaries_apart) & (F.col("type") == CANARY)
     fate = (
         F.when(event["collection"].isNull() & F.col("json").isNull(), "malformed")
+        .when(event["collection"].isNull() & heartbeat, "canary")
         .when(event["collection"].isNull(), "no_collection")
         .when(~event["collection"].isin(list(collections)), "not_allowed")
         .when(event["id"].isNull(), "no_id")
@@ -94,6 +103,7 @@ def intake_counts(
         messages.select(
             F.from_json(value, EVENT).alias("event"),
             F.get_json_object(value, "$").alias("json"),
+            F.get_json_object(value, "$.type").alias("type"),
         )
         .select(fate.alias("fate"))
         .groupBy("fate")
@@ -109,7 +119,7 @@ def canary_messages(messages: DataFrame) -> DataFrame:
             "message_id string, message string, timestamp string, type string",
         ).alias("canary")
     ).select("canary.*")
-    return sent.where(F.col("type") == "canary").select(
+    return sent.where(F.col("type") == CANARY).select(
         "message_id",
         "message",
         F.col("timestamp").try_cast(CANARY_MESSAGE["timestamp"].dataType).alias("timestamp"),

@@ -1,4 +1,4 @@
-"""Warehouse tables as Parquet, one folder per write epoch: <table>/epoch_id=N/..."""
+"""Warehouse tables as Parquet, one folder per write epoch, merged as they grow in number."""
 
 from __future__ import annotations
 
@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from ..functions.time import date_of_hour_key
 from ..schema import DIMENSIONS, FACT, WAREHOUSE, key_of
+from .keyindex import KeyIndex
+from .runs import EPOCH, FAN_IN, Run, merge_runs, path_exists, read_runs, remove_path, runs
 
-EPOCH = "epoch_id"
+__all__ = ["EPOCH", "path_exists", "remove_path"]
 
 # Streams number their epochs from 0; a backfill comes before all of them.
 BACKFILL_EPOCH = -1
@@ -51,26 +53,10 @@ def dims_then_fact(spark: SparkSession, write: Callable[[str], None]) -> None:
     write(FACT)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this job wrote."""
-    context = spark.sparkContext
-    place = context._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """The table with its epoch_id, and event_date for the fact; empty if never written."""
-    stored = _stored_schema(table)
     path = f"{warehouse}/{table}"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], stored)
-    return spark.read.schema(stored).parquet(path)
+    return read_runs(spark, path, _stored_schema(table), runs(spark, path))
 
 
 def read_warehouse(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -89,19 +75,45 @@ def write_epoch(df: DataFrame, warehouse: str, table: str, epoch: int) -> None:
     path = f"{warehouse}/{table}/{EPOCH}={epoch}"
     rows = conform(df, table)
     if table == FACT:
-        dated = rows.withColumn(FACT_DATE, date_of_hour_key(F.col("time_id")))
-        dated.hint("rebalance", FACT_DATE).write.mode("overwrite").partitionBy(
-            FACT_DATE
-        ).parquet(path)
+        rows = rows.withColumn(FACT_DATE, date_of_hour_key(F.col("time_id")))
+    _write(rows, table, path)
+
+
+def _write(rows: DataFrame, table: str, folder: str) -> None:
+    if table == FACT:
+        rows.hint("rebalance", FACT_DATE).write.mode("overwrite").partitionBy(FACT_DATE).parquet(
+            folder
+        )
     else:
-        rows.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(folder)
+
+
+def merge_table(
+    spark: SparkSession, warehouse: str, table: str, before: int, fan_in: int = FAN_IN
+) -> list[Run]:
+    """Merge a table's epochs below `before` where enough have come together, beside the stream that
+    writes later ones. Rows keep their epoch. Gives the folders it removed."""
+    path, stored = f"{warehouse}/{table}", _stored_schema(table)
+
+    def merge(parts: list[Run], folder: str) -> None:
+        rows = read_runs(spark, path, stored, parts)
+        _write(rows if table == FACT else rows.hint("rebalance"), table, folder)
+
+    return merge_runs(spark, path, before, merge, fan_in)
+
+
+def fact_index(warehouse: str) -> KeyIndex:
+    """The index of the fact's ids. Dimensions need none: they stay small beside the fact, or hold
+    nearly all keys of a batch already, which no filter makes cheaper to find."""
+    return KeyIndex(f"{warehouse}/{FACT}", _stored_schema(FACT), key_of(FACT))
 
 
 def merge_epochs(spark: SparkSession, warehouse: str, merged: str) -> None:
     """Copy a warehouse to a fresh path with all its epochs in one, in larger files.
 
     For a stopped stream, which then goes on with its checkpoint and the new path. An epoch it had
-    not finished runs again there, and finds the rows it had written.
+    not finished runs again there, and finds the rows it had written. A running stream merges its
+    epochs by itself (`merge_table`).
     """
     tables = read_warehouse(spark, warehouse)
     dims_then_fact(
@@ -138,25 +150,33 @@ def insert_if_absent(
     epoch: int,
     max_rows: int | None = None,
     within: Column | None = None,
+    index: KeyIndex | None = None,
+    also: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Add rows with new keys; a key once written keeps its first row.
 
     Only epochs before this one count as written, so an epoch run again writes the same rows.
-    `rows` has at most one row per key; rows without a key are left out. `within` limits the
-    stored rows that are looked through, for tables whose keys cannot lie outside it.
+    `rows` has at most one row per key; rows without a key are left out. With an `index` only files
+    that may hold a key of the batch are read, else the key column of the table. `within` limits the
+    stored rows that are looked through, for tables whose keys cannot lie outside it. `also` is
+    called with the new rows once they are written, if there are any, and may run again as they may.
     """
     spark, key = rows.sparkSession, key_of(table)
     keyed = rows.where(F.col(key).isNotNull())
-    if not path_exists(spark, f"{warehouse}/{table}"):
-        write_epoch(keyed, warehouse, table, epoch)
-        return
-    earlier = read_table(spark, warehouse, table).where(F.col(EPOCH) < epoch)
-    if within is not None:
-        earlier = earlier.where(within)
-    fresh = absent_rows(keyed, earlier, key, max_rows).persist()
+    if index is not None and within is None:
+        fresh = index.absent(keyed, epoch)
+    else:
+        earlier = read_table(spark, warehouse, table).where(F.col(EPOCH) < epoch)
+        if within is not None:
+            earlier = earlier.where(within)
+        fresh = absent_rows(keyed, earlier, key, max_rows)
+    first = not runs(spark, f"{warehouse}/{table}")
+    fresh = fresh.persist()
     try:
         # Most batches bring a dimension nothing new; no folder is written for those.
-        if not fresh.isEmpty():
+        if first or not fresh.isEmpty():
             write_epoch(fresh, warehouse, table, epoch)
+            if also is not None:
+                also(fresh)
     finally:
         fresh.unpersist()

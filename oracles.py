@@ -34,6 +34,52 @@ _AGENTS = """[
   'Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/87.0.4280.66 QQBrowser/10.7 Safari/537.36',
   NULL]"""
 
+# Agents with versions, and the device that each was made for.
+_VERSIONED_AGENTS = """(VALUES
+  (0, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Safari/537.36', 'Chrome', '{v}.{w}', 'Windows', '10.0'),
+  (1, 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_{w}) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Safari/537.36', 'Chrome', '{v}.{w}', 'Mac OS X', '10.{w}'),
+  (2, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.{w}.0.0 Mobile Safari/537.36', 'Chrome Mobile', '{v}.{w}', 'Android', '1{w}'),
+  (3, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/{v}.{w}.0.0 Mobile Safari/537.36', 'Chrome Mobile WebView', '{v}.{w}', 'Android', '1{w}'),
+  (4, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/{v}.{w}.0 Mobile/15E148 Safari/604.1', 'Chrome Mobile iOS', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (5, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/{v}.{w} Mobile/15E148 Safari/604.1', 'Mobile Safari', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (6, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148', 'Mobile Safari UI/WKWebView', NULL, 'iOS', '{v}.{w}'),
+  (7, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) FxiOS/{v}.{w} Mobile/15E148 Safari/605.1.15', 'Firefox iOS', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (8, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) EdgiOS/{v}.{w}.0 Version/15.0 Mobile/15E148 Safari/604.1', 'Edge Mobile', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (9, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) GSA/{v}.{w}.1 Mobile/15E148 Safari/604.1', 'Google', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (10, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 Instagram {v}.{w}.0.1', 'Instagram', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (11, 'Mozilla/5.0 (iPhone; CPU iPhone OS {v}_{w} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Mobile/15E148 [FBAN/FBIOS;FBAV/{v}.{w}.0.1]', 'Facebook', '{v}.{w}', 'iOS', '{v}.{w}'),
+  (12, 'Mozilla/5.0 (Macintosh; Intel Mac OS X 10_{w}) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/{v}.{w} Safari/605.1.15', 'Safari', '{v}.{w}', 'Mac OS X', '10.{w}'),
+  (13, 'Mozilla/5.0 (X11; Linux x86_64; rv:{v}.{w}) Gecko/20100101 Firefox/{v}.{w}', 'Firefox', '{v}.{w}', 'Linux', NULL),
+  (14, 'Mozilla/5.0 (X11; Fedora; Linux x86_64; rv:{v}.{w}) Gecko/20100101 Firefox/{v}.{w}', 'Firefox', '{v}.{w}', 'Fedora', NULL),
+  (15, 'Mozilla/5.0 (Android 1{w}; Mobile; rv:{v}.{w}) Gecko/{v}.{w} Firefox/{v}.{w}', 'Firefox Mobile', '{v}.{w}', 'Android', '1{w}'),
+  (16, 'Mozilla/5.0 (Windows NT 6.1; rv:52.9) Gecko/20100101 PaleMoon/{v}.{w}.0', 'PaleMoon', '{v}.{w}', 'Windows', '6.1'),
+  (17, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 Edg/{v}.{w}.864.59', 'Edge', '{v}.{w}', 'Windows', '10.0'),
+  (18, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Mobile Safari/537.36 EdgA/{v}.{w}.1', 'Edge Mobile', '{v}.{w}', 'Android', '1{w}'),
+  (19, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 OPR/{v}.{w}.4054.172', 'Opera', '{v}.{w}', 'Windows', '10.0'),
+  (20, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Mobile Safari/537.36 OPR/{v}.{w}.1', 'Opera Mobile', '{v}.{w}', 'Android', '1{w}'),
+  (21, 'Opera/9.80 (Android; Opera Mini/{v}.{w}.2254/119.132; U; en) Presto/2.12.423 Version/12.16', 'Opera Mini', '{v}.{w}', 'Android', NULL),
+  (22, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/{v}.{w} Chrome/87.0.1.1 Mobile Safari/537.36', 'Samsung Internet', '{v}.{w}', 'Android', '1{w}'),
+  (23, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.1.1 UCBrowser/{v}.{w}.0.1306 Mobile Safari/537.36', 'UC Browser', '{v}.{w}', 'Android', '1{w}'),
+  (24, 'Mozilla/5.0 (Linux; Android 1{w}; Pixel 7) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/78.0.1.1 MiuiBrowser/{v}.{w}.1 Mobile Safari/537.36', 'MiuiBrowser', '{v}.{w}', 'Android', '1{w}'),
+  (25, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 YaBrowser/{v}.{w}.3 Safari/537.36', 'Yandex Browser', '{v}.{w}', 'Windows', '10.0'),
+  (26, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/90.0.1.1 Safari/537.36 Vivaldi/{v}.{w}', 'Vivaldi', '{v}.{w}', 'Windows', '10.0'),
+  (27, 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/87.0.1.1 QQBrowser/{v}.{w} Safari/537.36', 'QQ Browser', '{v}.{w}', 'Windows', '10.0'),
+  (28, 'Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) HeadlessChrome/{v}.{w}.1.1 Safari/537.36', 'HeadlessChrome', '{v}.{w}', 'Linux', NULL),
+  (29, 'Mozilla/5.0 (X11; CrOS x86_64 {v}.{w}.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.1.1 Safari/537.36', 'Chrome', '91.0', 'Chrome OS', '{v}.{w}'),
+  (30, 'Mozilla/5.0 (Windows NT 10.0; Trident/7.0; rv:{v}.{w}) like Gecko', 'IE', '{v}.{w}', 'Windows', '10.0'),
+  (31, 'Mozilla/4.0 (compatible; MSIE {v}.{w}; Windows NT 5.1)', 'IE', '{v}.{w}', 'Windows', '5.1'),
+  (32, 'Mozilla/5.0 (Mobile; Windows Phone 8.{w}; Android 4.0; Trident/7.0; IEMobile/{v}.{w}) like iPhone Gecko', 'IE Mobile', '{v}.{w}', 'Windows Phone', '8.{w}'),
+  (33, 'Mozilla/5.0 (Linux; U; Android 4.{w}; en-us; GT-P5100) AppleWebKit/534.30 (KHTML, like Gecko) Version/4.0 Safari/534.30', 'Android', '4.{w}', 'Android', '4.{w}'),
+  (34, 'Mozilla/5.0 (Mobile; Nokia 8110; rv:48.0) Gecko/48.0 Firefox/{v}.{w} KAIOS/2.{w}', 'Firefox Mobile', '{v}.{w}', 'KaiOS', '2.{w}'),
+  (35, 'Mozilla/5.0 (SMART-TV; LINUX; Tizen {v}.{w}) AppleWebKit/537.36 (KHTML, like Gecko) Version/{v}.{w} TV Safari/537.36', 'Safari', '{v}.{w}', 'Tizen', '{v}.{w}'),
+  (36, 'Mozilla/5.0 (compatible; Googlebot/{v}.{w}; +http://www.google.com/bot.html)', 'Googlebot', '{v}.{w}', 'Unknown', NULL),
+  (37, 'Mozilla/5.0 (compatible; bingbot/{v}.{w}; +http://www.bing.com/bingbot.htm)', 'bingbot', '{v}.{w}', 'Unknown', NULL),
+  (38, 'Googlebot-Image/{v}.{w}', 'Googlebot', '{v}.{w}', 'Unknown', NULL),
+  (39, 'curl/{v}.{w}.0', 'curl', '{v}.{w}', 'Unknown', NULL),
+  (40, 'python-requests/{v}.{w}.1', 'python-requests', '{v}.{w}', 'Unknown', NULL),
+  (41, 'device {v} of no kind', 'Unknown', NULL, 'Unknown', NULL)
+) t(n, agent, browser, browser_version, os, os_version)"""
+
 _RAW_EVENTS = f"""
 SELECT concat('evt-', CAST(e.event_id AS VARCHAR)) AS id,
   CASE e.event_type
@@ -174,6 +220,28 @@ _TIME_COLUMNS = """
 _VIEWS: dict[str, str] = {
     "raw_events": _RAW_EVENTS,
     "geo_ranges": _GEO_RANGES,
+    # An address is made from its parts, and the range that holds them known by number.
+    "mixed_addresses": """
+        SELECT 'evt-' || event_id AS event_id, CASE WHEN event_id % 101 = 0 THEN '2a00:1:2'
+            WHEN event_id % 103 = 0 THEN '2a00::1::2'
+            WHEN way = 0 THEN upper(head || '::' || own) WHEN way = 1 THEN
+              lpad(a, 4, '0') || ':' || lpad(b, 4, '0') || ':' || lpad(c, 4, '0') || ':0000:0000:0000:0000:' || lpad(own, 4, '0')
+            WHEN way = 2 THEN head || '::' || own || '%eth0' WHEN way = 3 THEN head || '::1.2.3.' || event_id % 256
+            WHEN way = 4 THEN head || '::' || own WHEN way = 5 THEN '::ffff:' || dotted ELSE dotted END AS ip,
+          CASE WHEN event_id % 101 <> 0 AND event_id % 103 <> 0 AND way > 4 THEN four END AS four,
+          CASE WHEN event_id % 101 <> 0 AND event_id % 103 <> 0 AND way < 5 THEN CASE block % 4
+            WHEN 0 THEN block * 1024
+            WHEN 1 THEN CASE WHEN second // 4096 % 5 <> 4 THEN block * 1024 + second // 4096 END
+            WHEN 2 THEN CASE WHEN second // 256 % 7 <> 6 THEN block * 1024 + second // 256 END
+            ELSE CASE WHEN event_id % 16 % 4 <> 3 THEN block * 1024 + second * 16 + event_id % 16 END
+            END END AS number
+        FROM (SELECT *, a || ':' || b || ':' || c AS head FROM (
+          SELECT event_id, event_id % 10 AS way, user_id % 64 AS block, second, lower(hex(user_id % 64 + 10752)) AS a,
+            lower(hex(second)) AS b, lower(hex(event_id % 16)) AS c, lower(hex(event_id % 65536)) AS own,
+            concat_ws('.', user_id * 37 % 223 + 1, user_id * 91 % 256, event_id % 256, 7) AS dotted,
+            (user_id * 37 % 223 + 1) * 16777216 + user_id * 91 % 256 * 65536 + event_id % 256 * 256 + 7 AS four
+          FROM (SELECT *, CASE WHEN user_id % 4 = 3 THEN user_id * 37 % 64 ELSE user_id * 37 % 65536 END AS second
+            FROM events)))""",
     "accepted": f"SELECT * FROM raw_events WHERE collection IN {_ALLOWED} AND id IS NOT NULL",
     "numbered": f"SELECT *, CASE WHEN ip NOT IN ('', 'unknown', '0.0.0.0') THEN {_IP_NUMBER} END AS ip_num FROM accepted",
     "located": """
@@ -327,6 +395,17 @@ _DIM_ROWS = " UNION ALL ".join(
     ]
 )
 
+_ROLLUP_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS rollup, time_id, {keys} AS keys, count(*) AS views FROM fact GROUP BY 1, 2, 3"
+    for name, keys in {
+        "product": "coalesce(CAST(product_id AS VARCHAR), '-')",
+        "place_store": "location_id || '/' || coalesce(CAST(store_id AS VARCHAR), '-')",
+        "referrer": "coalesce(referrer_url_id, '-')",
+        "device": "browser_id || '/' || os_id",
+        "domain_store": "coalesce(domain_country, '-') || '/' || coalesce(CAST(store_id AS VARCHAR), '-')",
+    }.items()
+)
+
 _SELECTS: dict[str, str] = {
     # Sources and sinks
     "src_stream_json": f"SELECT {_EVENT_COLUMNS} FROM raw_events",
@@ -335,10 +414,17 @@ _SELECTS: dict[str, str] = {
         SELECT CASE WHEN collection IS NULL THEN 'no_collection'
             WHEN collection NOT IN {_ALLOWED} THEN 'not_allowed' ELSE 'accepted' END AS fate,
           count(*) AS messages
-        FROM raw_events GROUP BY 1""",
+        FROM raw_events GROUP BY 1
+        UNION ALL SELECT 'canary', count(*) FROM canary_sent HAVING count(*) > 0""",
+    "canary_messages": """
+        SELECT message_id, 'heartbeat' AS message, make_timestamp(sent_sec * 1000000) AS "timestamp",
+          'canary' AS type
+        FROM canary_sent""",
     "relay_stream": f"SELECT {_EVENT_COLUMNS} FROM raw_events",
     "stream_star_fact": f"SELECT {_FACT_COLUMNS} FROM fact",
     "stream_star_dims": _DIM_ROWS,
+    "stream_star_merged": f"SELECT {_FACT_COLUMNS} FROM fact",
+    "stream_rollups": _ROLLUP_ROWS,
     "stream_resume": f"SELECT {_FACT_COLUMNS} FROM fact",
     "stream_dedup_events": "SELECT event_id, event_type, time_id FROM fact",
     "stream_hourly_counts": """
@@ -373,6 +459,32 @@ _SELECTS: dict[str, str] = {
     "product_name": f"SELECT id AS event_id, {_PRODUCT_NAME} AS product_name FROM raw_events",
     "browser_family": f"SELECT id AS event_id, {_BROWSER} AS browser FROM raw_events",
     "os_family": f"SELECT id AS event_id, {_OS} AS os FROM raw_events",
+    "device_families": f"""
+        SELECT concat('evt-', CAST(e.event_id AS VARCHAR)) AS event_id,
+          coalesce(t.browser, 'Unknown') AS browser,
+          replace(replace(t.browser_version, '{{v}}', e.v), '{{w}}', e.w) AS browser_version,
+          coalesce(t.os, 'Unknown') AS os,
+          replace(replace(t.os_version, '{{v}}', e.v), '{{w}}', e.w) AS os_version
+        FROM (SELECT *, CAST(user_id % 60 + 40 AS VARCHAR) AS v, CAST(event_id % 10 AS VARCHAR) AS w
+          FROM events) e
+        LEFT JOIN {_VERSIONED_AGENTS} ON t.n = e.event_id % 42 AND e.event_id % 41 <> 0""",
+    "domain_suffixes": """
+        SELECT 'evt-' || event_id AS event_id, 'https://shop' || user_id || '.' || suffix || '/a.b/c.fr' AS url,
+          code AS domain_country, name AS country
+        FROM events JOIN (VALUES (0, 'fr', 'fr', 'France'), (1, 'co.uk', 'uk', 'United Kingdom'),
+          (2, 'com', NULL, NULL), (3, 'eu', NULL, NULL), (4, 'io', 'io', 'British Indian Ocean Territory'),
+          (5, 'uk', 'uk', 'United Kingdom'), (6, 'uk.com', 'uk', 'United Kingdom'), (7, 'zz', NULL, NULL),
+          (8, 'com.au', 'au', 'Australia'), (9, 'de.com', 'de', 'Germany'), (10, 'eu.int', NULL, NULL),
+          (11, 'GB', 'gb', 'United Kingdom'), (12, 'de', 'de', 'Germany'), (13, 'notuk.com', NULL, NULL)
+        ) s(n, suffix, code, name) ON s.n = event_id % 14""",
+    "ip_geolocate_any": """
+        SELECT event_id, ip, coalesce(g.country, n.n_name, 'Unknown') AS country,
+          coalesce(g.region, r.r_name, 'Unknown') AS region,
+          coalesce(g.city, CASE WHEN n.n_name IS NOT NULL THEN 'city6_' || number END, 'Unknown') AS city
+        FROM mixed_addresses a
+        LEFT JOIN geo_ranges g ON a.four BETWEEN g.ip_from AND g.ip_to
+        LEFT JOIN nation n ON n.n_nationkey = a.number % 25
+        LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
     "ip_geolocate": "SELECT id AS event_id, ip, country, region, city FROM located",
     "ip_to_long": f"SELECT id AS event_id, ip, {_IP_NUMBER} AS ip_number FROM raw_events",
     "domain_country": f"""
@@ -517,10 +629,10 @@ def _with_views(select: str) -> str:
             needed[view] = sql
             pending += " " + sql
     heads = [f"{view} AS ({sql})" for view, sql in reversed(needed.items())]
-    return f"WITH {', '.join(heads)} {select}"
+    return f"WITH {', '.join(heads)} {select}" if heads else select
 
 
-# Reports on a stored warehouse, and queries by their other plan: the same rows.
+# Reports on a stored warehouse or its counts, and queries by their other plan: the same rows.
 _SAME_ROWS = {
     "stored_top_products": "kpi_top_products",
     "stored_top_countries_ip": "kpi_top_countries_ip",
@@ -528,7 +640,19 @@ _SAME_ROWS = {
     "stored_stores_by_country": "kpi_stores_by_country",
     "stored_product_hourly": "kpi_product_hourly",
     "stored_hourly_browser_os": "kpi_hourly_browser_os",
+    "stored_top_countries_domain": "kpi_top_countries_domain",
+    "stored_stores_by_domain_country": "kpi_stores_by_domain_country",
+    "stored_hourly_browser_os_sets": "kpi_hourly_browser_os_sets",
+    "rollup_top_products": "kpi_top_products",
+    "rollup_top_countries_ip": "kpi_top_countries_ip",
+    "rollup_top_referrers": "kpi_top_referrers",
+    "rollup_stores_by_country": "kpi_stores_by_country",
+    "rollup_product_hourly": "kpi_product_hourly",
+    "rollup_hourly_browser_os": "kpi_hourly_browser_os",
+    "stream_rate_per_sec": "ops_rate_per_sec",
+    "stream_rate_per_min": "ops_rate_per_min",
     "ip_geolocate_large": "ip_geolocate",
+    "ip_geolocate_any_large": "ip_geolocate_any",
 }
 
 
