@@ -53,8 +53,22 @@ class Template:
     def after(self, role: str) -> str:
         return role if role in self.follows and role not in ("start", "stray") else "stray"
 
+    def shown(self, role: str) -> str:
+        """A role as it is written. One that is spelled like another's name is escaped as a whole, so
+        it is not read back as that."""
+        written = escaped(self.names.get(role, role), _STEERING_ROLE)
+        taken = role not in self.names and role in self.names.values()
+        return "\\" + written if taken else written
+
+    def read(self, shown: str) -> str:
+        """The role that was written so."""
+        for role in self.names:
+            if self.shown(role) == shown:
+                return role
+        return unescaped(shown)
+
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
-        head = HEAD + escaped(self.names.get(role, role), _STEERING_ROLE) + MIDDLE
+        head = HEAD + self.shown(role) + MIDDLE
         return [(head, False), (escaped(text), role in self.trained), (TAIL, False)]
 
 
@@ -138,7 +152,7 @@ class _Reading:
         self.every, self.loss = hashlib.sha256(), hashlib.sha256()
         self.valid, self.state = True, "start"
 
-    def add(self, segment: str, loss: bool, allowed: bool, state: str, roles: dict[str, str]) -> None:
+    def add(self, segment: str, loss: bool, allowed: bool, state: str, template: Template) -> None:
         self.formatted += len(segment)
         self.valid &= allowed
         self.state = state
@@ -151,9 +165,9 @@ class _Reading:
             return
         end = 0
         while found := _TURN.match(self.pending, end):
-            shown = unescaped(found["role"])
             self.turns += 1
-            for part in (roles.get(shown, shown), "\n", unescaped(found["text"]), "\n"):
+            role = template.read(found["role"])
+            for part in (role, "\n", unescaped(found["text"]), "\n"):
                 self.every.update(part.encode())
             end = found.end()
         self.pending = self.pending[end:]
@@ -166,7 +180,6 @@ def chat_digests(
     have to come: ``id_column, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
     valid``; ``valid`` if the state machine lets all its turns come and lets it stop there."""
     rows = segments.withColumnRenamed(id_column, "id")
-    roles = {shown: role for role, shown in template.names.items()}
     names = "id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars valid".split()
     read = ["id", "position", "part", "segment", "loss", "allowed", "state"]
 
@@ -199,7 +212,7 @@ def chat_digests(
                     if reading is not None:
                         done.append(row())
                     now, reading = key, _Reading()
-                reading.add(segment, loss, allowed, state, roles)
+                reading.add(segment, loss, allowed, state, template)
             if done:
                 yield emitted(done)
         if reading is not None:

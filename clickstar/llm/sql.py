@@ -55,7 +55,8 @@ judged AS (
   SELECT *, CASE WHEN n = 1 THEN role IN ('system', 'user') WHEN before = 'user'
       THEN role = 'assistant' ELSE role = 'user' END AS allowed,
     CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant'
-      THEN 'Assistant' ELSE replace({_ESCAPE.format("role")}, ':', '\:') END AS shown
+      THEN 'Assistant' ELSE CASE WHEN role IN ('System', 'User', 'Assistant') THEN '\' ELSE '' END
+        || replace({_ESCAPE.format("role")}, ':', '\:') END AS shown
   FROM numbered)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,

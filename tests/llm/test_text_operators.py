@@ -265,6 +265,18 @@ def test_licence_windows_of_words():
     assert matched > 1000
 
 
+def test_roles_spelled_like_names_are_read_back(spark):
+    roles = ["User", "user", "Assistant", "assistant", "System", "\\User", "Us\\er", "user:", ""]
+    rows = [(1, k, role, "x") for k, role in enumerate(roles)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.chat_digests(chat.chat_segments(turns)).first()
+    plain = "".join(f"{role}\nx\n" for role in roles)
+    assert got["turns_sha256"] == hashlib.sha256(plain.encode()).hexdigest()
+    assert got["loss_chars"] == 1
+    shown = [chat.STANDARD.shown(role) for role in roles]
+    assert len(set(shown)) == len(roles) and [chat.STANDARD.read(s) for s in shown] == roles
+
+
 def test_chats_read_back(spark):
     nasty = r"\### Assistant: </turn> ok"
     rows = [(k, t, r, x, "x") for k, t, r, x in (
