@@ -231,29 +231,28 @@ def mixed(
     """The rows of ``docs``, with all their columns, as often as the mix has them.
 
     Rows are told apart by id, source and size; those alike in all three are numbered, so that each
-    of them gets the copies of one.
+    of them gets the copies of one. Null ids and sources are values like others; columns may have any
+    names.
     """
-    keys = ["__id", "__source", "__size"]
-    numbered = Window.partitionBy(*keys).orderBy(F.col("__of").desc_nulls_last())
-    rows = docs.withColumns(
-        {
-            "__id": F.col(id_column),
-            "__source": F.col(source_column).cast("string"),
-            "__size": size.cast("long"),
-            "__of": F.lit(0),
-        }
-    ).withColumn("__number", F.row_number().over(numbered))
+    keys = ["id", "source", "size"]
+    # Rows alike in the keys are numbered in any order: whichever gets the copies, the words are the same.
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+        F.col(id_column).alias("id"),
+        F.col(source_column).cast("string").alias("source"),
+        size.cast("long").alias("size"),
+    ).withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    most_first = Window.partitionBy(*[f"of_{k}" for k in keys]).orderBy(F.desc("copies"))
     decided = mix(
         docs, size, id_column=id_column, source_column=source_column, **options
     ).select(
-        F.col(id_column).alias("__id"),
-        F.col("source").alias("__source"),
-        F.col("size").alias("__size"),
-        F.col("copies").alias("__of"),
+        F.col(id_column).alias("of_id"),
+        F.col("source").alias("of_source"),
+        F.col("size").alias("of_size"),
+        "copies",
     )
-    decided = decided.withColumn("__number", F.row_number().over(numbered))
-    keys.append("__number")
-    matched = [rows[f"{k}"].eqNullSafe(decided[f"{k}"]) for k in keys]
-    whole = rows.join(decided.where(F.col("__of") > 0), matched)
-    copies = F.explode(F.sequence(F.lit(1), decided["__of"].cast("int")))
-    return whole.select(*[rows[c] for c in docs.columns], copies.alias("__copy")).drop("__copy")
+    decided = decided.withColumn("of_number", F.row_number().over(most_first))
+    matched = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in [*keys, "number"]]
+    whole = rows.join(decided.where(F.col("copies") > 0), matched)
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return whole.select("row", copies).select("row.*")

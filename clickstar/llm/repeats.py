@@ -505,7 +505,10 @@ def repeat_counts(
 
 
 def without_repeats(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The rows with what is left of their texts. A character that loses some of its bytes goes."""
+    """The rows with what is left of their texts. A character that loses some of its bytes goes.
+
+    Null texts stay null, equal texts lose the same, columns may have any names.
+    """
 
     lost = repeats(docs, text_column, **options)
 
@@ -517,7 +520,9 @@ def without_repeats(docs: DataFrame, text_column: str = "text", **options) -> Da
             )
 
     left = written(lost.select("k", "kept").mapInArrow(decode, "k long, kept string"), "repeat-kept")
-    left = left.select(F.col("k").alias("__k"), F.col("kept").alias("__kept"))
-    joined = docs.join(left, _text_key(docs[text_column]) == left["__k"], "left")
-    text = F.coalesce("__kept", text_column)
-    return joined.withColumn(text_column, text).drop("__k", "__kept")
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    joined = docs.select(whole, _text_key(F.col(text_column)).alias("k")).join(left, "k", "left")
+    text = F.coalesce("kept", F.col("row")[text_column])
+    return joined.select(
+        *[(text if c == text_column else F.col("row")[c]).alias(c) for c in docs.columns]
+    )
