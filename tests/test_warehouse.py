@@ -136,6 +136,45 @@ def test_absent_keys_are_exact(spark, monkeypatch, key_bits, prefix_keys):
     assert index.absent(fact_rows(spark, asked), -1).count() == len(asked)
 
 
+def test_a_broken_index_is_built_again(spark):
+    warehouse = scratch_path(spark, "warehouse")
+    index = wh.fact_index(warehouse)
+    wh.write_epoch(fact_rows(spark, range(50)), warehouse, FACT, 0)
+    asked = fact_rows(spark, range(40, 60))
+    assert index.absent(asked, 1).count() == 10
+    # As a stream leaves it that was broken off before the filter was whole.
+    filters = Path(f"{warehouse}/{FACT}.filters")
+    (folder,) = filters.iterdir()
+    for left in folder.iterdir():
+        left.unlink()
+    assert rows(index.absent(asked, 1), "event_id") == {(f"e{n}",) for n in range(50, 60)}
+    assert (folder / "_SUCCESS").exists()
+    # Of folders that a merge has taken over, the indexes go with them.
+    for epoch in (1, 2, 3):
+        wh.write_epoch(fact_rows(spark, [100 + epoch]), warehouse, FACT, epoch)
+        index.absent(asked, epoch + 1)
+    index.forget(spark, wh.merge_table(spark, warehouse, FACT, 4, 4))
+    assert index.absent(asked, 4).count() == 10
+    for epoch in (4, 5, 6, 7):
+        wh.write_epoch(fact_rows(spark, [100 + epoch]), warehouse, FACT, epoch)
+    index.forget(spark, wh.merge_table(spark, warehouse, FACT, 8, 4))
+    assert [path.name.split("_")[0] for path in filters.iterdir()] == ["run=1-0-3"]
+
+
+def test_merged_rollups_are_one_row_for_an_hour_and_its_keys(spark):
+    warehouse = scratch_path(spark, "warehouse")
+    for epoch in range(4):
+        views = fact_rows(spark, [epoch]).withColumn("domain_country", F.lit("fr"))
+        rollups.write_rollup_epoch(views, warehouse, epoch)
+    counts = rollups.read_rollup(spark, warehouse, "domain_store")
+    assert counts.count() == 4
+    rollups.merge_rollups(spark, warehouse, 4, 4)
+    merged = rollups.read_rollup(spark, warehouse, "domain_store").collect()
+    assert [(str(r["event_date"]), r["domain_country"], r["store_id"], r["views"]) for r in merged] == [
+        ("2024-01-01", "fr", None, 4)
+    ]
+
+
 def test_rollups_count_late_events_and_every_key(spark, sf_dir):
     warehouse = scratch_path(spark, "warehouse")
     geo = geo_table(fx.geo_ranges(spark, sf_dir))
