@@ -2,10 +2,11 @@
 
 Equal vectors are one class. Classes are dealt to shards of bounded size by a hash; a task holds the
 graph of its shard and lets all classes pass as queries. Each task audits itself: members drawn by
-hash are compared with the whole shard, and the beam widens until the graph finds what is there.
-A query whose beam holds nothing but links widens its own. What is found is verified by its cosine
-in double precision. Links go on as a tree, at most one for a query and a member of a shard, to the
-component search; they are counted where they are found.
+hash are compared with the whole shard, and the beam widens until the graph finds what is there; so
+are some queries of each batch, most of which come from other shards. A shard that fails with the
+widest beam answers by products with all its members. A query that the graph finds a link for has its
+links here counted by such products, in double precision, so that both sides of a pair count it.
+Links go on as a tree, at most one for a query and a member of a shard, to the component search.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from clickstar.llm.tables import written
 SHARD_VECTORS, LEAST_SHARDS = 16_384, 12
 #: First beam, members audited, and the recall of links and of near neighbours to pass with.
 BEAM, AUDITED, RECALL, NEIGHBOURS = 32, 64, 0.99, 10
+#: Queries of each batch that are audited, and queries multiplied with all members at a time.
+AUDITED_QUERIES, EXACT = 4, 64
 
 
 def usable(vector: Column) -> Column:
@@ -54,45 +57,66 @@ class _Shard:
         hashed = self.keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         self.draws = (hashed >> np.uint64(11)).astype(np.float64) / (1 << 53)
         self.graph = Graph(unit, self.draws)
-        self.beam = self._audited()
+        drawn = np.argsort(self.draws, kind="stable")[-AUDITED:]
+        self.beam = self._audited(unit[drawn])
         self.tied: dict[int, int] = {}
         self.pairs: list[tuple[int, int]] = []
 
+    def _exact(self, queries: np.ndarray) -> list[np.ndarray]:
+        """Members linked with each query, by products with all members."""
+        found = []
+        for low in range(0, len(queries), EXACT):
+            near = queries[low : low + EXACT] @ self.unit.T
+            found += [np.flatnonzero(row >= self.threshold) for row in near]
+        return found
+
     def _found(self, queries: np.ndarray, beam: int) -> list[np.ndarray]:
-        """Members linked with each query. A beam that is full of links is widened."""
+        """Members linked with each query: all of them, where the graph leads to one."""
+        if beam >= len(self.keys):
+            return self._exact(queries)
+        ids, near = self.graph.search(queries, beam)
+        # Well below the threshold, so that the graph's single precision rules nothing out.
+        led = np.flatnonzero(((ids >= 0) & (near >= self.threshold - 1e-4)).any(axis=1))
         found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
-        left = np.arange(len(queries))
-        while len(left):
-            ids, near = self.graph.search(queries[left], beam)
-            # Well below the threshold, so that the graph's single precision rules nothing out.
-            close = (ids >= 0) & (near >= self.threshold - 1e-4)
-            full = close.all(axis=1) & (ids.shape[1] < len(self.keys))
-            for k in np.flatnonzero(~full):
-                members = ids[k][close[k]].astype(np.int64)
-                exact = self.unit[members] @ queries[left[k]]
-                found[left[k]] = members[exact >= self.threshold]
-            left, beam = left[full], beam * 2
+        for k, members in zip(led, self._exact(queries[led]), strict=True):
+            found[k] = members
         return found
 
-    def _audited(self) -> int:
-        drawn = np.argsort(self.draws, kind="stable")[-AUDITED:]
-        every = self.unit[drawn] @ self.unit.T
+    def _passes(self, drawn: np.ndarray, beam: int) -> bool:
+        """Whether the graph finds the links of the drawn queries, and their nearest members."""
+        every = drawn @ self.unit.T
         links = (every >= self.threshold).sum()
         nearest = np.argsort(-every, axis=1)[:, :NEIGHBOURS]
+        got = sum(len(f) for f in self._found(drawn, beam))
+        ids, _ = self.graph.search(drawn, beam)
+        met = sum(len(np.intersect1d(a, b)) for a, b in zip(ids, nearest, strict=True))
+        return got >= RECALL * links and met >= RECALL * nearest.size
+
+    def _audited(self, drawn: np.ndarray) -> int:
+        """A beam that passes; one as wide as the shard means products with all members."""
         beam = min(BEAM, len(self.keys))
-        while beam < len(self.keys):
-            got = sum(len(f) for f in self._found(self.unit[drawn], beam))
-            ids, _ = self.graph.search(self.unit[drawn], beam)
-            met = sum(len(np.intersect1d(a, b)) for a, b in zip(ids, nearest, strict=True))
-            if got >= RECALL * links and met >= RECALL * nearest.size:
+        while beam < len(self.keys) and not self._passes(drawn, beam):
+            beam = min(2 * beam, len(self.keys))
+        return beam
+
+    def _audit_queries(self, drawn: np.ndarray) -> None:
+        """Widens the beam until it finds the links of queries, which may come from other shards.
+        What is near to them without a link does not matter, and without links nothing does."""
+        linked = [f for f in self._exact(drawn) if len(f)]
+        if not linked:
+            return
+        links = sum(map(len, linked))
+        while self.beam < len(self.keys):
+            if sum(len(f) for f in self._found(drawn, self.beam)) >= RECALL * links:
                 break
-            beam *= 2
-        return min(beam, len(self.keys))
+            self.beam = min(2 * self.beam, len(self.keys))
 
     def links(self, keys: list[int], queries: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """For each query with links here: its key, one it is linked with, and how many rows."""
         for low in range(0, len(keys), BATCH):
             part = slice(low, low + BATCH)
+            # Queries come in order of their hash, so the first ones are as good as drawn.
+            self._audit_queries(queries[part][:AUDITED_QUERIES])
             for key, members in zip(keys[part], self._found(queries[part], self.beam), strict=True):
                 members = members[self.keys[members] != key]
                 if not len(members):
