@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from clickstar.llm.tables import texts
+from clickstar.llm.tables import give_back, texts
 
 TIERS = (256, 512, 1024, 2048)
-#: At about 150 bytes each; beyond that the memo starts anew.
-MEMO_WORDS = 2_000_000
+#: Bytes of words and their ids that a worker's memo holds, about; beyond that it starts anew.
+MEMO_BYTES = 300 << 20
+#: Bytes that a word takes in a memo besides its text and ids: its key, places and the table's share.
+WORD_BYTES = 130
 #: Characters of a text that are tokenized at a time.
 BLOCK = 1 << 19
 #: Tokens and documents that wait in a partition's buffer.
@@ -41,12 +43,18 @@ BUFFER_TOKENS, BUFFER_DOCS = 2_000_000, 8_192
 # Tokens --------------------------------------------------------------------------------------
 
 
+def _width(word: str) -> int:
+    """Characters of a word, those of plain ASCII ones, which take a byte each, as a quarter."""
+    return len(word) // 4 if word.isascii() else len(word)
+
+
 class WordIds:
     """Token ids by word, each word tokenized once by the library.
 
     The tokenizer drops white space and splits at it before all else, so the ids of a text are
     those of its words in order. Only at spaces and line ends are texts cut here; the library
-    sees to all other white space.
+    sees to all other white space. The memo is bounded in bytes, and what a single text adds: a text
+    without spaces is one word, and the next text finds the memo empty again.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -58,7 +66,7 @@ class WordIds:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.used = self.bytes = 0
 
     def _learn(self, words: list[str]) -> None:
         first = len(self.places)
@@ -74,10 +82,12 @@ class WordIds:
         self.starts[first : first + len(words)] = self.used + np.cumsum(counts) - counts
         self.lengths[first : first + len(words)] = counts
         self.used += len(found)
+        # Four bytes a character is the most that a text takes.
+        self.bytes += WORD_BYTES * len(words) + 4 * (len(found) + sum(map(_width, words)))
         self.places.update(zip(words, range(first, first + len(words)), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
-        if len(self.places) > MEMO_WORDS:
+        if self.bytes > MEMO_BYTES:
             self.clear()
         words = text.replace("\n", " ").split(" ")
         if unknown := set(words).difference(self.places):
@@ -271,6 +281,7 @@ def pack_documents(
     step_tokens: int = 65_536,
     id_column: str = "doc_id",
     text_column: str = "text",
+    keep_memo: bool = True,
 ) -> DataFrame:
     """One row per piece of a document in a window.
 
@@ -282,7 +293,8 @@ def pack_documents(
     ``model`` is the JSON of a tokenizer that drops white space. A null text counts as empty, and
     has ``end_id`` alone. Each row of ``docs`` is a document of its own, also if its id is null
     or repeated; further columns are not read; an empty table gives an empty one. Ids are numbered
-    by partition, which reading the same files gives alike.
+    by partition, which reading the same files gives alike. ``keep_memo`` lets a worker take its memo
+    of words from task to task, and hold it while it does other work.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # a vocabulary: a few MB
@@ -333,5 +345,9 @@ def pack_documents(
                     yield from emitted(final=False)
         packer.pack(final=True)
         yield from emitted(final=True)
+        if not keep_memo:
+            memo.clear()
+            _KEPT.clear()
+            give_back()
 
     return rows.mapInArrow(pack, schema).withColumnRenamed("id", id_column)

@@ -54,9 +54,9 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("class_id")
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, keep_memo: bool = True) -> DataFrame:
     model = Path(public_tokenizers.path("word_bpe_49k.json")).read_text("utf-8")
-    return packing.pack_documents(docs, model, end_id=1)
+    return packing.pack_documents(docs, model, end_id=1, keep_memo=keep_memo)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,10 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from clickstar.llm.tables import written
+from clickstar.llm.tables import hashable, written
 
 #: Rows of a cell, about, and most cells; past that cells grow, and their sorts can spill.
 CELL_ROWS, MOST_CELLS = 1_000, 16_384
@@ -37,14 +36,6 @@ def shuffle_key(seed: int, id_column: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(named), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(field.dataType) for field in kind)
-    return not isinstance(kind, (T.MapType, T.VariantType))
-
-
 def _identified(
     docs: DataFrame, seed: int, id_column: str, source_column: str, text_column: str
 ) -> DataFrame:
@@ -52,7 +43,7 @@ def _identified(
     text = F.coalesce(F.col(text_column), F.lit(""))
     # A null source is a source of its own, told from every text by the lack of a first sign.
     source = F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit(""))
-    content = [F.col(f.name) for f in docs.schema if _hashable(f.dataType)]
+    content = [F.col(f.name) for f in docs.schema if hashable(f.dataType)]
     return docs.select(
         F.col(id_column).alias("id"),
         source.alias("source"),
@@ -166,7 +157,7 @@ def sharded(
     keys = _identified(docs, seed, *columns).columns
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     text = F.coalesce(F.col("row")[text_column], F.lit(""))
-    content = [F.col("row")[f.name] for f in docs.schema if _hashable(f.dataType)]
+    content = [F.col("row")[f.name] for f in docs.schema if hashable(f.dataType)]
     rows = docs.select(whole).select(
         "row",
         F.col("row")[id_column].alias("id"),
