@@ -35,13 +35,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from clickstar.llm.components import components
 from clickstar.llm.shingles import WORDS, mixed, shingle_set
-from clickstar.llm.tables import texts, written
+from clickstar.llm.tables import hashable, released, slices, texts, written
 
 #: A shingle is common if at least this share of the sets has it: at most 1 / COMMON times the
 #: mean set size are, which bounds what is broadcast.
@@ -52,6 +51,8 @@ TASK_SIGNATURES = 1_000_000
 FINE = 8
 #: Members of a signature whose pairs are compared at a time.
 BLOCK = 256
+#: Words of sketches that are compared before a look at what is left.
+STRIDE = 8
 #: Members of a signature that are compared in one task, with each other or as many more.
 TILE = 4096
 
@@ -163,8 +164,8 @@ def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _sets(rows: DataFrame, width: int) -> DataFrame:
-    """Each row's ``id, n, c, sketch, fine``: size, class and two sketches of its set; and, as rows
-    with ``h``, the shingles that many sets of a batch have, with their number (``n``)."""
+    """Each row's ``id, t, n, c, sketch, fine``: ``t`` as it comes, size, class and two sketches of its
+    set; and, as rows with ``h``, the shingles that many sets of a batch have, with their number (``n``)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,13 +185,14 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    batch.column("t"),
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
                     pa.array(coarse, pa.binary()),
                     pa.array(fine, pa.binary()),
                     pa.nulls(n, pa.int64()),
                 ],
-                ["id", "n", "c", "sketch", "fine", "h"],
+                ["id", "t", "n", "c", "sketch", "fine", "h"],
             )
             if seen:
                 every, counts = np.unique(np.concatenate(list(seen.values())), return_counts=True)
@@ -199,26 +201,27 @@ def _sets(rows: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.nulls(m, batch.column("id").type),
+                        pa.nulls(m, pa.int64()),
                         pa.array(counts[often], pa.int64()),
                         pa.nulls(m, pa.int64()),
                         pa.nulls(m, pa.binary()),
                         pa.nulls(m, pa.binary()),
                         pa.array(every[often].view(np.int64)),
                     ],
-                    ["id", "n", "c", "sketch", "fine", "h"],
+                    ["id", "t", "n", "c", "sketch", "fine", "h"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(scan, f"id {kind}, n long, c long, sketch binary, fine binary, h long")
+    return rows.mapInArrow(released(scan), f"id {kind}, t long, n long, c long, sketch binary, fine binary, h long")
 
 
 def _signed(rows: DataFrame, width: int, bands: Bands, common, tasks: int) -> DataFrame:
-    """The signatures of each batch's classes as ``part, data``: one block for each task they go
+    """The signatures of each slice's classes as ``part, data``: one block for each task they go
     to, with the classes, how many signatures each has there, and these as 31 bits and one that is
     set for a probe. ``common`` is a broadcast of the common shingles and their counts."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, "text")):
             seen: dict[int, np.ndarray] = {}
             for text in texts(batch.column("text")):
                 elements = shingle_set(text, width)
@@ -250,7 +253,7 @@ def _signed(rows: DataFrame, width: int, bands: Bands, common, tasks: int) -> Da
                 [pa.array(part[first], pa.int32()), pa.array(blocks, pa.binary())], ["part", "data"]
             )
 
-    return rows.mapInArrow(sign, "part int, data binary")
+    return rows.mapInArrow(released(sign), "part int, data binary")
 
 
 def _unblocked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -281,7 +284,8 @@ def _met(part: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
     met = ~np.repeat(probe[first], counts)
     other = met & (lead != classes)
     edges = np.unique(np.sort(np.stack([lead[other], classes[other]], axis=1), axis=1), axis=0)
-    many = met & np.repeat(counts >= 3, counts)
+    # The lead is compared with all others as it is, so what remains are pairs of the others.
+    many = other & np.repeat(counts >= 3, counts)
     keys = (np.int64(part) << np.int64(32)) + signed.astype(np.int64)
     for kind, x, y in (
         (0, edges[:, 0], edges[:, 1]),
@@ -297,7 +301,8 @@ def _met(part: int, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
 
 def _meetings(signed: DataFrame, tasks: int) -> DataFrame:
     """Kind 0: ``x`` and ``y`` the least class of a signature that is no probe, and another one. Kind
-    1: ``x`` a signature of three or more classes, ``y`` one of them. Kind 2: the same, a probe."""
+    1: ``x`` a signature of three or more classes, ``y`` one of these others. Kind 2: the same, a
+    probe."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blocks = None, []
@@ -340,7 +345,7 @@ def _elements(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 ["c", "n", "elements"],
             )
 
-    return rows.mapInArrow(build, "c long, n long, elements binary").dropDuplicates(["c"])
+    return rows.mapInArrow(released(build), "c long, n long, elements binary").dropDuplicates(["c"])
 
 
 def _beside(pairs: DataFrame, classes: DataFrame, column: str) -> DataFrame:
@@ -377,13 +382,19 @@ def _compared(pairs: DataFrame, classes: DataFrame, bands: Bands, exact: bool) -
 
 
 def _across(
-    rows: list[tuple], bands: Bands, forests: int, left: range | None = None, right: int = 1
+    rows: list[tuple],
+    bands: Bands,
+    forests: int,
+    left: range | None = None,
+    right: int = 1,
+    open_: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Pairs of a signature's members (``key, c, root, n, sketch, failed, probe``) that their
     sketches do not rule out and that join components: up to ``forests`` spanning forests of them.
     Members in ``left`` are paired with those from ``right`` on that come after them, probes not
     with each other; without ``left``, the first member has been compared with all others before.
-    Each has been with its ``failed``."""
+    Each has been with its ``failed``. In ``open_``, if given, all members are marked that have a
+    pair which their sketches do not rule out, whether it is needed for a forest or not."""
     left = left or range(1, len(rows))
     probe = np.array([len(r) > 6 and r[6] for r in rows], bool)
     words = min(len(r[4]) for r in rows) // 8
@@ -397,16 +408,25 @@ def _across(
     for i in left[::BLOCK]:
         for j in range(max(i, right), len(rows), BLOCK):
             a, b = slice(i, min(i + BLOCK, left.stop)), slice(j, j + BLOCK)
-            apart = (labels[:, a, None] != labels[:, None, b]).any(axis=0)
-            apart &= root[a, None] != root[None, b]
+            apart = root[a, None] != root[None, b]
             apart &= ~(probe[a, None] & probe[None, b])
-            if not apart.any():
+            unjoined = (labels[:, a, None] != labels[:, None, b]).any(axis=0)
+            if not (apart if open_ is not None else apart & unjoined).any():
                 continue
-            odd = np.zeros(apart.shape, np.int64)
-            for w in range(words):
-                odd += np.bitwise_count(bits[a, None, w] ^ bits[None, b, w])
-            total = n[a, None] + n[None, b]
-            apart &= odd * share.denominator <= total * share.numerator
+            most = (n[a, None] + n[None, b]) * share.numerator // share.denominator
+            odd, near = np.zeros(apart.shape, np.uint32), apart
+            # Differences only add up, so a block of unlike sets is done after a part of the words.
+            for start in range(0, words, STRIDE):
+                for w in range(start, min(start + STRIDE, words)):
+                    odd += np.bitwise_count(bits[a, None, w] ^ bits[None, b, w])
+                near = apart & (odd <= most)
+                if not near.any():
+                    break
+            apart = near
+            if open_ is not None:
+                open_[a] |= apart.any(axis=1)
+                open_[b] |= apart.any(axis=0)
+            apart &= unjoined
             for x, y in zip(*np.nonzero(apart), strict=True):
                 x, y = int(i + x), int(j + y)
                 if x >= y or (x, y) in tried or (y, x) in tried:
@@ -429,8 +449,9 @@ def _dealt(members: DataFrame) -> DataFrame:
 
 
 def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
-    """``key, x, y``: for each signature the pairs that ``_across`` finds. A task holds the sketches
-    of two tiles at a time, and gives no more pairs than ``forests`` times their members."""
+    """``key, x, y``: for each signature the pairs that ``_across`` finds; and, without ``y``, the
+    members that it leaves open. A task holds the sketches of two tiles at a time, and gives no more
+    pairs than ``forests`` times their members."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emitted(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -442,8 +463,11 @@ def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
             else:
                 right = sum(r[-3] == i for r in rows)
                 left = range(right)
-            if left and (pairs := _across(rows, bands, forests, left, right)):
-                columns = zip(*[(rows[0][0], x, y) for x, y in pairs], strict=True)
+            marks = np.zeros(len(rows), bool)
+            if left and (pairs := _across(rows, bands, forests, left, right, marks)):
+                found = [(rows[0][0], x, y) for x, y in pairs]
+                found += [(rows[0][0], rows[k][1], None) for k in np.flatnonzero(marks)]
+                columns = zip(*found, strict=True)
                 arrays = [pa.array(column, pa.int64()) for column in columns]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "x", "y"])
 
@@ -459,7 +483,7 @@ def _pairs_across(members: DataFrame, bands: Bands, forests: int) -> DataFrame:
     columns = ["key", "c", "root", "n", "sketch", "failed", "probe", "at", "i", "j"]
     ordered = _dealt(members).select(*columns).repartition("key", "i", "j")
     ordered = ordered.sortWithinPartitions("key", "i", "j", "at", "probe", "c")
-    return ordered.mapInArrow(stream, "key long, x long, y long")
+    return ordered.mapInArrow(released(stream), "key long, x long, y long")
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, bands: Bands):
@@ -471,7 +495,12 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, ba
     return links.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def near_duplicates(
+def _text_number(text: Column) -> Column:
+    """A number for a text, by which rows that share an id are told apart."""
+    return F.xxhash64(text)
+
+
+def _labelled(
     docs: DataFrame,
     similarity: Fraction = Fraction(3, 4),
     width: int = WORDS,
@@ -480,19 +509,15 @@ def near_duplicates(
     task_signatures: int = TASK_SIGNATURES,
     tile: int = TILE,
 ) -> DataFrame:
-    """``id_column, n_shingles, class_id, component_id`` for each row.
-
-    ``n_shingles`` is the size of the row's set; ``component_id`` the least id reachable by links
-    between sets of at least ``similarity``, its own included. A row without words has an empty
-    set and is linked with nothing, and so is one without an id, whose component is null. Repeated
-    rows are members of one class, and rows that share an id but not their text of several.
-    Further columns are not read; an empty table gives an empty one.
-    """
+    """``id, t, n, c, root, component_id`` of each row: its text's number, the size and class of its
+    set, and its component's least class and least id. The last three are null of a row that is
+    linked with nothing by definition, but for the id that is its component's."""
     bands = Bands(similarity)
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    scanned = written(_sets(rows, width), "jaccard-sets")
-    sets = scanned.where(F.col("h").isNull()).select("id", "n", "c", "sketch", "fine")
+    numbered = rows.withColumn("t", _text_number(F.col("text")))
+    scanned = written(_sets(numbered, width), "jaccard-sets")
+    sets = scanned.where(F.col("h").isNull()).select("id", "t", "n", "c", "sketch", "fine")
     linkable = sets.where((F.col("n") > 0) & F.col("id").isNotNull())
     n_rows, n_shingles = linkable.agg(F.count("*"), F.sum("n")).first()
     often = scanned.where(F.col("h").isNotNull()).groupBy("h").agg(F.sum("n").alias("n"))
@@ -515,8 +540,10 @@ def near_duplicates(
     roots = components(links)
 
     # Signatures whose members are in more than one component: their pairs are compared as far as
-    # they join components, and those that fail are left out of the next round. After the first
-    # round, signatures with candidates are few, and fine sketches let hardly a wrong one through.
+    # they join components, and those that fail are left out of the next round. Components with a
+    # pair that sketches let through hang together by pairs that were compared; so where none of
+    # these failed a signature is done, and elsewhere only members that had such a pair go on. They
+    # are few, and fine sketches let hardly a wrong pair through.
     every = met.where("kind > 0")
     every = every.select(F.col("x").alias("key"), F.col("y").alias("c"), (F.col("kind") == 2).alias("probe"))
     bits = classes.select("c", "n", "sketch")
@@ -525,46 +552,66 @@ def near_duplicates(
         members = every.join(roots.withColumnRenamed("node", "c"), "c", "left")
         members = members.withColumn("root", F.coalesce("root", "c"))
         several = members.groupBy("key").agg(
-            F.min("root").alias("r"),
-            F.max("root").alias("s"),
-            F.min(F.when(~F.col("probe"), F.col("c"))).alias("lead"),
-            F.ceil(F.count("*") / tile).alias("tiles"),
+            F.min("root").alias("r"), F.max("root").alias("s"), F.ceil(F.count("*") / tile).alias("tiles")
         )
-        several = several.where("r <> s").select("key", "lead", "tiles")
-        # The lead has been compared with all others.
-        members = members.join(several, "key").where("c <> lead")
-        members = members.join(bits, "c")
+        several = several.where("r <> s").select("key", "tiles")
+        narrow = written(members.join(several, "key"), "jaccard-members")
+        members = narrow.join(bits, "c")
         if failed is None:
             members = members.withColumn("failed", F.lit(None).cast("array<long>"))
         else:
             tried = failed.groupBy(F.col("x").alias("c")).agg(F.collect_set("y").alias("failed"))
             members = members.join(tried, "c", "left")
-        across = written(_pairs_across(members, bands, forests), "jaccard-across")
-        pairs = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        if not across.limit(1).count():
+        met_across = written(_pairs_across(members, bands, forests), "jaccard-across")
+        across = met_across.where("y is not null")
+        across = across.select("key", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        pairs = across.select("x", "y").distinct()
+        if across.isEmpty():
             break
         more = _links(pairs, known, classes, width, bands)
         wrong = pairs.join(more, (F.col("x") == F.col("a")) & (F.col("y") == F.col("b")), "left_anti")
-        failed = written(wrong if failed is None else failed.unionByName(wrong), "jaccard-failed")
+        wrong = written(wrong, "jaccard-failed")
         links = written(links.unionByName(more), "jaccard-links")
         roots = components(links)
-        # Signatures without a pair to compare have none later either.
-        every = every.join(across.select("key").distinct(), "key", "left_semi")
+        if wrong.isEmpty():
+            break
+        failed = wrong if failed is None else failed.unionByName(wrong)
+        undone = across.join(wrong, ["x", "y"], "left_semi").select("key").distinct()
+        going = met_across.where("y is null").join(undone, "key", "left_semi")
+        going = going.select("key", F.col("x").alias("c")).distinct()
+        every = narrow.join(going, ["key", "c"], "left_semi").select("key", "c", "probe")
         bits = classes.select("c", "n", F.col("fine").alias("sketch"))
         forests *= 2
 
     of_class = classes.select("c", "id").join(roots.withColumnRenamed("node", "c"), "c", "left")
     of_class = of_class.withColumn("root", F.coalesce("root", "c"))
     least = of_class.groupBy("root").agg(F.min("id").alias("component_id"))
-    labelled = written(of_class.join(least, "root").select("c", "component_id"), "jaccard-labels")
+    labelled = of_class.join(least, "root").select("c", "root", "component_id")
+    labelled = written(labelled, "jaccard-labels")
     alone = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     in_set = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("c"))
-    joined = sets.select("id", "n", in_set.alias("c")).join(labelled, "c", "left")
-    return joined.select(
+    joined = sets.select("id", "t", "n", in_set.alias("c")).join(labelled, "c", "left")
+    return joined.select("id", "t", "n", "c", "root", alone.alias("component_id"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """``id_column, n_shingles, class_id, component_id`` for each row.
+
+    ``n_shingles`` is the size of the row's set; ``component_id`` the least id reachable by links
+    between sets of at least ``similarity``, its own included. A row without words has an empty
+    set and is linked with nothing, and so is one without an id, whose component is null. Repeated
+    rows are members of one class, and rows that share an id but not their text of several.
+    Further columns are not read; an empty table gives an empty one. ``options``: ``similarity``,
+    ``width`` in words, and how much meets in a task (``task_signatures``, ``tile``).
+    """
+    found = _labelled(docs, id_column=id_column, text_column=text_column, **options)
+    return found.select(
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.col("c").alias("class_id"),
-        alone.alias("component_id"),
+        "component_id",
     )
 
 
@@ -573,12 +620,27 @@ def one_of_each(
 ) -> DataFrame:
     """The rows, with all columns, of one document of each component: that with the least id.
 
-    Rows without an id are kept. Of several rows with the kept id, the one whose text comes first.
+    A document is an id and a text. Of several texts with the least id in one component, one is kept,
+    and of rows that repeat it one. Rows without an id and rows without words are linked with nothing
+    and are all kept, whatever other rows share their id. Columns may have any names.
     """
-    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
-    keeps = found.where(F.col(id_column) == F.col("component_id"))
-    keeps = keeps.select(F.col(id_column).alias("__id")).distinct()
-    kept = docs.join(keeps, docs[id_column] == keeps["__id"], "left_semi")
-    first = Window.partitionBy(id_column).orderBy(text_column)
-    kept = kept.withColumn("__first", F.row_number().over(first)).where("__first = 1")
-    return kept.drop("__first").unionByName(docs.where(F.col(id_column).isNull()))
+    found = _labelled(docs, id_column=id_column, text_column=text_column, **options)
+    of_component = found.where(F.col("root").isNotNull()).groupBy("root")
+    keeps = of_component.agg(F.min(F.struct("id", "t")).alias("kept")).select(
+        F.col("kept.id").alias("kept_id"), F.col("kept.t").alias("kept_t")
+    )
+    keeps = keeps.distinct()
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    rows = docs.select(
+        row,
+        F.col(id_column).alias("id"),
+        _text_number(F.col(text_column)).alias("t"),
+        F.coalesce(F.col(text_column).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+    )
+    linkable = F.col("worded") & F.col("id").isNotNull()
+    same = (F.col("id") == F.col("kept_id")) & (F.col("t") == F.col("kept_t"))
+    kept = rows.where(linkable).join(keeps, same, "left_semi")
+    # Rows alike in id and text may differ elsewhere; the number of the whole row tells which stays.
+    whole = F.xxhash64(*[F.col("row")[f.name] for f in docs.schema if hashable(f.dataType)])
+    first = kept.groupBy("id", "t").agg(F.min_by("row", whole).alias("row")).select("row.*")
+    return first.unionByName(rows.where(~linkable).select("row.*"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickstar.llm.tables import texts
+from clickstar.llm.tables import give_back, texts
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4, 5)
@@ -310,12 +310,16 @@ def predict_language(
 
 
 def identified(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """The rows, as they are, whose language the model tells and does not reject."""
+    """The rows, as they are, whose language the model tells and does not reject.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            languages, scores = predict_texts(texts(batch.column(text_column)), model)
+    Texts go to the model and only its verdicts come back, so whole rows stay where they are.
+    """
+
+    def verdicts(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            languages, scores = predict_texts(texts(column), model)
             told = np.array(languages, object) != UNKNOWN
-            yield batch.filter(pa.array(told & (np.array(scores) >= model.threshold)))
+            yield pa.array(told & (np.array(scores) >= model.threshold), pa.bool_())
+        give_back()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(F.arrow_udf(verdicts, "boolean")(F.col(text_column)))

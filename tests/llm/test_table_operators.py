@@ -48,6 +48,18 @@ def test_words_have_the_library_ids():
         assert memo.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_memo_is_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_BYTES", 1 << 20)
+    tokenizer = Tokenizer.from_file(WORDS)
+    memo = packing.WordIds(tokenizer)
+    rng = random.Random(3)
+    for n in range(300):
+        # Words of hundreds of signs, as texts without spaces have.
+        text = "".join(rng.choice("漢字かな交じり文") for _ in range(300)) if n % 2 else "x" * rng.randint(300, 9_000)
+        assert memo.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert memo.bytes < (1 << 20) + 40_000 and len(memo.places) < 9_000
+
+
 def test_packing_keeps_every_token_once(spark):
     rng = random.Random(4)
     texts = ["", None, "word " * 9_000, "ab\n" * 700]
@@ -200,6 +212,36 @@ def test_near_duplicate_components(spark, seed, task_signatures):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_loses_no_document(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "uno dos tres cuatro cinco")
+    rows = [(1, a), (1, None), (1, b), (2, a), (2, c), (3, b + " seven"), (3, None), (None, a), (1, a), (4, " "), (4, " ")]
+    rows = [(*r, {"k": "v"}, n, 0, 0) for n, r in enumerate(rows)]
+    schema = "doc_id long, text string, __k map<string,string>, __first int, kept long, row long"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    want = [(1, a), (1, None), (1, b), (2, c), (3, None), (None, a), (4, " "), (4, " ")]
+    # Two shingles of three are too few for a link.
+    want.append((3, b + " seven"))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert jaccard.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    passage = "a passage of many words that is long enough to go " * 6
+    rows = [(k, f"own {k} " + passage * (k % 2), "x", 1, 2, 3, 4) for k in range(40)] + [(None, None, None, 1, 2, 3, 4)]
+    names = "doc_id long, text string, source string, __k long, __kept long, __copy long, copies long"
+    docs = spark.createDataFrame(rows, names)
+    left = repeats.without_repeats(docs)
+    assert left.columns == docs.columns and left.count() == 41
+    assert left.where("__k = 1 AND __kept = 2 AND __copy = 3 AND copies = 4").count() == 41
+    assert left.where("text LIKE '%long enough%'").count() == 0
+    mixed = mixing.mixed(docs, mixing.word_count(F.col("text")))
+    assert mixed.columns == docs.columns
+    assert mixed.where("__k = 1 AND __kept = 2 AND __copy = 3 AND copies = 4").count() == mixed.count() > 0
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(3)
     bands = jaccard.Bands(jaccard.Fraction(3, 4))
@@ -406,6 +448,39 @@ def test_near_vectors(spark):
     assert embeddings.near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_near_vectors_of_many_shards(spark):
+    """Thousands of links over several shards, one cluster of a third of the rows."""
+    rng = np.random.default_rng(7)
+    blob = rng.normal(size=24)
+    vectors = rng.normal(size=(900, 24))
+    vectors[:300] = blob + rng.normal(size=(300, 24)) * rng.choice([0.05, 0.25, 0.4], (300, 1))
+    for k in range(300, 700, 4):
+        vectors[k + 1 : k + 4] = vectors[k] + rng.normal(size=(3, 24)) * 0.2
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = embeddings.near_vectors(data, shard_vectors=60).collect()
+    want = brute.near_vectors([r[0] for r in rows], [r[1] for r in rows])
+    assert sum(w[0] for w in want) > 10_000
+    assert by_id((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == by_id(
+        (r[0], *w) for r, w in zip(rows, want, strict=True)
+    )
+
+
+def test_a_shard_whose_graph_fails_answers_by_products(monkeypatch):
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(400, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit[200:] = unit[:200]
+    nothing = (np.full((1, 1), -1, np.int32), np.full((1, 1), -np.inf, np.float32))
+    lost = lambda self, q, beam: tuple(np.repeat(x, len(q), axis=0) for x in nothing)
+    monkeypatch.setattr(hnsw.Graph, "search", lost)
+    shard = embeddings._Shard(list(range(400)), [1] * 400, unit, 0.9)
+    assert shard.beam == 400
+    got = {key: n for key, _, n in shard.links(list(range(400)), unit)}
+    want = ((unit @ unit.T) >= 0.9).sum(axis=1) - 1
+    assert got == {k: n for k, n in enumerate(want) if n}
+
+
 def test_graph_finds_neighbours():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 24))
