@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .let import let
+
 # Addresses that stand for "not known".
 PLACEHOLDER_IPS = ["", "unknown", "0.0.0.0"]
 
@@ -36,18 +36,13 @@ _GROUP = r"[0-9a-f]{1,4}"
 _TAIL = rf"\A(.*:)({_OCTET}(?:\.{_OCTET}){{3}})\z"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that it names several times and that is worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _filled(halves: Column) -> Column:
     """The groups before and after ::, and between them the zeros it stands for, one at least."""
     none = F.array().cast("array<string>")
     groups = F.transform(halves, lambda h: F.when(h == "", none).otherwise(F.split(h, ":")))
-    return _let(
+    return let(
         groups,
-        lambda g: _let(
+        lambda g: let(
             F.lit(8) - F.size(F.get(g, F.lit(0))) - F.size(F.get(g, F.lit(1))),
             lambda zeros: F.when(
                 zeros > 0,
@@ -69,7 +64,7 @@ def _digits(groups: Column) -> Column:
 
 def _without_tail(text: Column) -> Column:
     """An IPv4 address at the end as the two groups it stands for."""
-    return _let(
+    return let(
         ip_to_long(F.regexp_extract(text, _TAIL, 2)),
         lambda tail: F.concat(
             F.regexp_extract(text, _TAIL, 1),
@@ -86,13 +81,13 @@ def ipv6_hex(ip: Column) -> Column:
     Takes what addresses are written as: groups without their zeros, one run of zero groups as ::,
     the last two groups as an IPv4 address, a zone after %.
     """
-    plain = _let(
+    plain = let(
         F.lower(F.substring_index(ip, "%", 1)),
         lambda text: F.when(text.contains("."), _without_tail(text)).otherwise(text),
     )
-    digits = _let(
+    digits = let(
         F.split(plain, "::"),
-        lambda halves: _let(
+        lambda halves: let(
             F.when(F.size(halves) == 1, F.split(F.get(halves, F.lit(0)), ":")).when(
                 F.size(halves) == 2, _filled(halves)
             ),

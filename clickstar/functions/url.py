@@ -9,6 +9,8 @@ from functools import cache
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .let import let
+
 UNKNOWN = "Unknown"
 
 # The product part of a path, up to a SKU, an extension or the end of the address.
@@ -107,16 +109,19 @@ def suffix_country(
     """The country of a host's longest known suffix: one of `suffixes`, else its last label, if that is
     a country's. A suffix is whole labels: notuk.com does not end in uk.com. A host that is itself a
     suffix has its country too; a dot at its end does not count."""
-    whole = F.lower(F.rtrim(host, F.lit(".")))
-    dotted = F.concat(F.lit("."), whole)
     # All codes in one text, which is searched byte by byte; a map would be compared entry by entry.
     codes = F.lit("." + ".".join(country_codes()) + ".")
-    label = F.substring_index(dotted, ".", -1)
-    is_code = (F.char_length(label) == 2) & codes.contains(F.concat(F.lit("."), label, F.lit(".")))
-    chain = F
-    for suffix in sorted(suffixes, key=lambda s: (-s.count("."), s)):
-        chain = chain.when(dotted.endswith(f".{suffix}"), F.lit(suffixes[suffix]).cast("string"))
-    return chain.when(is_code, label) if suffixes else F.when(is_code, label)
+
+    def country(dotted: Column) -> Column:
+        label = F.substring_index(dotted, ".", -1)
+        is_code = (F.char_length(label) == 2) & codes.contains(F.concat(F.lit("."), label, F.lit(".")))
+        chain = F
+        for suffix in sorted(suffixes, key=lambda s: (-s.count("."), s)):
+            chain = chain.when(dotted.endswith(f".{suffix}"), F.lit(suffixes[suffix]).cast("string"))
+        return chain.when(is_code, label)
+
+    # Every suffix asks for the host, which a pattern finds: it is worked out once.
+    return let(F.concat(F.lit("."), F.lower(F.rtrim(host, F.lit(".")))), country)
 
 
 def domain_country(

@@ -102,6 +102,12 @@ def test_countries_of_suffixes(spark):
     assert len(url.country_codes()) > 240 and url.country_codes()["fr"] == "France"
 
 
+def test_the_host_is_looked_for_once(spark):
+    pages = spark.createDataFrame([("https://x.fr/",)], "c string")
+    plan = pages.select(url.domain_country(F.col("c")).alias("country"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
+
+
 def test_devices_are_told_once_for_each_agent(spark):
     agents = {
         "Mozilla/5.0 (X11; Linux x86_64; rv:89.0) Gecko/20100101 Firefox/89.5": ("Firefox", "89.5", "Linux", None),
