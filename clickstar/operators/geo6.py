@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.net import ipv6_hex, mapped_ipv4
-from ..runtime import scratch_path
+from ..runtime import scratch_path, stored
 from .geo import MAX_BROADCAST_BYTES, UNKNOWN, GeoTable, locate
 from .lookup import COUNT, key_counts, measured_bytes
 
@@ -47,9 +47,7 @@ class Geo6Table:
 
 def _stored(df: DataFrame, purpose: str) -> DataFrame:
     """Written once to the shared folder, so that no plan reads addresses again and again."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, scratch_path(df.sparkSession, purpose))
 
 
 def _by_bucket(addressed: DataFrame) -> DataFrame:

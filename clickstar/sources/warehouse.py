@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import date_of_hour_key
+from ..runtime import scratch_path, stored
 from ..schema import DIMENSIONS, FACT, WAREHOUSE, key_of
 from .keyindex import KeyIndex
 from .runs import EPOCH, FAN_IN, Run, merge_runs, path_exists, read_runs, remove_path, runs
@@ -171,7 +172,10 @@ def insert_if_absent(
             earlier = earlier.where(within)
         fresh = absent_rows(keyed, earlier, key, max_rows)
     first = not runs(spark, f"{warehouse}/{table}")
-    fresh = fresh.persist()
+    held = None
+    if not first and fresh is not keyed:
+        held = scratch_path(spark, "fresh")
+        fresh = stored(fresh, held)
     try:
         # Most batches bring a dimension nothing new; no folder is written for those.
         if first or not fresh.isEmpty():
@@ -179,4 +183,5 @@ def insert_if_absent(
             if also is not None:
                 also(fresh)
     finally:
-        fresh.unpersist()
+        if held is not None:
+            remove_path(spark, held)

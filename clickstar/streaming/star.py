@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,11 +13,12 @@ from ..operators.lookup import MAX_BROADCAST_BYTES
 from ..operators.rows import first_deliveries
 from ..plans.enrich import enrich
 from ..plans.star import COUNTED_COLUMNS, delivered_views, dimensions
+from ..runtime import scratch_path, stored
 from ..schema import FACT
 from ..sources.keyindex import KeyIndex
 from ..sources.messages import accepted_events, parse_messages
 from ..sources.rollups import merge_rollups, write_rollup_epoch
-from ..sources.runs import EPOCH, FAN_IN, path_exists
+from ..sources.runs import EPOCH, FAN_IN, path_exists, remove_path
 from ..sources.warehouse import (
     FACT_DATE,
     dims_then_fact,
@@ -61,15 +61,16 @@ def write_star(
     """One batch of accepted events into all eight tables, dimensions before the fact, and the
     hourly counts of what was new.
 
-    The enriched batch is read from the source once and kept while the tables are written. An
-    error is not caught here: Spark then runs the same epoch again, which writes the same rows.
+    The batch is read from the source and enriched once, into the shared folder, of which each table
+    reads just its own columns. An error is not caught here: Spark then runs the same epoch again,
+    which writes the same rows.
     """
     spark = batch.sparkSession
     index = index or fact_index(warehouse)
     merge_star(spark, warehouse, epoch, index, fan_in)
-    enriched = enrich(batch, geo).persist(StorageLevel.MEMORY_AND_DISK)
-    delivered = delivered_views(enriched, COUNTED_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    stage = scratch_path(spark, "batch")
     try:
+        enriched = stored(enrich(batch, geo), f"{stage}/events")
         batch_is = enriched.agg(
             F.count("*").alias("events"),
             F.min("event_date").alias("first"),
@@ -79,6 +80,7 @@ def write_star(
         if batch_is["events"] == 0:
             return
         tables = dimensions(enriched, brand_prefix)
+        delivered = stored(delivered_views(enriched, COUNTED_COLUMNS), f"{stage}/views")
         tables[FACT] = first_deliveries(delivered, "event_id", "time_stamp", COUNTED_COLUMNS)
 
         dates = F.col(FACT_DATE).between(F.lit(batch_is["first"]), F.lit(batch_is["last"]))
@@ -103,8 +105,7 @@ def write_star(
 
         dims_then_fact(spark, write)
     finally:
-        delivered.unpersist()
-        enriched.unpersist()
+        remove_path(spark, stage)
 
 
 def start_star_stream(

@@ -4,7 +4,6 @@ import json
 
 import pytest
 from conftest import rows
-
 from clickstar import fixtures as fx
 from clickstar.operators.geo import geo_table
 from clickstar.plans import star
@@ -20,6 +19,7 @@ from clickstar.sources.messages import (
     read_messages,
     relay,
 )
+from clickstar.streaming import star as streaming_star
 from clickstar.streaming.dedup import dedup_events
 from clickstar.streaming.star import start_star_stream, write_star
 
@@ -214,3 +214,19 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert shared_root(spark) == named
     assert scratch_path(spark, "a").startswith(named + "/a-")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_a_batch_is_staged_in_files_and_not_kept_in_executors(spark, tmp_path, geo, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a batch kept in executors")
+
+    warehouse, _ = paths(spark)
+    batch = spark.createDataFrame([("e1", VIEW, 1716883882), ("e2", VIEW, 1716883882)], "id string, collection string, time_stamp long")
+    monkeypatch.setattr(type(batch), "persist", refuse)
+    staged = []
+    keep = streaming_star.stored
+    monkeypatch.setattr(streaming_star, "stored", lambda df, path: staged.append(path) or keep(df, path))
+    write_star(batch.where("id = 'e1'"), 0, warehouse, geo)
+    write_star(batch, 1, warehouse, geo)
+    assert rows(wh.read_table(spark, warehouse, FACT), "event_id", wh.EPOCH) == {("e1", 0), ("e2", 1)}
+    assert len(staged) == 4 and not any(wh.path_exists(spark, path) for path in staged)
