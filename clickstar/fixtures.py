@@ -99,6 +99,7 @@ VERSIONED_AGENTS = [
 
 # Fixed values of the views.
 _RANGE_BLOCKS = 4096
+_FILE_EVENTS = 100_000
 LOG_START = 1704067200  # 2024-01-01T00:00:00Z
 _LOG_SECOND_MICROS = 720_000_000  # 30 days told in an hour
 
@@ -164,7 +165,12 @@ def _size(spark: SparkSession, sf_dir: str, name: str) -> int:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in parsed shape, one in twenty delivered twice.
+    """Events in parsed shape, one in twenty delivered twice."""
+    return _deliveries(spark, sf_dir).drop("delivery")
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the number of the delivery.
 
     Products and referrers are dealt over all rows of their tables.
     """
@@ -191,7 +197,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         delivered.join(slugs, "p_partkey")
         .join(table(spark, sf_dir, "pages"), "page_id", "left")
-        .selectExpr(*[f"{field} AS {name}" for name, field in _EVENT_FIELDS.items()])
+        .selectExpr(*[f"{field} AS {name}" for name, field in _EVENT_FIELDS.items()], "delivery")
     )
 
 
@@ -297,12 +303,20 @@ def versioned_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as JSON text, as a topic would hold them."""
-    events = raw_events(spark, sf_dir)
-    return events.select(F.to_json(F.struct(*events.columns)).alias("value"))
+    return _delivered_messages(spark, sf_dir).select("value")
+
+
+def _delivered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    message = F.to_json(F.struct(*_EVENT_FIELDS)).alias("value")
+    return _deliveries(spark, sf_dir).select(message, "delivery")
 
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with a heartbeat for each signup in between, as a shared topic has them."""
+    return _topic_deliveries(spark, sf_dir).select("value")
+
+
+def _topic_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.timestamp_seconds("sent_sec").cast("string")
     beats = canary_sent(spark, sf_dir).select(
         F.to_json(
@@ -312,9 +326,21 @@ def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 seconds.alias("timestamp"),
                 F.lit("canary").alias("type"),
             )
-        ).alias("value")
+        ).alias("value"),
+        F.lit(1).alias("delivery"),
     )
-    return raw_messages(spark, sf_dir).unionByName(beats)
+    return _delivered_messages(spark, sf_dir).unionByName(beats)
+
+
+def message_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of some `_FILE_EVENTS` events that hold a quarter of them."""
+    return -(-_size(spark, sf_dir, "events") // (4 * _FILE_EVENTS))
+
+
+def dealt_messages(spark: SparkSession, sf_dir: str, files: int) -> DataFrame:
+    """The topic's messages dealt to so many files, an event's deliveries apart. Dealt by hash, which
+    sorts no messages and has as many tasks as files."""
+    return _topic_deliveries(spark, sf_dir).repartition(files, "value", "delivery").select("value")
 
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,9 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
 from clickstar import fixtures as fx
 from clickstar.operators.geo import geo_table
 from clickstar.plans import star
@@ -230,3 +233,20 @@ def test_a_batch_is_staged_in_files_and_not_kept_in_executors(spark, tmp_path, g
     write_star(batch, 1, warehouse, geo)
     assert rows(wh.read_table(spark, warehouse, FACT), "event_id", wh.EPOCH) == {("e1", 0), ("e2", 1)}
     assert len(staged) == 4 and not any(wh.path_exists(spark, path) for path in staged)
+
+
+def test_more_events_are_more_files_and_no_more_epochs(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(fx, "_FILE_EVENTS", 100)
+    files = []
+    path = entry.scratch_path
+    monkeypatch.setattr(entry, "scratch_path", lambda s, name: files.append((name, path(s, name))) or files[-1][1])
+    warehouse = entry._many_epochs(spark, sf_dir)
+    an_epoch = fx.message_files(spark, sf_dir)
+    written = spark.read.text(dict(files)["messages"])
+    sizes = [n for _, n in written.groupBy(F.input_file_name()).count().collect()]
+    assert an_epoch == 3 and len(sizes) == 5 * an_epoch
+    # No file, and so no task, holds a delivery.
+    assert 4 * max(sizes) < sum(sizes)
+    assert wh.read_table(spark, warehouse, FACT).agg(F.max(wh.EPOCH)).first()[0] <= 3
+    plan = fx.dealt_messages(spark, sf_dir, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan
