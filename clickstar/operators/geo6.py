@@ -110,7 +110,7 @@ def locate_any(events: DataFrame, geo: GeoTable, geo6: Geo6Table, ip: str = "ip"
 
     IPv4 addresses are looked up as `locate` does, also where they are written as IPv6; others in
     the IPv6 table: broadcast and joined once a width, without a shuffle, or, with a large table,
-    once for each distinct address.
+    once for each distinct address. With a large table what was read is stored first.
     """
     digits = ipv6_hex(F.col(ip))
     addressed = events.withColumn("_digits", digits)
@@ -124,9 +124,12 @@ def locate_any(events: DataFrame, geo: GeoTable, geo6: Geo6Table, ip: str = "ip"
             "_digits": F.when(v4.isNull(), F.col("_digits")),
         }
     )
+    if not (geo.small and geo6.small):
+        # A lookup by shuffle first asks which addresses there are. As a filter that would go down to
+        # the events and hold the reading of the text anew for each mention of what was read.
+        addressed = _stored(addressed, "addresses")
     by_four = locate(addressed, geo, "_v4")
-    lookup = _by_broadcast if geo6.small else _by_shuffle
-    by_six = lookup(by_four, geo6)
+    by_six = _by_broadcast(by_four, geo6) if geo6.small else _by_shuffle(by_four, geo6, addressed)
     named = [
         F.when(
             F.col("_digits").isNotNull(),
@@ -159,10 +162,11 @@ def _by_broadcast(events: DataFrame, geo6: Geo6Table) -> DataFrame:
     return events.withColumn("_six", F.coalesce(*found))
 
 
-def _by_shuffle(events: DataFrame, geo6: Geo6Table) -> DataFrame:
+def _by_shuffle(events: DataFrame, geo6: Geo6Table, addressed: DataFrame) -> DataFrame:
     """Each distinct address at each width beside the range starts of its bucket, in order: the last
     start before it is the only range of that width that can hold it. Addresses without a place are
-    left out; the others return by a join that AQE splits where one is hot."""
+    left out; the others return by a join that AQE splits where one is hot. `addressed` has the same
+    addresses before any join."""
     starts = geo6.cut.select(
         "_width",
         "_bucket",
@@ -172,7 +176,7 @@ def _by_shuffle(events: DataFrame, geo6: Geo6Table) -> DataFrame:
     )
     widths = F.explode(F.array(*[F.lit(width) for width in geo6.widths or WIDTHS]))
     probes = (
-        key_counts(events, "_digits")
+        key_counts(addressed, "_digits")
         .select(F.col("_digits").alias("_at"), COUNT, widths.alias("_width"))
         .select(
             "_width",

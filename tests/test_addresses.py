@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from clickstar import fixtures as fx
 from clickstar.functions import net, url
 from clickstar.operators import devices
 from clickstar.operators.geo import geo_table
@@ -72,6 +73,13 @@ def test_places_of_ipv6_addresses(spark, max_broadcast_bytes):
     assert {r["ip"]: r["city"] for r in found.collect()} == {**want, None: "Unknown"}
 
 
+def test_addresses_are_read_once_for_large_tables(spark, sf_dir):
+    four = geo_table(fx.geo_ranges(spark, sf_dir), 0)
+    found = locate_any(fx.mixed_addresses(spark, sf_dir), four, geo6_table(fx.geo6_ranges(spark, sf_dir), 0))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" not in plan and "split(" not in plan
+
+
 def test_ranges_that_cannot_be_are_refused(spark):
     def table(*ends):
         return spark.createDataFrame([(a, b, "x", "x", "x") for a, b in ends], "ip_from string, ip_to string, city string, region string, country string")
