@@ -6,13 +6,16 @@ turn to turn: those of a conversation's stretches are found apart and put togeth
 with a third of all turns is spread over many tasks. Texts are left behind at once; their checksums
 and lengths go on.
 
-Subtree totals come from rounds over a table of the tree's nodes. A round rakes: leaves are done and
-give their totals to their parents, however many share one, by partial sums. Then it compresses:
-of a chain of nodes with one child each, about a quarter, no two of them neighbours, are spliced out, and
-their child hangs on their parent, with what they had kept at the link. A chain of any length and a
-star of any width thus go in a logarithmic number of rounds. Going back, a node spliced out has its
-own and its child's total, which later rounds have settled by then. Every round is a table in the
-shared folder and every join in a round is on keys that one row has.
+Subtree totals come from tree contraction: leaves are raked, they are done and give their totals to
+their parents, and of chains of nodes with one child each, nodes are spliced out, and their child hangs
+on their parent, with what they had kept at the link. First each task rakes and compresses the part of
+the tree that it holds, as far as that goes; what is left are nodes above parts of several tasks. While
+these are more than one task takes, rounds of joins over all of them go on: a round rakes every
+leaf, however many share a parent, by partial sums, and splices out about a quarter of a chain, no two
+neighbours, so chains of any length and stars of any width go in a logarithmic number of rounds. Then one
+task finishes. Going back, a node spliced out has its own and its child's total, which later rounds have
+settled by then. Every round is a table in the shared folder and every join in a round is on keys that
+one row has.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from clickstar.sources.runs import path_exists
 
 #: Turns of one stretch of a conversation, and ids that one text of them holds.
 STRETCH, IDS = 4_096, 4_096
+#: Nodes of a tree that a task contracts at a time, and that the last one finishes.
+TASK_NODES = 100_000
 #: Conversations that share the head of the first of them, and most turns of a head.
 FAMILY, HEADS = 100, 6
 
@@ -257,37 +262,210 @@ def _contracted(active: DataFrame, sums: list[str]) -> DataFrame:
     )
 
 
-def subtree_totals(tree: DataFrame, sums: list[str]) -> DataFrame:
+def _contracted_part(
+    rows: dict[str, list], sums: list[str], whole: bool
+) -> Iterator[tuple[str, list[tuple], list[list], list[tuple]]]:
+    """Rake and compress in a part of the tree: for each state of nodes there, their keys, parents,
+    sums with what is kept at links, and children.
+
+    ``given`` are parents elsewhere, with what raked nodes gave them. ``n_open`` says how many children
+    a node waits for, here and elsewhere; if the part is the ``whole`` tree, they are all here.
+    """
+    node = list(zip(rows["x"], rows["y"], strict=True))
+    parent = list(zip(rows["px"], rows["py"], strict=True))
+    columns = [rows[c] for c in sums], [rows[f"{c}_up"] for c in sums]
+    own = list(map(list, zip(*columns[0], strict=True)))
+    up = list(map(list, zip(*columns[1], strict=True)))
+    place = {key: i for i, key in enumerate(node)}
+    above = [place.get(p, -1) for p in parent]
+    n_open = rows["n_open"]
+    if whole:
+        n_open = [0] * len(node)
+        for p in above:
+            if p >= 0:
+                n_open[p] += 1
+    waiting = [True] * len(node)
+    given: dict[tuple, list] = {}
+    leaves = [i for i, n in enumerate(n_open) if not n]
+    raked = []
+    while leaves:
+        i = leaves.pop()
+        raked.append(i)
+        waiting[i] = False
+        p = above[i]
+        if p >= 0:
+            more = own[p]
+            n_open[p] -= 1
+            if not n_open[p]:
+                leaves.append(p)
+        elif parent[i][0] is not None:
+            more = given.setdefault(parent[i], [0] * len(sums))
+        else:
+            continue
+        for k in range(len(sums)):
+            more[k] += own[i][k] + up[i][k]
+    # Chains of nodes that wait for one child, which is here and waits too, are spliced out.
+    left = [i for i, w in enumerate(waiting) if w]
+    here = [0] * len(node)
+    for i in left:
+        if above[i] >= 0:
+            here[above[i]] += 1
+    passed = [
+        w and n == 1 and h == 1 and p[0] is not None
+        for w, n, h, p in zip(waiting, n_open, here, parent, strict=True)
+    ]
+    child: list[tuple] = [(None, None)] * len(node)
+    spliced, active = [], []
+    for i in left:
+        if passed[i]:
+            continue
+        active.append(i)
+        v = above[i]
+        while v >= 0 and passed[v]:
+            spliced.append(v)
+            child[v], parent[i] = node[i], parent[v]
+            # Of a node spliced out, what it has apart from its child's total.
+            for k in range(len(sums)):
+                own[v][k], up[i][k] = own[v][k] + up[i][k], up[i][k] + own[v][k] + up[v][k]
+            v = above[v]
+    for state, some in (("raked", raked), ("spliced", spliced), ("active", active)):
+        yield (
+            state,
+            [(*node[i], *parent[i]) for i in some],
+            [own[i] + up[i] for i in some],
+            [child[i] for i in some],
+        )
+    nothing = [0] * len(sums)
+    yield (
+        "given",
+        [(*key, None, None) for key in given],
+        [more + nothing for more in given.values()],
+        [(None, None)] * len(given),
+    )
+
+
+def _within_tasks(active: DataFrame, sums: list[str], whole: bool = False) -> DataFrame:
+    """Every active node with what became of it in the task that has it, as ``_contracted`` says, and
+    rows ``given``, of nodes that other tasks have. ``TASK_NODES`` rows of a task go at a time."""
+    on_way = [f"{s}_up" for s in sums]
+    flat = active.select(
+        F.col("node.x").alias("x"),
+        F.col("node.y").alias("y"),
+        F.col("parent.x").alias("px"),
+        F.col("parent.y").alias("py"),
+        *sums,
+        *on_way,
+        (F.lit(0).cast("long") if whole else F.col("n_open")).alias("n_open"),
+        "turn",
+    )
+    names = ["x", "y", "px", "py", *sums, *on_way, "cx", "cy", "turn", "state"]
+    most = TASK_NODES
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emitted(part: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(part).to_pydict()
+            turn = rows["turn"][0] + 1
+            for state, keys, kept, children in _contracted_part(rows, sums, whole):
+                for start in range(0, len(keys), 8_192):
+                    cut = slice(start, start + 8_192)
+                    found = zip(keys[cut], kept[cut], children[cut], strict=True)
+                    columns = zip(*[(*key, *has, *c) for key, has, c in found], strict=True)
+                    arrays = [pa.array(column, pa.int64()) for column in columns]
+                    n = len(arrays[0])
+                    arrays += [pa.array([turn] * n, pa.int32()), pa.array([state] * n)]
+                    yield pa.RecordBatch.from_arrays(arrays, names)
+
+        part, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                part.append(batch)
+                n += batch.num_rows
+            if n >= most:
+                yield from emitted(part)
+                part, n = [], 0
+        if part:
+            yield from emitted(part)
+
+    kinds = [f"{name} long" for name in names[:-2]] + ["turn int", "state string"]
+    found = flat.mapInArrow(contract, ", ".join(kinds))
+
+    def pair(x: str, y: str) -> Column:
+        return F.when(F.col(x).isNotNull(), F.struct(F.col(x).alias("x"), F.col(y).alias("y")))
+
+    return found.select(
+        F.struct("x", "y").alias("node"),
+        pair("px", "py").alias("parent"),
+        *sums,
+        *on_way,
+        pair("cx", "cy").alias("child"),
+        "turn",
+        "state",
+    )
+
+
+def with_children(nodes: DataFrame) -> DataFrame:
+    """The nodes (``node, parent, ...``) with the number of their children, ``n_children``."""
+    children = (
+        nodes.where("parent IS NOT NULL")
+        .groupBy(F.col("parent").alias("node"))
+        .agg(F.count("*").alias("n_children"))
+    )
+    return nodes.join(children, "node", "left").withColumn(
+        "n_children", F.coalesce("n_children", F.lit(0)).cast("long")
+    )
+
+
+def subtree_totals(tree: DataFrame, sums: list[str], near: list[str] | None = None) -> DataFrame:
     """``node`` and, for each column of ``sums``, its total over the node and all below it.
 
     ``tree`` has ``node, parent`` (structs of two longs ``x, y``; null above a root) and the columns,
-    long. There may be several roots. Keys must be unique and parents be there.
+    long. There may be several roots. Keys must be unique and parents be there. ``near``: columns by
+    which nodes lie near their children, as most do; they say which nodes a task has at first and
+    change no total. ``n_children`` is counted if it is not there.
 
     Rounds lie side by side in one folder of the shared space, ``round=0/state=raked`` and so on, and
     going back reads them as one table, of which a round takes those after it.
     """
     spark = tree.sparkSession
     path = scratch_path(spark, "contraction")
+    near = near or ["node"]
+    if "n_children" not in tree.columns:
+        tree = with_children(tree)
     on_way = [F.lit(0).cast("long").alias(f"{s}_up") for s in sums]
-    active = tree.select("node", "parent", *sums, *on_way, F.lit(0).alias("turn"))
-    stored = _contracted(active, sums).drop("state").schema
+    dealt = tree.repartitionByRange(*near).sortWithinPartitions(*near)
+    first = _within_tasks(
+        dealt.select(
+            "node", "parent", *sums, *on_way, F.col("n_children").alias("n_open"), F.lit(0).alias("turn")
+        ),
+        sums,
+    )
+    stored = first.drop("state").schema
 
     def of(rounds: str, state: str) -> DataFrame:
         """Rows of one state in the rounds of a pattern."""
         return spark.read.schema(stored).parquet(f"{path}/round={rounds}/state={state}")
 
-    spliced, rounds = [], 0
+    def there(number: int, state: str) -> bool:
+        return path_exists(spark, f"{path}/round={number}/state={state}")
+
+    first.write.partitionBy("state").parquet(f"{path}/round=0")
+    if not there(0, "raked"):
+        return tree.select("node", *sums)  # no nodes
+    rounds, spliced = 0, []
     while True:
-        here = f"{path}/round={rounds}"
-        _contracted(active, sums).write.partitionBy("state").parquet(here)
-        if path_exists(spark, f"{here}/state=spliced"):
+        if there(rounds, "spliced"):
             spliced.append(rounds)
-        if not path_exists(spark, f"{here}/state=active"):
+        if not there(rounds, "active"):
             break
         active = of(str(rounds), "active").drop("child")
+        few = active.count() <= TASK_NODES
+        if not rounds:
+            given = of("0", "given").groupBy("node").agg(*[F.sum(s).alias(f"{s}_in") for s in sums])
+            totals = {s: F.col(s) + F.coalesce(F.col(f"{s}_in"), F.lit(0)) for s in sums}
+            active = _met(active, given).withColumns(totals).drop(*[f"{s}_in" for s in sums])
         rounds += 1
-    if not path_exists(spark, f"{path}/round=0/state=raked"):
-        return tree.select("node", *sums)  # no nodes
+        left = _within_tasks(active.coalesce(1), sums, True) if few else _contracted(active, sums)
+        left.write.partitionBy("state").parquet(f"{path}/round={rounds}")
     # Everything that a round's waiting nodes hang on was settled in later rounds, or is by now.
     kept = ["node", *sums, "turn"]
     raked = of("*", "raked").select(*kept)
@@ -413,25 +591,20 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
     )
     parent = F.when(F.col("px").isNotNull(), F.struct(F.col("px").alias("x"), F.col("py").alias("y")))
     nodes = nodes.withColumn("parent", parent).drop("px", "py")
-    children = (
-        nodes.where("parent IS NOT NULL")
-        .groupBy(F.col("parent").alias("node"))
-        .agg(F.count("*").alias("n_children"))
-    )
-    counted = written(
-        nodes.join(children, "node", "left").withColumn(
-            "n_children", F.coalesce("n_children", F.lit(0)).cast("long")
-        ),
-        "counted",
-    )
+    counted = written(with_children(nodes), "counted")
     totals = subtree_totals(
         counted.select(
             "node",
             "parent",
             (F.col("n_children") == 0).cast("long").alias("n_leaves"),
             ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens"),
+            "n_children",
+            "conv_id",
+            "depth",
         ),
         ["n_leaves", "saved_tokens"],
+        # A conversation has those nodes of which it is the least member one below the other.
+        near=["conv_id", "depth"],
     )
     last = starts.groupBy("conv_id").agg(F.max("depth").alias("depth"))
     ending = starts.join(last, ["conv_id", "depth"]).select("node", "conv_id")

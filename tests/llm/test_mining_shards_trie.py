@@ -269,3 +269,39 @@ def test_totals_of_chains_and_stars(spark):
             want[up[k]] = [a + b for a, b in zip(want[up[k]], want[k], strict=True)]
     got = tries.subtree_totals(tree, ["w", "one"]).collect()
     assert {r["node"]["x"]: [r["w"], r["one"]] for r in got} == want
+
+
+@pytest.mark.parametrize("task_nodes", [1, 30, 100_000])
+def test_totals_over_parts_rounds_and_the_rest(spark, monkeypatch, task_nodes):
+    # Parts of one node, which leave all to rounds of joins; parts with chains between; one whole.
+    monkeypatch.setattr(tries, "TASK_NODES", task_nodes)
+    rng = random.Random(13)
+    up = {k: rng.choice([k - 1, k - 1, k - 1, rng.randrange(k)]) for k in range(1, 400)} | {0: None}
+    rows = [((k, -k), None if p is None else (p, -p), k, 1) for k, p in up.items()]
+    pair = "struct<x:long,y:long>"
+    tree = spark.createDataFrame(rows, f"node {pair}, parent {pair}, w long, one long")
+    want = {k: [k, 1] for k in up}
+    for k in sorted(up, reverse=True):
+        if up[k] is not None:
+            want[up[k]] = [a + b for a, b in zip(want[up[k]], want[k], strict=True)]
+    got = tries.subtree_totals(tree, ["w", "one"]).collect()
+    assert len(got) == len(up)
+    assert {r["node"]["x"]: [r["w"], r["one"]] for r in got} == want
+
+
+@pytest.mark.parametrize("task_nodes", [5, 60])
+def test_trie_in_small_parts_equals_plain_one(spark, monkeypatch, task_nodes):
+    monkeypatch.setattr(tries, "TASK_NODES", task_nodes)
+    rows = conversations()
+    assert trie(spark, rows) == plain_trie([r[:4] for r in rows])
+
+
+def test_trie_takes_few_jobs(spark):
+    # Plans of many rounds heap up on the driver; what one task can finish has no rounds.
+    sc = spark.sparkContext
+    sc.setJobGroup("few jobs", "trie")
+    try:
+        trie(spark, conversations())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("few jobs")) < 90
