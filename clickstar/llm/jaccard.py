@@ -32,6 +32,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from clickstar.llm.components import components
 from clickstar.llm.shingles import WORDS, mixed, shingle_set
-from clickstar.llm.tables import hashable, released, slices, texts, written
+from clickstar.llm.tables import STEP, hashable, released, slices, texts, written
 
 #: A shingle is common if at least this share of the sets has it: at most 1 / COMMON times the
 #: mean set size are, which bounds what is broadcast.
@@ -65,12 +66,12 @@ class Bands:
 
     similarity: Fraction
 
-    def differences(self, size: int, other: int) -> int:
-        """The most elements by which two similar sets of these sizes differ."""
-        share = (1 - self.similarity) / (1 + self.similarity)
-        return int(share * (size + other))
+    def differences(self, size, other):
+        """The most elements by which two similar sets of these sizes differ; sizes may be arrays."""
+        same, whole = self.similarity.numerator, self.similarity.denominator
+        return (whole - same) * (size + other) // (whole + same)
 
-    def linked(self, size: int, other: int, difference: int) -> bool:
+    def linked(self, size, other, difference):
         return difference <= self.differences(size, other)
 
     def starts(self, largest: int) -> list[int]:
@@ -95,12 +96,18 @@ class Bands:
             yield band, ranges, self.differences(size, partner)
 
 
-def _range_signatures(elements: np.ndarray, ranges: int, salt: int) -> np.ndarray:
+@lru_cache(1 << 14)
+def _targets(bands: Bands, size: int) -> list[tuple[int, int, int]]:
+    """Sizes come again and again, and fractions are slow."""
+    return list(bands.targets(size))
+
+
+def _range_signatures(elements: np.ndarray, hashed: np.ndarray, ranges: int, salt: int) -> np.ndarray:
     if not len(elements):
         return elements
     place = (elements >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    content = np.add.reduceat(mixed(elements), first)
+    first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
+    content = np.add.reduceat(hashed, first)
     return mixed(content + mixed(place[first] + np.uint64(salt)))
 
 
@@ -114,9 +121,10 @@ def roles(
         at = np.minimum(np.searchsorted(common, elements), len(common) - 1)
         often = np.where(common[at] == elements, counts[at], 0)
     rare = elements[often == 0]
+    hashed = mixed(rare)
     found, few = [], False
-    for band, ranges, most in bands.targets(len(elements)):
-        found.append(_range_signatures(rare, ranges, band * 4_000_037))
+    for band, ranges, most in _targets(bands, len(elements)):
+        found.append(_range_signatures(rare, hashed, ranges, band * 4_000_037))
         few |= len(found[-1]) <= most
     probes = 0
     if few:
@@ -160,6 +168,29 @@ def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
 
 
+def fewest_of_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """``fewest_differences`` of each pair of sketches, those of like widths together."""
+    fewest = np.zeros(len(a), np.int64)
+    widths = np.array([(len(x) // 8, len(y) // 8) for x, y in zip(a, b, strict=True)])
+    for width in set(map(tuple, widths.tolist())):
+        at = np.flatnonzero((widths == width).all(axis=1))
+        bits = [
+            np.bitwise_xor.reduce(
+                np.frombuffer(b"".join([sketches[k] for k in at]), "<u8").reshape(len(at), -1, min(width)),
+                axis=1,
+            )
+            for sketches in (a, b)
+        ]
+        fewest[at] = np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1)
+    return fewest
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """In how many elements two sets differ."""
+    both = np.sort(np.frombuffer(a + b, "<u8"))
+    return len(both) - 2 * int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 # Steps over tables ---------------------------------------------------------------------------
 
 
@@ -364,18 +395,16 @@ def _compared(pairs: DataFrame, classes: DataFrame, bands: Bands, exact: bool) -
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [batch.column(c).to_pylist() for c in ("n_x", "n_y")]
-            data = [batch.column(c).to_pylist() for c in ("of_x", "of_y")]
-            kept = []
-            for n, m, a, b in zip(*sizes, *data, strict=True):
-                a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+            for start in range(0, batch.num_rows, STEP):
+                part = batch.slice(start, STEP)
+                sizes = [part.column(c).to_numpy() for c in ("n_x", "n_y")]
+                x, y = (part.column(c).to_pylist() for c in ("of_x", "of_y"))
                 if exact:
-                    shared = n + m - len(np.union1d(a, b))
-                    kept.append(bands.linked(n, m, n + m - 2 * shared))
+                    apart = np.array(list(map(differing, x, y)), np.int64)
                 else:
-                    kept.append(bands.linked(n, m, fewest_differences(a, b)))
-            found = batch.filter(pa.array(kept, pa.bool_()))
-            yield found.select(["x", "y"])
+                    apart = fewest_of_pairs(x, y)
+                found = part.filter(pa.array(bands.linked(*sizes, apart)))
+                yield found.select(["x", "y"])
 
     column = "elements" if exact else "sketch"
     return _beside(pairs, classes, column).mapInArrow(compare, "x long, y long")

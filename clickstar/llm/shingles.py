@@ -12,13 +12,23 @@ WORDS = 5
 BLOCK = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(32)
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_FIRST = np.array([True])
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """Each 64-bit value hashed."""
-    values = (values ^ (values >> _SHIFT)) * np.uint64(0xD6E8FEB86659FD93)
-    values = (values ^ (values >> _SHIFT)) * np.uint64(0xD6E8FEB86659FD93)
-    return values ^ (values >> _SHIFT)
+    values = values ^ (values >> _SHIFT)
+    for _ in range(2):
+        values *= _FACTOR
+        values ^= values >> _SHIFT
+    return values
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate([_FIRST, values[1:] != values[:-1]])] if len(values) else values
 
 
 def _blocks(data: bytes) -> Iterator[bytes]:
@@ -52,4 +62,4 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     value = np.full(len(found) - width + 1, width, np.uint64)
     for k in range(width):
         value = value * _STEP + found[k : k + len(value)]
-    return np.unique(mixed(value))
+    return distinct(mixed(value))

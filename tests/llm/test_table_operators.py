@@ -264,6 +264,39 @@ def test_similar_sets_share_a_signature():
             assert jaccard.fewest_differences(jaccard.sketch(pool), jaccard.sketch(other)) <= apart
 
 
+def test_sets_of_one_size_share_their_bands(monkeypatch):
+    """Bands are worked out in fractions: once for a size, not for each set."""
+    rng = np.random.default_rng(11)
+    bands, asked = jaccard.Bands(jaccard.Fraction(7, 9)), []
+    plain = jaccard.Bands.targets
+
+    def targets(self, size):
+        asked.append(size)
+        return plain(self, size)
+
+    monkeypatch.setattr(jaccard.Bands, "targets", targets)
+    none = np.array([], np.uint64)
+    for _ in range(50):
+        jaccard.signatures(np.unique(rng.integers(1, 1 << 63, 40).astype(np.uint64)), none, bands)
+    assert asked == [40]
+
+
+def test_pairs_are_compared_as_one_by_one():
+    rng = np.random.default_rng(12)
+    bands = jaccard.Bands(jaccard.Fraction(3, 4))
+    pool = rng.integers(1, 1 << 63, 900).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, int(n))) for n in rng.integers(1, 900, 60)]
+    bits = [jaccard.sketch(s) for s in sets]
+    x, y = rng.integers(0, 60, (2, 300))
+    got = jaccard.fewest_of_pairs([bits[k].tobytes() for k in x], [bits[k].tobytes() for k in y])
+    assert got.tolist() == [jaccard.fewest_differences(bits[i], bits[j]) for i, j in zip(x, y, strict=True)]
+    for i, j in zip(x, y, strict=True):
+        apart = len(np.setxor1d(sets[i], sets[j]))
+        assert jaccard.differing(sets[i].tobytes(), sets[j].tobytes()) == apart
+        n, shared = len(sets[i]) + len(sets[j]), (len(sets[i]) + len(sets[j]) - apart) // 2
+        assert bool(bands.linked(len(sets[i]), len(sets[j]), apart)) == (4 * shared >= 3 * (n - shared))
+
+
 def test_rounds_try_each_pair_once():
     """What fails is left out, and what remains is a forest."""
     bands = jaccard.Bands(jaccard.Fraction(3, 4))
